@@ -1,0 +1,29 @@
+"""Compare a registered query with its DuckDB SQL, as sets of rows."""
+
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def rows_of_sql(con, sql: str) -> tuple[list[str], Counter]:
+    done = con.execute(sql)
+    names = [d[0] for d in done.description]
+    return _sorted_columns(names, done.fetchall())
+
+
+def rows_of_frame(df) -> tuple[list[str], Counter]:
+    return _sorted_columns(df.columns, [tuple(r) for r in df.collect()])
+
+
+def _sorted_columns(names, rows) -> tuple[list[str], Counter]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], Counter(tuple(row[i] for i in order) for row in rows)
