@@ -8,7 +8,7 @@ first. Full play rows are then shuffled once, and counts need no play rows at al
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.operators.skew import CELL, split_join
+from playlake.operators.skew import CELL, key_sizes, split_join
 
 PAIR = ["song", "artist"]
 
@@ -24,7 +24,10 @@ def count_pairs(plays: DataFrame) -> DataFrame:
 
 
 def match_pairs(pairs: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """Songs matched by each pair, with the number of fact rows (`copies`) one play of it gives."""
+    """Songs matched by each pair, with the number of fact rows (`copies`) one play of it gives.
+
+    `pairs` and `songs` are read twice, so they should be stored tables.
+    """
     titles = (
         songs.where(F.col("title").isNotNull())
         .groupBy(F.col("title").alias("song"), "song_id", "artist_id")
@@ -35,14 +38,20 @@ def match_pairs(pairs: DataFrame, songs: DataFrame, artists: DataFrame) -> DataF
         .groupBy(F.col("name").alias("artist"))
         .agg(F.count(F.lit(1)).alias("artist_rows"))
     )
-    matches = split_join(pairs.join(names, "artist"), titles, ["song"], ["artist"], ["song_id", "artist_id"])
+    sizes = key_sizes(pairs, titles, ["song"])
+    matches = split_join(
+        pairs.join(names, "artist"), titles, ["song"], ["artist"], ["song_id", "artist_id"], sizes
+    )
     return matches.select(
         *PAIR, "plays", "song_id", "artist_id", (F.col("song_rows") * F.col("artist_rows")).alias("copies")
     )
 
 
 def build_fact(plays: DataFrame, matches: DataFrame, spread: list[str]) -> DataFrame:
-    """Fact rows without the row id. `spread` are columns of `plays` that tell its rows apart."""
+    """Fact rows without the row id. `spread` are columns of `plays` that tell its rows apart.
+
+    `matches` is read twice, so it should be a stored table.
+    """
     # Many copies of a match become several rows here, so that no play row expands without bound.
     chunks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {CELL}")))
     lookup = matches.select(*PAIR, "song_id", "artist_id", "copies", chunks.alias("chunk")).withColumn(

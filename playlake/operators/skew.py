@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 # A key is split so that one task joins at most CELL rows of one side with CELL rows of the other.
 CELL = 1000
 # Keys split explicitly. Every other key holds at most 1/HOT_KEYS of the output and goes through
-# the same join unsplit, so the number bounds the broadcast and never the result.
+# the same join unsplit, so the number bounds what the driver sees and never the result.
 HOT_KEYS = 10_000
 
 
@@ -23,37 +23,30 @@ def split_join(
     keys: list[str],
     left_spread: list[str],
     right_spread: list[str],
-    sizes: DataFrame | None = None,
+    sizes: DataFrame,
     cell: int = CELL,
 ) -> DataFrame:
     """Inner join on `keys`, with each hot key cut into a grid of slices.
 
-    A left row goes to one slice of the left side and is copied to all slices of the right side,
-    and the other way round, so each matching pair meets exactly once. Slices are hashes of the
-    `*_spread` columns and not random numbers: a task that is run again after a lost executor
-    must send each row to the same place. `sizes` holds the keys with `left_rows` and
-    `right_rows`; it is counted here if the caller does not know it already.
+    `sizes` holds the keys with `left_rows` and `right_rows`. It is evaluated here, once, to find
+    the hot keys; without any, this is a plain join. Otherwise a left row goes to one slice of
+    the left side and is copied to all slices of the right side, and the other way round, so each
+    matching pair meets exactly once. Slices are hashes of the `*_spread` columns and not random
+    numbers: a task that runs again after a lost executor must send each row to the same place.
     """
-    if sizes is None:
-        sizes = key_sizes(left, right, keys)
-    hot = F.broadcast(_hot_keys(sizes, keys, cell))
-
-    left = left.dropna(subset=keys).join(hot, keys, "left")
-    left = left.select(
-        *[c for c in left.columns if c not in ("left_slices", "right_slices")],
-        _own_slice(left_spread, "left_slices").alias("left_slice"),
-        _all_slices("right_slices").alias("right_slice"),
-    )
-    right = right.dropna(subset=keys).join(hot, keys, "left")
-    right = right.select(
-        *[c for c in right.columns if c not in ("left_slices", "right_slices")],
-        _own_slice(right_spread, "right_slices").alias("right_slice"),
-        _all_slices("left_slices").alias("left_slice"),
-    )
+    hot = _hot_keys(sizes, keys, cell)
+    rows = hot.collect()
+    if not rows:
+        return left.join(right, keys)
+    hot = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
+    left = _sliced(left.dropna(subset=keys), hot, keys, left_spread, "left", "right")
+    right = _sliced(right.dropna(subset=keys), hot, keys, right_spread, "right", "left")
     return left.join(right, [*keys, "left_slice", "right_slice"]).drop("left_slice", "right_slice")
 
 
 def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
+    """The largest keys with the number of slices each side is cut into; at most HOT_KEYS rows."""
+
     def slices(own: str, other: str) -> F.Column:
         rows = F.col(own).cast("double") * F.least(F.col(other), F.lit(cell))
         return F.ceil(rows / (cell * cell))
@@ -71,10 +64,12 @@ def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
     )
 
 
-def _own_slice(spread: list[str], slices: str) -> F.Column:
-    return F.coalesce(F.pmod(F.xxhash64(*spread), F.col(slices)), F.lit(0).cast("bigint"))
-
-
-def _all_slices(slices: str) -> F.Column:
-    last = F.coalesce(F.col(slices), F.lit(1).cast("bigint")) - 1
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+def _sliced(
+    df: DataFrame, hot: DataFrame, keys: list[str], spread: list[str], own: str, other: str
+) -> DataFrame:
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    own_slice = F.coalesce(F.pmod(F.xxhash64(*spread), F.col(f"{own}_slices")), zero)
+    other_slices = F.explode(F.sequence(zero, F.coalesce(F.col(f"{other}_slices"), one) - 1))
+    return df.join(hot, keys, "left").select(
+        *df.columns, own_slice.alias(f"{own}_slice"), other_slices.alias(f"{other}_slice")
+    )

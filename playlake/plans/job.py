@@ -127,18 +127,19 @@ class _Run:
             self.result.inputs = {**song_input, **play_input}
 
             # Matching needs songs as built: re-read partition columns would turn '' into NULL.
-            songs, pairs, *_ = self.together(
+            songs, pairs, time, *_ = self.together(
                 lambda: stage(dims.songs_dim(metadata), f"{self.work}/songs"),
                 lambda: stage(fact.count_pairs(fact.valid_plays(plays)), f"{self.work}/pairs"),
+                lambda: stage(dims.time_dim(plays), f"{self.work}/time"),
                 lambda: self.write_table("artists", dims.artists_dim(metadata)),
                 lambda: self.write_table("users", dims.users_dim(plays)),
-                lambda: self.write_table("time", dims.time_dim(plays)),
             )
             matches, *_ = self.together(
                 lambda: stage(
                     fact.match_pairs(pairs, songs, self.tables["artists"]), f"{self.work}/matches"
                 ),
                 lambda: self.write_table("songs", songs),
+                lambda: self.write_table("time", time),
                 lambda: self.write_csv(
                     RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"])
                 ),

@@ -11,9 +11,9 @@ from playlake.functions.epoch import epoch_ms_text
 from playlake.operators import audit, dims, fact, reports
 from playlake.plans import job
 from playlake.plans import standins as s
-from playlake.scratch import scratch_dir
+from playlake.scratch import scratch_dir, stage
 from playlake.sources.json_inputs import read_activity_log, read_song_metadata
-from playlake.sources.schemas import TABLE_SCHEMAS
+from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
 
 def utc(spark: SparkSession) -> SparkSession:
@@ -90,7 +90,7 @@ def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_zone(s.linear_fact(utc(spark), sf_dir))
+    return without_zone(s.LinearStar(utc(spark), sf_dir).fact)
 
 
 def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +99,7 @@ def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fact.with_row_id(s.linear_fact(utc(spark), sf_dir))
+    ids = fact.with_row_id(s.LinearStar(utc(spark), sf_dir).fact)
     return ids.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("songplay_id").alias("n_ids"),
@@ -110,21 +110,19 @@ def fact_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reports
 
 
-def linear_song_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.song_plays_of_matches(s.linear_matches(utc(spark), sf_dir))
-
-
 def top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_songs(linear_song_plays(spark, sf_dir), *s.linear_dims(spark, sf_dir))
+    star = s.LinearStar(utc(spark), sf_dir)
+    return reports.top_songs(star.song_plays, star.songs, star.artists)
 
 
 def top_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_artists(linear_song_plays(spark, sf_dir), *s.linear_dims(spark, sf_dir))
+    star = s.LinearStar(utc(spark), sf_dir)
+    return reports.top_artists(star.song_plays, star.songs, star.artists)
 
 
 def top_artists_by_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, artists = s.linear_dims(spark, sf_dir)
-    return reports.top_artists_by_plays(linear_song_plays(spark, sf_dir), artists)
+    star = s.LinearStar(utc(spark), sf_dir)
+    return reports.top_artists_by_plays(star.song_plays, star.artists)
 
 
 def free_paid_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,11 +133,11 @@ def free_paid_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.table_counts(s.linear_tables(utc(spark), sf_dir))
+    return audit.table_counts(s.LinearStar(utc(spark), sf_dir).tables)
 
 
 def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(s.linear_tables(utc(spark), sf_dir))
+    register_views(s.LinearStar(utc(spark), sf_dir).tables)
     return _count_by_sql(spark, {label: table for table, label in audit.LABELS.items()})
 
 
@@ -159,18 +157,18 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_linear_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, int], dict[str, str]]:
-    base = scratch_dir(spark)
-    recorded, folders = {}, {}
-    for name, frame in s.linear_tables(spark, sf_dir).items():
-        folders[name] = f"{base}/{name}"
-        if name == "song_plays":
-            frame = fact.with_row_id(frame)
-        if name == "time":
-            recorded[name] = sinks.write_partitioned(frame, folders[name], ["year", "month"])
-        elif name == "songs":
-            recorded[name] = sinks.write_partitioned(frame, folders[name], ["year", "artist_id"])
-        else:
-            recorded[name] = sinks.write_table(frame, folders[name])
+    star = s.LinearStar(spark, sf_dir)
+    tables = star.tables | {
+        "time": stage(star.tables["time"], f"{star.work}/time"),
+        "song_plays": fact.with_row_id(star.fact),
+    }
+    folders = {table: f"{star.work}/out/{table}" for table in tables}
+    recorded = {
+        table: sinks.write_partitioned(frame, folders[table], PARTITION_COLUMNS[table])
+        if table in PARTITION_COLUMNS
+        else sinks.write_table(frame, folders[table])
+        for table, frame in tables.items()
+    }
     return recorded, folders
 
 
@@ -187,17 +185,17 @@ def _count_by_sql(spark: SparkSession, relations: dict[str, str]) -> DataFrame:
 
 
 def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark)
-    columns = ["year", "artist_id"]
-    sinks.write_partitioned(dims.songs_dim(s.fanout_metadata(spark, sf_dir)), path, columns)
-    return spark.read.schema(TABLE_SCHEMAS["songs"]).parquet(path)
+    work = scratch_dir(spark)
+    songs = stage(dims.songs_dim(s.fanout_metadata(spark, sf_dir)), f"{work}/staged")
+    sinks.write_partitioned(songs, f"{work}/songs", PARTITION_COLUMNS["songs"])
+    return spark.read.schema(TABLE_SCHEMAS["songs"]).parquet(f"{work}/songs")
 
 
 def parquet_partitioned_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark)
-    times = dims.time_dim(s.order_log(utc(spark), sf_dir))
-    sinks.write_partitioned(times, path, ["year", "month"])
-    return without_zone(spark.read.schema(TABLE_SCHEMAS["time"]).parquet(path))
+    work = scratch_dir(spark)
+    times = stage(dims.time_dim(s.order_log(utc(spark), sf_dir)), f"{work}/staged")
+    sinks.write_partitioned(times, f"{work}/time", PARTITION_COLUMNS["time"])
+    return without_zone(spark.read.schema(TABLE_SCHEMAS["time"]).parquet(f"{work}/time"))
 
 
 def parquet_plain(spark: SparkSession, sf_dir: str) -> DataFrame:

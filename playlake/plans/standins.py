@@ -6,12 +6,15 @@ songs with repeated titles and brands are artists with several rows each; purcha
 the plays.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.functions.epoch import epoch_ms_text, start_time
-from playlake.operators import dims, fact
+from playlake.operators import dims, fact, reports
 from playlake.operators.skew import split_join
+from playlake.scratch import scratch_dir, stage
 
 URGENT = "1-URGENT"
 PURCHASE = "purchase"
@@ -21,31 +24,89 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text(column: str) -> F.Column:
+def text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def level(status: str) -> F.Column:
+def level(status: str) -> Column:
     return F.when(F.col(status) == "F", "paid").when(F.col(status) == "O", "free").otherwise(F.col(status))
 
 
-# Linear star
-
-
-def linear_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One song per customer, by the artist of its nation. Nations without customers have no row."""
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+class LinearStar:
+    """Customers as songs, nations as artists, urgent orders as plays."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.work = scratch_dir(spark)
+
+    @cached_property
+    def songs(self) -> DataFrame:
+        metadata = table(self.spark, self.sf_dir, "customer").select(*customer_as_song())
+        return stage(dims.songs_dim(metadata), f"{self.work}/songs")
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return dims.artists_dim(table(self.spark, self.sf_dir, "nation").select(*nation_as_artist()))
+
+    @cached_property
+    def log(self) -> DataFrame:
+        """Log lines of the plays, without song and artist."""
+        return dims.filter_page(order_log(self.spark, self.sf_dir), URGENT)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Plays per (song, artist), counted per customer before the names are joined."""
+        valid = self.log.withColumn("start_time", start_time("ts")).dropna(subset=["start_time"])
+        counted = valid.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
+        named = counted.join(named_customers(self.spark, self.sf_dir), "o_custkey")
+        return stage(
+            named.dropna(subset=fact.PAIR).groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays")),
+            f"{self.work}/pairs",
+        )
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return fact.match_pairs(self.pairs, self.songs, self.artists)
+
+    @cached_property
+    def song_plays(self) -> DataFrame:
+        """Plays per (artist, song)."""
+        return reports.song_plays_of_matches(self.matches)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        plays = add_names(self.spark, self.sf_dir, self.log).withColumn("start_time", start_time("ts"))
+        return fact.build_fact(plays, stage(self.matches, f"{self.work}/matches"), ["play_no"])
+
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "songs": self.songs,
+            "artists": self.artists,
+            "users": dims.users_dim(self.log),
+            "time": dims.time_dim(self.log),
+            "song_plays": self.fact,
+        }
+
+
+def customer_as_song() -> list[Column]:
+    return [
         text("c_custkey").alias("song_id"),
         F.col("c_name").alias("title"),
         text("c_nationkey").alias("artist_id"),
         F.col("c_mktsegment").alias("year"),
         text("c_acctbal").alias("duration"),
+    ]
+
+
+def nation_as_artist() -> list[Column]:
+    return [
+        text("n_nationkey").alias("artist_id"),
         F.col("n_name").alias("artist_name"),
         text("n_regionkey").alias("artist_location"),
         F.lit(None).cast("float").alias("artist_latitude"),
         F.lit(None).cast("float").alias("artist_longitude"),
-    )
+    ]
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +127,13 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def named_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+
+
+def named_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_nation(spark, sf_dir).select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("song"), F.col("n_name").alias("artist")
     )
 
@@ -81,53 +146,14 @@ def add_names(spark: SparkSession, sf_dir: str, log: DataFrame) -> DataFrame:
     return split_join(log, named_customers(spark, sf_dir), ["o_custkey"], ["play_no"], ["song"], sizes)
 
 
-def linear_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = dims.filter_page(order_log(spark, sf_dir), URGENT)
-    return add_names(spark, sf_dir, log).withColumn("start_time", start_time("ts"))
-
-
-def linear_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays per (song, artist), counted before the names are joined."""
-    log = dims.filter_page(order_log(spark, sf_dir), URGENT).withColumn("start_time", start_time("ts"))
-    counted = log.dropna(subset=["start_time"]).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
-    named = counted.join(named_customers(spark, sf_dir), "o_custkey").dropna(subset=fact.PAIR)
-    return named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays"))
-
-
-def linear_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    metadata = linear_metadata(spark, sf_dir)
-    return dims.songs_dim(metadata), dims.artists_dim(metadata)
-
-
-def linear_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact.match_pairs(linear_pairs(spark, sf_dir), *linear_dims(spark, sf_dir))
-
-
-def linear_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact.build_fact(linear_plays(spark, sf_dir), linear_matches(spark, sf_dir), ["play_no"])
-
-
-def linear_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All five tables of the linear star."""
-    songs, artists = linear_dims(spark, sf_dir)
-    plays = dims.filter_page(order_log(spark, sf_dir), URGENT)
-    return {
-        "songs": songs,
-        "artists": artists,
-        "users": dims.users_dim(plays),
-        "time": dims.time_dim(plays),
-        "song_plays": linear_fact(spark, sf_dir),
-    }
-
-
 def write_linear_inputs(spark: SparkSession, sf_dir: str, base: str) -> None:
     """Write the linear star as the two JSON trees the job reads."""
-    metadata = linear_metadata(spark, sf_dir)
-    metadata.select(
-        "*",
+    customer_nation(spark, sf_dir).select(
+        *customer_as_song(),
+        *nation_as_artist()[1:],
         F.lit(1).alias("num_songs"),
-        F.col("artist_location").alias("a"),
-        F.col("year").alias("b"),
+        F.col("n_regionkey").alias("a"),
+        F.col("c_mktsegment").alias("b"),
         F.lit("all").alias("c"),
     ).write.mode("overwrite").partitionBy("a", "b", "c").json(f"{base}/song_data")
 
@@ -162,22 +188,19 @@ def fanout_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fanout_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases per (part name, brand), counted per part before the names are joined."""
+def fanout_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases per (part name, brand), counted per part before the names are joined, and matched."""
+    work = scratch_dir(spark)
     events = dims.filter_page(table(spark, sf_dir, "events"), PURCHASE, "event_type")
     key = F.from_json("props", "k BIGINT")["k"].alias("p_partkey")
     counted = events.select(key).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("plays"))
     named = counted.join(table(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_name").alias("song"), F.col("p_brand").alias("artist"), "plays"
     )
-    return named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays"))
-
-
-def fanout_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays"))
     metadata = fanout_metadata(spark, sf_dir)
-    return fact.match_pairs(
-        fanout_pairs(spark, sf_dir), dims.songs_dim(metadata), dims.artists_dim(metadata)
-    )
+    songs = stage(dims.songs_dim(metadata), f"{work}/songs")
+    return fact.match_pairs(stage(pairs, f"{work}/pairs"), songs, dims.artists_dim(metadata))
 
 
 # Activity log

@@ -3,6 +3,11 @@
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+# How a partitioned write is cut into tasks.
+ROWS_PER_TASK = 1_000_000
+FOLDERS_PER_TASK = 100
+MAX_TASKS = 20_000
+
 
 def write_table(df: DataFrame, path: str) -> int:
     df, written = _counted(df)
@@ -11,13 +16,19 @@ def write_table(df: DataFrame, path: str) -> int:
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> int:
-    """Write one folder per value of `columns`.
+    """Write one folder per value of `columns`. `df` should be a stored table: it is read thrice.
 
-    The rebalance brings the rows of a folder together, so that tasks do not each write a small
-    file into every folder. Unlike a plain repartition it lets adaptive execution cut a folder
-    that holds a large share of the rows into several tasks, and merge small ones.
+    Rows are ranged by `columns` and then by the rest, so a folder falls into one task if it is
+    small, and a folder that holds a large share of the rows is cut into several. The number of
+    tasks follows from the rows and also from the folders, as nearly empty folders cost most.
     """
-    df, written = _counted(df.hint("rebalance", *[F.col(c) for c in columns]))
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct(F.xxhash64(*columns)).alias("folders"),
+    ).first()
+    tasks = max(1, size["rows"] // ROWS_PER_TASK, size["folders"] // FOLDERS_PER_TASK)
+    rest = [c for c in df.columns if c not in columns]
+    df, written = _counted(df.repartitionByRange(min(tasks, MAX_TASKS), *columns, *rest))
     df.write.mode("overwrite").partitionBy(*columns).parquet(path)
     return written.get["rows"]
 
