@@ -4,16 +4,15 @@ Each raw input is scanned once. Everything after that reads staged or written Pa
 """
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playlake import sinks
 from playlake.functions.epoch import start_time
 from playlake.operators import audit, dims, fact, reports
+from playlake.parallel import together
 from playlake.scratch import discard, scratch_dir, stage
 from playlake.sources.json_inputs import is_malformed, read_activity_log, read_song_metadata
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
@@ -23,9 +22,6 @@ PLAY_PAGE = "NextSong"
 COUNTS_FOLDER = "AllTblCnt"
 RATIO_FOLDER = "paid_free_rt"
 
-# Outputs that do not depend on each other are written at the same time.
-PARALLEL_WRITES = 4
-
 PLAY_COLUMNS = [
     "artist", "firstName", "gender", "lastName", "level", "location", "sessionId", "song", "ts",
     "userAgent", "userId",
@@ -118,42 +114,47 @@ class _Run:
         self.tables: dict[str, DataFrame] = {}
 
     def run(self) -> RunResult:
-        with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-            self.pool = pool
-            (metadata, song_input), (plays, play_input) = self.together(
-                lambda: stage_songs(self.spark, self.input_base, f"{self.work}/metadata"),
-                lambda: stage_plays(self.spark, self.input_base, f"{self.work}/plays"),
-            )
-            self.result.inputs = {**song_input, **play_input}
-
-            # Matching needs songs as built: re-read partition columns would turn '' into NULL.
-            songs, pairs, time, *_ = self.together(
-                lambda: stage(dims.songs_dim(metadata), f"{self.work}/songs"),
-                lambda: stage(fact.count_pairs(fact.valid_plays(plays)), f"{self.work}/pairs"),
-                lambda: stage(dims.time_dim(plays), f"{self.work}/time"),
-                lambda: self.write_table("artists", dims.artists_dim(metadata)),
-                lambda: self.write_table("users", dims.users_dim(plays)),
-            )
-            matches, *_ = self.together(
-                lambda: stage(
-                    fact.match_pairs(pairs, songs, self.tables["artists"]), f"{self.work}/matches"
-                ),
-                lambda: self.write_table("songs", songs),
-                lambda: self.write_table("time", time),
-                lambda: self.write_csv(
-                    RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"])
-                ),
-            )
-            # Joins and reports use the songs as built, not the re-read ones.
-            self.tables["songs"] = songs
-            self.write_table("song_plays", fact.with_row_id(fact.build_fact(plays, matches, ["play_no"])))
-            self.write_reports()
+        (metadata, song_input), (plays, play_input) = together(
+            self.spark,
+            lambda: stage_songs(self.spark, self.input_base, f"{self.work}/metadata"),
+            lambda: stage_plays(self.spark, self.input_base, f"{self.work}/plays"),
+        )
+        self.result.inputs = {**song_input, **play_input}
+
+        songs, pairs, time, *_ = together(
+            self.spark,
+            lambda: stage(dims.songs_dim(metadata), f"{self.work}/songs"),
+            lambda: stage(fact.count_pairs(fact.valid_plays(plays)), f"{self.work}/pairs"),
+            lambda: stage(dims.time_dim(plays), f"{self.work}/time"),
+            lambda: self.write_table("artists", dims.artists_dim(metadata)),
+            lambda: self.write_table("users", dims.users_dim(plays)),
+        )
+        together(
+            self.spark,
+            lambda: self.write_fact(plays, pairs, songs),
+            lambda: self.write_table("songs", songs),
+            lambda: self.write_table("time", time),
+            lambda: self.write_csv(
+                RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"])
+            ),
+        )
+        # Reports use the songs as built: re-read partition columns have '' turned into NULL.
+        self.tables["songs"] = songs
+        self.write_reports()
         return self.result
 
+    def write_fact(self, plays: DataFrame, pairs: DataFrame, songs: DataFrame) -> None:
+        matches = stage(
+            fact.match_pairs(pairs, songs, self.tables["artists"]), f"{self.work}/matches"
+        )
+        rows = fact.build_fact(plays, matches, ["play_no"])
+        self.write_table("song_plays", fact.with_row_id(rows))
+
     def write_reports(self) -> None:
         songs, artists = self.tables["songs"], self.tables["artists"]
         counted = stage(reports.song_plays(self.tables["song_plays"]), f"{self.work}/song_plays")
-        self.together(
+        together(
+            self.spark,
             lambda: self.write_csv("top_songs", lambda: reports.top_songs(counted, songs, artists)),
             lambda: self.write_csv("top_artists", lambda: reports.top_artists(counted, songs, artists)),
             lambda: self.write_csv(
@@ -205,7 +206,3 @@ class _Run:
         except Exception as error:  # reported at the end of the run
             outcome.error = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
         return outcome.error is None
-
-    def together(self, *steps: Callable[[], object]) -> list:
-        futures = [self.pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]
-        return [future.result() for future in futures]

@@ -9,6 +9,7 @@ from playlake import sinks
 from playlake.catalog import register_tables, register_views
 from playlake.functions.epoch import epoch_ms_text
 from playlake.operators import audit, dims, fact, reports
+from playlake.parallel import together
 from playlake.plans import job
 from playlake.plans import standins as s
 from playlake.scratch import scratch_dir, stage
@@ -158,18 +159,20 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_linear_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, int], dict[str, str]]:
     star = s.LinearStar(spark, sf_dir)
-    tables = star.tables | {
-        "time": stage(star.tables["time"], f"{star.work}/time"),
-        "song_plays": fact.with_row_id(star.fact),
-    }
-    folders = {table: f"{star.work}/out/{table}" for table in tables}
-    recorded = {
-        table: sinks.write_partitioned(frame, folders[table], PARTITION_COLUMNS[table])
-        if table in PARTITION_COLUMNS
-        else sinks.write_table(frame, folders[table])
-        for table, frame in tables.items()
-    }
-    return recorded, folders
+    folders = {table: f"{star.work}/out/{table}" for table in audit.LABELS}
+
+    def write(table: str) -> int:
+        frame = star.tables[table]
+        if table == "song_plays":
+            frame = fact.with_row_id(frame)
+        if table not in PARTITION_COLUMNS:
+            return sinks.write_table(frame, folders[table])
+        staged = stage(frame, f"{star.work}/{table}_staged")
+        return sinks.write_partitioned(staged, folders[table], PARTITION_COLUMNS[table])
+
+    star.tables  # build the plans once, before they are written side by side
+    written = together(spark, *[lambda table=table: write(table) for table in folders])
+    return dict(zip(folders, written)), folders
 
 
 def _count_by_sql(spark: SparkSession, relations: dict[str, str]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from playlake.functions.epoch import epoch_ms_text, start_time
 from playlake.operators import dims, fact, reports
 from playlake.operators.skew import split_join
+from playlake.parallel import together
 from playlake.scratch import scratch_dir, stage
 
 URGENT = "1-URGENT"
@@ -66,6 +67,7 @@ class LinearStar:
 
     @cached_property
     def matches(self) -> DataFrame:
+        together(self.spark, lambda: self.songs, lambda: self.pairs)
         return fact.match_pairs(self.pairs, self.songs, self.artists)
 
     @cached_property
@@ -73,10 +75,17 @@ class LinearStar:
         """Plays per (artist, song)."""
         return reports.song_plays_of_matches(self.matches)
 
+    @cached_property
+    def plays(self) -> DataFrame:
+        named = add_names(self.spark, self.sf_dir, self.log)
+        return named.withColumn("start_time", start_time("ts"))
+
     @cached_property
     def fact(self) -> DataFrame:
-        plays = add_names(self.spark, self.sf_dir, self.log).withColumn("start_time", start_time("ts"))
-        return fact.build_fact(plays, stage(self.matches, f"{self.work}/matches"), ["play_no"])
+        plays, matches = together(
+            self.spark, lambda: self.plays, lambda: stage(self.matches, f"{self.work}/matches")
+        )
+        return fact.build_fact(plays, matches, ["play_no"])
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -199,8 +208,12 @@ def fanout_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pairs = named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays"))
     metadata = fanout_metadata(spark, sf_dir)
-    songs = stage(dims.songs_dim(metadata), f"{work}/songs")
-    return fact.match_pairs(stage(pairs, f"{work}/pairs"), songs, dims.artists_dim(metadata))
+    songs, pairs = together(
+        spark,
+        lambda: stage(dims.songs_dim(metadata), f"{work}/songs"),
+        lambda: stage(pairs, f"{work}/pairs"),
+    )
+    return fact.match_pairs(pairs, songs, dims.artists_dim(metadata))
 
 
 # Activity log
