@@ -79,4 +79,5 @@ def free_paid_ratio(users: DataFrame) -> DataFrame:
 
 
 def _sorted_lines(rows: DataFrame, message: F.Column) -> DataFrame:
-    return rows.select("plays", message.alias("message")).orderBy(F.desc("plays"), "message").select("message")
+    lines = rows.select("plays", message.alias("message"))
+    return lines.orderBy(F.desc("plays"), "message").select("message")

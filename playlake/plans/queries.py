@@ -72,15 +72,16 @@ def filter_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.songs_dim(s.fanout_metadata(spark, sf_dir).withColumn("song_id", F.col("title")))
+    metadata = s.fanout_metadata(s.table(spark, sf_dir, "part"))
+    return dims.songs_dim(metadata.withColumn("song_id", F.col("title")))
 
 
 def dim_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.artists_dim(s.fanout_metadata(spark, sf_dir))
+    return dims.artists_dim(s.fanout_metadata(s.table(spark, sf_dir, "part")))
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.users_dim(s.order_log(utc(spark), sf_dir))
+    return dims.users_dim(s.order_log(s.table(utc(spark), sf_dir, "orders")))
 
 
 def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,14 +190,14 @@ def _count_by_sql(spark: SparkSession, relations: dict[str, str]) -> DataFrame:
 
 def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark)
-    songs = stage(dims.songs_dim(s.fanout_metadata(spark, sf_dir)), f"{work}/staged")
+    songs = stage(dims.songs_dim(s.fanout_metadata(s.table(spark, sf_dir, "part"))), f"{work}/staged")
     sinks.write_partitioned(songs, f"{work}/songs", PARTITION_COLUMNS["songs"])
     return spark.read.schema(TABLE_SCHEMAS["songs"]).parquet(f"{work}/songs")
 
 
 def parquet_partitioned_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark)
-    times = stage(dims.time_dim(s.order_log(utc(spark), sf_dir)), f"{work}/staged")
+    times = stage(dims.time_dim(s.order_log(s.table(utc(spark), sf_dir, "orders"))), f"{work}/staged")
     sinks.write_partitioned(times, f"{work}/time", PARTITION_COLUMNS["time"])
     return without_zone(spark.read.schema(TABLE_SCHEMAS["time"]).parquet(f"{work}/time"))
 
@@ -226,10 +227,10 @@ def csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_job(spark: SparkSession, sf_dir: str) -> str:
     """Write the linear star as JSON, run the job on it and return the output folder."""
-    base = scratch_dir(utc(spark))
-    s.write_linear_inputs(spark, sf_dir, f"{base}/in")
-    job.run(spark, f"{base}/in", f"{base}/out")
-    return f"{base}/out"
+    star = s.LinearStar(utc(spark), sf_dir)
+    star.write_inputs(f"{star.work}/in")
+    job.run(spark, f"{star.work}/in", f"{star.work}/out")
+    return f"{star.work}/out"
 
 
 def etl_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:

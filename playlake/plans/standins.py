@@ -37,32 +37,42 @@ class LinearStar:
     """Customers as songs, nations as artists, urgent orders as plays."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark = spark
         self.work = scratch_dir(spark)
+        self.orders = table(spark, sf_dir, "orders")
+        self.customer = table(spark, sf_dir, "customer")
+        self.nation = table(spark, sf_dir, "nation")
 
     @cached_property
     def songs(self) -> DataFrame:
-        metadata = table(self.spark, self.sf_dir, "customer").select(*customer_as_song())
-        return stage(dims.songs_dim(metadata), f"{self.work}/songs")
+        return stage(dims.songs_dim(self.customer.select(*customer_as_song())), f"{self.work}/songs")
 
     @cached_property
     def artists(self) -> DataFrame:
-        return dims.artists_dim(table(self.spark, self.sf_dir, "nation").select(*nation_as_artist()))
+        return dims.artists_dim(self.nation.select(*nation_as_artist()))
 
     @cached_property
     def log(self) -> DataFrame:
         """Log lines of the plays, without song and artist."""
-        return dims.filter_page(order_log(self.spark, self.sf_dir), URGENT)
+        return dims.filter_page(order_log(self.orders), URGENT)
+
+    @cached_property
+    def named_customers(self) -> DataFrame:
+        """Song and artist name of each customer."""
+        return self.customer.join(self.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.col("c_custkey").alias("o_custkey"),
+            F.col("c_name").alias("song"),
+            F.col("n_name").alias("artist"),
+        )
 
     @cached_property
     def pairs(self) -> DataFrame:
         """Plays per (song, artist), counted per customer before the names are joined."""
         valid = self.log.withColumn("start_time", start_time("ts")).dropna(subset=["start_time"])
         counted = valid.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
-        named = counted.join(named_customers(self.spark, self.sf_dir), "o_custkey")
+        named = counted.join(self.named_customers, "o_custkey").dropna(subset=fact.PAIR)
         return stage(
-            named.dropna(subset=fact.PAIR).groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays")),
-            f"{self.work}/pairs",
+            named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays")), f"{self.work}/pairs"
         )
 
     @cached_property
@@ -77,8 +87,7 @@ class LinearStar:
 
     @cached_property
     def plays(self) -> DataFrame:
-        named = add_names(self.spark, self.sf_dir, self.log)
-        return named.withColumn("start_time", start_time("ts"))
+        return self.add_names(self.log).withColumn("start_time", start_time("ts"))
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -97,6 +106,39 @@ class LinearStar:
             "song_plays": self.fact,
         }
 
+    def add_names(self, log: DataFrame) -> DataFrame:
+        """Give log lines the song and artist names of their customer."""
+        sizes = log.groupBy("o_custkey").agg(
+            F.count(F.lit(1)).alias("left_rows"), F.lit(1).cast("bigint").alias("right_rows")
+        )
+        return split_join(log, self.named_customers, ["o_custkey"], ["play_no"], ["song"], sizes)
+
+    def write_inputs(self, base: str) -> None:
+        """Write songs and all orders as the two JSON trees the job reads."""
+        metadata = self.customer.join(self.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            *customer_as_song(),
+            *nation_as_artist()[1:],
+            F.lit(1).alias("num_songs"),
+            F.col("n_regionkey").alias("a"),
+            F.col("c_mktsegment").alias("b"),
+            F.lit("all").alias("c"),
+        )
+        day = F.timestamp_millis(F.col("ts").cast("bigint"))
+        log = self.add_names(order_log(self.orders)).select(
+            "song", "artist", "userId", "firstName", "lastName", "gender", "level", "location",
+            "sessionId", "userAgent",
+            F.col("ts").cast("bigint").alias("ts"),
+            F.when(F.col("page") == URGENT, "NextSong").otherwise(F.col("page")).alias("page"),
+            F.year(day).alias("y"),
+            F.month(day).alias("m"),
+        )
+        log = log.hint("rebalance", F.col("y"), F.col("m"))
+        together(
+            self.spark,
+            lambda: metadata.write.partitionBy("a", "b", "c").json(f"{base}/song_data"),
+            lambda: log.write.partitionBy("y", "m").json(f"{base}/log_data"),
+        )
+
 
 def customer_as_song() -> list[Column]:
     return [
@@ -118,9 +160,9 @@ def nation_as_artist() -> list[Column]:
     ]
 
 
-def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_log(orders: DataFrame) -> DataFrame:
     """Orders as log lines, without song and artist."""
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         "o_custkey",
         F.col("o_orderkey").alias("play_no"),
         epoch_ms_text("o_orderdate").alias("ts"),
@@ -136,55 +178,11 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-
-
-def named_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_nation(spark, sf_dir).select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("song"), F.col("n_name").alias("artist")
-    )
-
-
-def add_names(spark: SparkSession, sf_dir: str, log: DataFrame) -> DataFrame:
-    """Give log lines the song and artist names of their customer."""
-    sizes = log.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("left_rows"), F.lit(1).cast("bigint").alias("right_rows")
-    )
-    return split_join(log, named_customers(spark, sf_dir), ["o_custkey"], ["play_no"], ["song"], sizes)
-
-
-def write_linear_inputs(spark: SparkSession, sf_dir: str, base: str) -> None:
-    """Write the linear star as the two JSON trees the job reads."""
-    customer_nation(spark, sf_dir).select(
-        *customer_as_song(),
-        *nation_as_artist()[1:],
-        F.lit(1).alias("num_songs"),
-        F.col("n_regionkey").alias("a"),
-        F.col("c_mktsegment").alias("b"),
-        F.lit("all").alias("c"),
-    ).write.mode("overwrite").partitionBy("a", "b", "c").json(f"{base}/song_data")
-
-    log = add_names(spark, sf_dir, order_log(spark, sf_dir))
-    day = F.timestamp_millis(F.col("ts").cast("bigint"))
-    log.select(
-        "song", "artist", "userId", "firstName", "lastName", "gender", "level", "location",
-        "sessionId", "userAgent",
-        F.col("ts").cast("bigint").alias("ts"),
-        F.when(F.col("page") == URGENT, "NextSong").otherwise(F.col("page")).alias("page"),
-        F.year(day).alias("y"),
-        F.month(day).alias("m"),
-    ).hint("rebalance", F.col("y"), F.col("m")).write.mode("overwrite").partitionBy("y", "m").json(
-        f"{base}/log_data"
-    )
-
-
 # Fan-out star
 
 
-def fanout_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+def fanout_metadata(part: DataFrame) -> DataFrame:
+    return part.select(
         text("p_partkey").alias("song_id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("artist_id"),
@@ -200,14 +198,15 @@ def fanout_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fanout_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases per (part name, brand), counted per part before the names are joined, and matched."""
     work = scratch_dir(spark)
+    part = table(spark, sf_dir, "part")
     events = dims.filter_page(table(spark, sf_dir, "events"), PURCHASE, "event_type")
     key = F.from_json("props", "k BIGINT")["k"].alias("p_partkey")
     counted = events.select(key).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("plays"))
-    named = counted.join(table(spark, sf_dir, "part"), "p_partkey").select(
+    named = counted.join(part, "p_partkey").select(
         F.col("p_name").alias("song"), F.col("p_brand").alias("artist"), "plays"
     )
     pairs = named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays"))
-    metadata = fanout_metadata(spark, sf_dir)
+    metadata = fanout_metadata(part)
     songs, pairs = together(
         spark,
         lambda: stage(dims.songs_dim(metadata), f"{work}/songs"),
