@@ -1,0 +1,180 @@
+"""The whole job on a small JSON tree."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import play, song
+from playlake import sinks
+from playlake.catalog import register_tables
+from playlake.plans import job
+from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
+
+TABLES = ["songs", "artists", "users", "time", "song_plays"]
+
+
+def fill(inputs):
+    return inputs.songs(
+        song("S1", "T", "A1", "N"),
+        song("S2", 'say "hi", you', "A2", "M"),
+        song("S3", "U", "", "E", year=None),
+        "{bad",
+        song("S1", "T", "A1", "N"),
+    ).log(
+        play("T", "N"),
+        play("T", "N", level="paid"),
+        play('say "hi", you', "M", ts=1546214400000, user="2"),
+        play("U", "E", ts=None),
+        play("U", "E", ts=1546214400001),
+        play("T", "N", page="Home"),
+        "{bad",
+    )
+
+
+def csv(spark, out, name, header=True):
+    return [tuple(r) for r in spark.read.option("header", header).csv(f"{out}/{name}").collect()]
+
+
+def read(spark, out, table):
+    return spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{out}/{table}")
+
+
+@pytest.fixture(scope="module")
+def finished(spark, tmp_path_factory):
+    from conftest import Inputs
+
+    base = tmp_path_factory.mktemp("job")
+    inputs = fill(Inputs(base / "in"))
+    first = job.run(spark, str(inputs), f"{base}/out")
+    again = job.run(spark, str(inputs), f"{base}/out/")
+    return first, again, f"{base}/out"
+
+
+def test_tables(spark, finished):
+    out = finished[2]
+    assert {t: read(spark, out, t).count() for t in TABLES} == {
+        "songs": 4, "artists": 4, "users": 3, "time": 3, "song_plays": 4,
+    }
+    fact = read(spark, out, "song_plays")
+    rows = {(r["user_id"], r["level"], r["song_id"], r["artist_id"]) for r in fact.collect()}
+    assert rows == {("1", "free", "S1", "A1"), ("1", "paid", "S1", "A1"), ("2", "free", "S2", "A2"),
+                    ("1", "free", "S3", "")}
+    ids = [r["songplay_id"] for r in fact.collect()]
+    assert len(set(ids)) == len(ids) and min(ids) >= 0
+
+
+def test_written_schemas(spark, finished):
+    for table in TABLES:
+        written = spark.read.option("basePath", f"{finished[2]}/{table}").parquet(f"{finished[2]}/{table}")
+        declared = read(spark, finished[2], table)
+        stored = [c for c in declared.columns if c not in PARTITION_COLUMNS.get(table, [])]
+        assert written.select(stored).schema.simpleString() == declared.select(stored).schema.simpleString()
+        assert written.columns[len(stored):] == PARTITION_COLUMNS.get(table, [])
+
+
+def test_f14_null_and_empty_partition_values(spark, finished):
+    songs = read(spark, finished[2], "songs")
+    assert {(r["song_id"], r["year"], r["artist_id"]) for r in songs.collect()} == {
+        ("S1", "0", "A1"), ("S2", "0", "A2"), ("S3", None, None), (None, None, None),
+    }
+
+
+def test_f15_reports_round_trip(spark, finished):
+    out = finished[2]
+    assert csv(spark, out, "top_songs") == [
+        ('"T" by N played 2 times.',), ('"U" by E played 1 times.',),
+        ('"say "hi", you" by M played 1 times.',),
+    ]
+    assert csv(spark, out, "top_artists") == [
+        ('"N" was played 2 times.',), ('"E" was played 1 times.',), ('"M" was played 1 times.',),
+    ]
+    assert csv(spark, out, "paid_free_rt") == [("Ratio:", "Free users: 2", "Paid users: 1", "2.0:1.0")]
+
+
+def test_counts(spark, finished):
+    out = finished[2]
+    assert csv(spark, out, "AllTblCnt", header=False) == [
+        ("Songs:", "4"), ("Users:", "3"), ("Time:", "3"), ("SongsPlays:", "4"), ("Artists:", "4"),
+    ]
+    assert {row[-1] for row in csv(spark, out, "reconciliation")} == {"ok"}
+    assert dict(csv(spark, out, "input_audit")) == {
+        "song_rows": "5", "malformed_song_rows": "1", "log_rows": "7", "malformed_log_rows": "1",
+        "plays": "5", "plays_without_time": "1",
+    }
+
+
+def test_each_report_is_one_file(finished, spark):
+    from pathlib import Path
+
+    for report in ("AllTblCnt", "top_songs", "top_artists", "paid_free_rt"):
+        assert len(list(Path(finished[2], report).glob("*.csv"))) == 1
+
+
+def test_second_run_replaces_the_first(finished):
+    first, again, _ = finished
+    assert {o.output: o.rows for o in first.outcomes.values()} == {
+        o.output: o.rows for o in again.outcomes.values()
+    }
+    assert not again.failed
+
+
+def test_intermediate_tables_are_deleted(spark, finished):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not list(shared.glob("playlake-*/matches"))
+
+
+def test_catalogue_tables(spark, finished):
+    names = register_tables(spark, {t: f"{finished[2]}/{t}" for t in TABLES}, prefix="job_")
+    counts = {n: spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names}
+    assert counts == {"job_songs": 4, "job_artists": 4, "job_users": 3, "job_time": 3, "job_song_plays": 4}
+    assert spark.sql("SELECT count(*) FROM job_time WHERE year = 2018 AND month = 12").first()[0] == 2
+
+
+@pytest.mark.parametrize("broken", ["users", "song_plays", "songs"])
+def test_f16_one_failed_output_does_not_stop_the_others(spark, inputs, tmp_path, monkeypatch, broken):
+    def fail_for(write):
+        def attempt(df, path, *more):
+            if path.endswith(f"/{broken}"):
+                raise OSError("target cannot be written")
+            return write(df, path, *more)
+
+        return attempt
+
+    for name in ("write_table", "write_partitioned"):
+        monkeypatch.setattr(sinks, name, fail_for(getattr(sinks, name)))
+    out = f"{tmp_path}/out"
+    with pytest.raises(job.JobFailed, match=f"{broken}: target cannot be written") as failure:
+        job.run(spark, str(fill(inputs)), out)
+    assert [o.output for o in failure.value.result.failed] == [broken]
+    assert len(csv(spark, out, "top_songs")) == 3
+    assert csv(spark, out, "paid_free_rt")[0][-1] == "2.0:1.0"
+    # Still counted, and shown as missing by the reconciliation.
+    assert dict(csv(spark, out, "AllTblCnt", header=False))["SongsPlays:"] == "4"
+    missing = [row for row in csv(spark, out, "reconciliation") if row[-1] != "ok"]
+    assert len(missing) == 1 and missing[0][2:] == (None, "mismatch")
+
+
+def test_missing_input_raises(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        job.run(spark, f"{tmp_path}/none", f"{tmp_path}/out")
+
+
+def test_no_plays_at_all(spark, inputs, tmp_path):
+    inputs.songs(song()).log(play(page="Home"))
+    result = job.run(spark, str(inputs), f"{tmp_path}/out")
+    assert result.outcomes["song_plays"].rows == 0
+    assert csv(spark, f"{tmp_path}/out", "paid_free_rt") == [("Ratio:", "Free users: 0", "Paid users: 0", None)]
+
+
+def test_fact_rows_equal_the_sum_of_matches(spark, inputs, tmp_path):
+    songs = [song(f"S{i}", f"T{i % 4}", f"A{i % 5}", f"N{i % 3}") for i in range(30)]
+    plays = [play(f"T{i % 5}", f"N{i % 4}", ts=1541107493796 + i % 7, user=str(i)) for i in range(60)]
+    inputs.songs(*songs).log(*plays)
+    job.run(spark, str(inputs), f"{tmp_path}/out")
+    names = {(s["artist_id"], s["artist_name"]) for s in songs}
+    expected = sum(
+        sum(s["title"] == p["song"] for s in songs) * sum(n == p["artist"] for _, n in names) for p in plays
+    )
+    fact = read(spark, f"{tmp_path}/out", "song_plays")
+    assert fact.agg(F.count(F.lit(1)), F.count_distinct("songplay_id")).first() == (expected, expected)
