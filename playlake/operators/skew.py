@@ -1,6 +1,6 @@
 """Equi-join that spreads the keys holding the most output rows over many tasks."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # A key is split so that one task joins at most CELL rows of one side with CELL rows of the other.
@@ -8,6 +8,10 @@ CELL = 1000
 # Keys split explicitly. Every other key holds at most 1/HOT_KEYS of the output and goes through
 # the same join unsplit, so the number bounds what the driver sees and never the result.
 HOT_KEYS = 10_000
+# Output rows per task. Adaptive execution sizes tasks by what they read; with many matches per
+# row they write far more than that.
+TASK_ROWS = 5_000_000
+MAX_TASKS = 20_000
 
 
 def key_sizes(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,19 +33,27 @@ def split_join(
     """Inner join on `keys`, with each hot key cut into a grid of slices.
 
     `sizes` holds the keys with `left_rows` and `right_rows`. It is evaluated here, once, to find
-    the hot keys; without any, this is a plain join. Otherwise a left row goes to one slice of
-    the left side and is copied to all slices of the right side, and the other way round, so each
-    matching pair meets exactly once. Slices are hashes of the `*_spread` columns and not random
-    numbers: a task that runs again after a lost executor must send each row to the same place.
+    the hot keys and the size of the output; a small output without hot keys is left to a plain
+    join. Otherwise a left row goes to one slice of the left side and is copied to all slices of
+    the right side, and the other way round, so each matching pair meets exactly once. Slices are
+    hashes of the `*_spread` columns and not random numbers: a task that runs again after a lost
+    executor must send each row to the same place.
     """
-    hot = _hot_keys(sizes, keys, cell)
+    spark = left.sparkSession
+    sizes = sizes.withColumn("output_rows", F.col("left_rows").cast("double") * F.col("right_rows"))
+    seen = Observation()
+    hot = _hot_keys(sizes.observe(seen, F.sum("output_rows").alias("total")), keys, cell)
     rows = hot.collect()
-    if not rows:
-        return left.join(right, keys)
-    hot = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
-    left = _sliced(left.dropna(subset=keys), hot, keys, left_spread, "left", "right")
-    right = _sliced(right.dropna(subset=keys), hot, keys, right_spread, "right", "left")
-    return left.join(right, [*keys, "left_slice", "right_slice"]).drop("left_slice", "right_slice")
+    left, right = left.dropna(subset=keys), right.dropna(subset=keys)
+    if rows:
+        hot = F.broadcast(spark.createDataFrame(rows, hot.schema))
+        left = _sliced(left, hot, keys, left_spread, "left", "right")
+        right = _sliced(right, hot, keys, right_spread, "right", "left")
+        keys = [*keys, "left_slice", "right_slice"]
+    tasks = min(int((seen.get["total"] or 0) // TASK_ROWS), MAX_TASKS)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+    return left.join(right, keys).drop("left_slice", "right_slice")
 
 
 def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
@@ -51,10 +63,9 @@ def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
         rows = F.col(own).cast("double") * F.least(F.col(other), F.lit(cell))
         return F.ceil(rows / (cell * cell))
 
-    output_rows = F.col("left_rows").cast("double") * F.col("right_rows")
     return (
-        sizes.where(output_rows > cell * cell)
-        .orderBy(output_rows.desc(), *keys)
+        sizes.where(F.col("output_rows") > cell * cell)
+        .orderBy(F.desc("output_rows"), *keys)
         .limit(HOT_KEYS)
         .select(
             *keys,

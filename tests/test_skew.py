@@ -32,6 +32,25 @@ def test_split_join_equals_plain_join(spark, left_counts, right_counts):
     assert all(n == 1 for n in got.values())
 
 
+def sizes_of(left, right):
+    sizes = skew.key_sizes(left, right, ["key"])
+    return sizes.withColumn("output_rows", F.col("left_rows").cast("double") * F.col("right_rows"))
+
+
+def test_large_output_sets_the_number_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    left, right = frame(spark, "l", {"hot": 90, "a": 3}), frame(spark, "r", {"hot": 80, "a": 2})
+    split = skew.split_join(left, right, ["key"], ["l"], ["r"], skew.key_sizes(left, right, ["key"]), cell=10)
+    assert "72" in split._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    got = Counter(tuple(r) for r in split.select("key", "l", "r").collect())
+    assert got == Counter(tuple(r) for r in left.join(right, "key").select("key", "l", "r").collect())
+
+
+def test_empty_sides(spark):
+    left, right = frame(spark, "l", {}), frame(spark, "r", {})
+    assert skew.split_join(left, right, ["key"], ["l"], ["r"], skew.key_sizes(left, right, ["key"])).count() == 0
+
+
 def test_no_hot_key_gives_a_plain_join(spark):
     left, right = frame(spark, "l", {"a": 3}), frame(spark, "r", {"a": 2})
     joined = skew.split_join(left, right, ["key"], ["l"], ["r"], skew.key_sizes(left, right, ["key"]))
@@ -42,7 +61,7 @@ def test_no_hot_key_gives_a_plain_join(spark):
 def test_one_task_gets_at_most_a_cell(spark):
     """A key with a third of all rows on both sides is spread evenly."""
     left, right = frame(spark, "l", {"hot": 400, "a": 2}), frame(spark, "r", {"hot": 200, "a": 2})
-    sizes = skew.key_sizes(left, right, ["key"])
+    sizes = sizes_of(left, right)
     hot = skew._hot_keys(sizes, ["key"], 10).collect()
     assert [(r["key"], r["left_slices"], r["right_slices"]) for r in hot] == [("hot", 40, 20)]
     sliced = skew._sliced(left, skew._hot_keys(sizes, ["key"], 10), ["key"], ["l"], "left", "right")
@@ -53,7 +72,7 @@ def test_one_task_gets_at_most_a_cell(spark):
 
 def test_only_keys_beyond_a_cell_are_split(spark):
     left, right = frame(spark, "l", {"even": 20, "over": 21}), frame(spark, "r", {"even": 5, "over": 5})
-    hot = skew._hot_keys(skew.key_sizes(left, right, ["key"]), ["key"], 10).collect()
+    hot = skew._hot_keys(sizes_of(left, right), ["key"], 10).collect()
     assert [r["key"] for r in hot] == ["over"]
 
 
