@@ -10,10 +10,11 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="playlake", description=__doc__)
     parser.add_argument("input_base", help="folder that holds song_data/ and log_data/")
     parser.add_argument("output_base", help="folder for tables and reports")
+    parser.add_argument("--count-malformed-log", action="store_true", help="count unreadable log lines")
     args = parser.parse_args()
     spark = build_session()
     try:
-        result = run(spark, args.input_base, args.output_base)
+        result = run(spark, args.input_base, args.output_base, args.count_malformed_log)
     except JobFailed as failure:
         report(failure.result)
         raise SystemExit(1) from failure

@@ -56,11 +56,17 @@ class JobFailed(RuntimeError):
         super().__init__("; ".join(f"{o.output}: {o.error}" for o in result.failed))
 
 
-def run(spark: SparkSession, input_base: str, output_base: str) -> RunResult:
-    """Run the job. One failed output does not stop the others; unreadable input does."""
+def run(
+    spark: SparkSession, input_base: str, output_base: str, count_malformed_log: bool = False
+) -> RunResult:
+    """Run the job. One failed output does not stop the others; unreadable input does.
+
+    `count_malformed_log` counts unreadable log lines, which the page filter drops. It makes the
+    largest scan about a third slower, as every field of every line has to be converted.
+    """
     work = scratch_dir(spark)
     try:
-        result = _Run(spark, input_base, output_base, work).run()
+        result = _Run(spark, input_base, output_base, work).run(count_malformed_log)
     finally:
         discard(spark, work)
     if result.failed:
@@ -81,15 +87,18 @@ def stage_songs(spark: SparkSession, input_base: str, path: str) -> tuple[DataFr
     return stage(raw.drop("num_songs"), path), seen.get
 
 
-def stage_plays(spark: SparkSession, input_base: str, path: str) -> tuple[DataFrame, dict[str, int]]:
+def stage_plays(
+    spark: SparkSession, input_base: str, path: str, count_malformed: bool
+) -> tuple[DataFrame, dict[str, int]]:
     """Song plays of the log as a table, with `start_time` and a number per row."""
-    raw = read_activity_log(spark, input_base)
+    log = read_activity_log(spark, input_base)
     seen_log, seen_plays = Observation(), Observation()
-    log = raw.observe(
-        seen_log,
-        F.count(F.lit(1)).alias("log_rows"),
-        F.count_if(is_malformed(raw)).alias("malformed_log_rows"),
-    )
+    if count_malformed:
+        log = log.observe(
+            seen_log,
+            F.count(F.lit(1)).alias("log_rows"),
+            F.count_if(is_malformed(log)).alias("malformed_log_rows"),
+        )
     plays = (
         dims.filter_page(log, PLAY_PAGE)
         .select(*PLAY_COLUMNS, start_time("ts").alias("start_time"))
@@ -100,7 +109,8 @@ def stage_plays(spark: SparkSession, input_base: str, path: str) -> tuple[DataFr
         F.count(F.lit(1)).alias("plays"),
         F.count_if(F.col("start_time").isNull()).alias("plays_without_time"),
     )
-    return stage(plays, path), {**seen_log.get, **seen_plays.get}
+    staged = stage(plays, path)
+    return staged, {**(seen_log.get if count_malformed else {}), **seen_plays.get}
 
 
 class _Run:
@@ -113,11 +123,13 @@ class _Run:
         # Tables for the steps that follow: as written, or as planned if the write failed.
         self.tables: dict[str, DataFrame] = {}
 
-    def run(self) -> RunResult:
+    def run(self, count_malformed_log: bool) -> RunResult:
         (metadata, song_input), (plays, play_input) = together(
             self.spark,
             lambda: stage_songs(self.spark, self.input_base, f"{self.work}/metadata"),
-            lambda: stage_plays(self.spark, self.input_base, f"{self.work}/plays"),
+            lambda: stage_plays(
+                self.spark, self.input_base, f"{self.work}/plays", count_malformed_log
+            ),
         )
         self.result.inputs = {**song_input, **play_input}
 

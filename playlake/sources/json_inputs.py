@@ -7,31 +7,27 @@ from playlake.sources.schemas import LOG_SCHEMA, SONG_SCHEMA
 
 
 def read_song_metadata(spark: SparkSession, base: str) -> DataFrame:
-    """Read `<base>/song_data/*/*/*/*.json`."""
-    return _read_tree(spark, base, "song_data", 3, SONG_SCHEMA)
+    """Read `<base>/song_data/*/*/*/*.json`, one object per file.
 
-
-def read_activity_log(spark: SparkSession, base: str) -> DataFrame:
-    """Read `<base>/log_data/*/*/*.json`."""
-    return _read_tree(spark, base, "log_data", 2, LOG_SCHEMA)
-
-
-def _read_tree(spark: SparkSession, base: str, folder: str, depth: int, schema: str) -> DataFrame:
-    """Read the `.json` files exactly `depth` folders below `folder`.
-
-    Only folders are globbed on the driver. Spark lists the files inside them in parallel, which
-    matters with millions of one-object files; the path filter keeps the depth exact.
+    With millions of files, globbing them one folder after the other on the driver takes longer
+    than reading them. So only folders are globbed; Spark lists the files inside in parallel, and
+    the filter keeps to the exact depth.
     """
-    root = f"{base.rstrip('/')}/{folder}"
+    folders = f"{base.rstrip('/')}/song_data/*/*/*"
     return (
-        spark.read.schema(schema)
+        spark.read.schema(SONG_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .json(root + "/*" * depth)
-        .where(F.col("_metadata.file_path").rlike(f"/{folder}(/[^/]+){{{depth + 1}}}$"))
+        .json(folders)
+        .where(F.col("_metadata.file_path").rlike("/song_data(/[^/]+){4}$"))
     )
 
 
+def read_activity_log(spark: SparkSession, base: str) -> DataFrame:
+    """Read `<base>/log_data/*/*/*.json`: few folders, large files, no filter per row."""
+    return spark.read.schema(LOG_SCHEMA).json(f"{base.rstrip('/')}/log_data/*/*/*.json")
+
+
 def is_malformed(df: DataFrame) -> F.Column:
     """True for a line that could not be parsed: every declared column is NULL."""
     return F.coalesce(*[F.col(c).cast("string") for c in df.columns]).isNull()

@@ -44,8 +44,8 @@ def finished(spark, tmp_path_factory):
 
     base = tmp_path_factory.mktemp("job")
     inputs = fill(Inputs(base / "in"))
-    first = job.run(spark, str(inputs), f"{base}/out")
-    again = job.run(spark, str(inputs), f"{base}/out/")
+    first = job.run(spark, str(inputs), f"{base}/out", count_malformed_log=True)
+    again = job.run(spark, str(inputs), f"{base}/out/", count_malformed_log=True)
     return first, again, f"{base}/out"
 
 

@@ -182,6 +182,14 @@ def test_only_files_at_the_exact_depth_are_read(spark, inputs):
     assert sorted(r["song_id"] for r in metadata.collect()) == ["named", "ok"]
     assert len(metadata.columns) == 10
 
+    base = inputs.base / "log_data"
+    write_lines(base / "year=2018/11/ok.json", [play(user="ok")])
+    write_lines(base / "2018/shallow.json", [play(user="shallow")])
+    write_lines(base / "2018/11/12/deep.json", [play(user="deep")])
+    log = read_activity_log(spark, str(inputs))
+    assert [r["userId"] for r in log.collect()] == ["ok"]
+    assert len(log.columns) == 18
+
 
 def test_base_may_end_in_a_slash_and_hold_a_blank(spark, inputs):
     base = inputs.base / "in put"
