@@ -1,4 +1,7 @@
-"""The reports. Ties are broken by id, so that they come out the same every time."""
+"""The reports. Ties are broken by id, so that they come out the same every time.
+
+The song and artist reports start from rows of (artist_id, song_id, plays) and sum up the plays.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +17,9 @@ def song_plays(fact: DataFrame) -> DataFrame:
 
 
 def song_plays_of_matches(matches: DataFrame) -> DataFrame:
-    """The same from `match_pairs`, without building the fact."""
-    return matches.groupBy("artist_id", "song_id").agg(
-        F.sum(F.col("plays") * F.col("copies")).alias("plays")
+    """The same from `match_pairs`, without building the fact; a song may have several rows."""
+    return matches.select(
+        "artist_id", "song_id", (F.col("plays") * F.col("copies")).alias("plays")
     )
 
 
@@ -46,7 +49,12 @@ def top_artists(plays: DataFrame, songs: DataFrame, artists: DataFrame) -> DataF
     The order is by song id, as in the job this one replaces, not by plays; see
     `top_artists_by_plays` for that. The song lookup only checks that the song exists.
     """
-    top = plays.orderBy(F.desc("song_id"), "artist_id").limit(TOP)
+    top = (
+        plays.groupBy("artist_id", "song_id")
+        .agg(F.sum("plays").alias("plays"))
+        .orderBy(F.desc("song_id"), "artist_id")
+        .limit(TOP)
+    )
     known = songs.select("song_id").join(F.broadcast(top), "song_id").distinct()
     lines = artists.select("artist_id", "name").join(F.broadcast(known), "artist_id")
     return _sorted_lines(lines.select("name", "plays").distinct(), text.artist_line("name", "plays"))
