@@ -24,27 +24,26 @@ def count_pairs(plays: DataFrame) -> DataFrame:
 
 
 def match_pairs(pairs: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """Songs matched by each pair, with the number of fact rows (`copies`) one play of it gives.
+    """Song rows matched by each pair, with the number of fact rows (`copies`) one play gives of each.
 
-    `pairs` and `songs` are read twice, so they should be stored tables.
+    `pairs` and `songs` are read twice, so they should be stored tables. Song rows that differ only
+    in year or duration are told apart by `variant`.
     """
-    titles = (
-        songs.where(F.col("title").isNotNull())
-        .groupBy(F.col("title").alias("song"), "song_id", "artist_id")
-        .agg(F.count(F.lit(1)).alias("song_rows"))
+    titles = songs.where(F.col("title").isNotNull()).select(
+        F.col("title").alias("song"),
+        "song_id",
+        "artist_id",
+        F.xxhash64("year", "duration").alias("variant"),
     )
     names = (
         artists.where(F.col("name").isNotNull())
         .groupBy(F.col("name").alias("artist"))
-        .agg(F.count(F.lit(1)).alias("artist_rows"))
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
+    named = pairs.join(names, "artist")
     sizes = key_sizes(pairs, titles, ["song"])
-    matches = split_join(
-        pairs.join(names, "artist"), titles, ["song"], ["artist"], ["song_id", "artist_id"], sizes
-    )
-    return matches.select(
-        *PAIR, "plays", "song_id", "artist_id", (F.col("song_rows") * F.col("artist_rows")).alias("copies")
-    )
+    matches = split_join(named, titles, ["song"], ["artist"], ["song_id", "artist_id", "variant"], sizes)
+    return matches.select(*PAIR, "plays", "song_id", "artist_id", "variant", "copies")
 
 
 def build_fact(plays: DataFrame, matches: DataFrame, spread: list[str]) -> DataFrame:
@@ -54,15 +53,14 @@ def build_fact(plays: DataFrame, matches: DataFrame, spread: list[str]) -> DataF
     """
     # Many copies of a match become several rows here, so that no play row expands without bound.
     chunks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {CELL}")))
-    lookup = matches.select(*PAIR, "song_id", "artist_id", "copies", chunks.alias("chunk")).withColumn(
+    lookup = matches.drop("plays").select("*", chunks.alias("chunk")).withColumn(
         "copies", F.least(F.lit(CELL).cast("bigint"), F.col("copies") - F.col("chunk") * CELL)
     )
     sizes = matches.groupBy(*PAIR).agg(
         F.max("plays").alias("left_rows"), F.sum("copies").alias("right_rows")
     )
-    joined = split_join(
-        valid_plays(plays), lookup, PAIR, spread, ["song_id", "artist_id", "chunk"], sizes
-    )
+    lookup_spread = ["song_id", "artist_id", "variant", "chunk"]
+    joined = split_join(valid_plays(plays), lookup, PAIR, spread, lookup_spread, sizes)
     return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(
         "start_time",
         F.col("userId").alias("user_id"),

@@ -78,11 +78,15 @@ class LinearStar:
         )
 
     @cached_property
-    def pairs(self) -> DataFrame:
-        """Plays per (song, artist), counted per customer before the names are joined."""
+    def plays_per_customer(self) -> DataFrame:
         valid = self.log.withColumn("start_time", start_time("ts")).dropna(subset=["start_time"])
         counted = valid.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
-        named = counted.join(self.named_customers, "o_custkey").dropna(subset=fact.PAIR)
+        return stage(counted, f"{self.work}/plays_per_customer")
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Plays per (song, artist), counted per customer before the names are joined."""
+        named = self.plays_per_customer.join(self.named_customers, "o_custkey").dropna(subset=fact.PAIR)
         return stage(
             named.groupBy(*fact.PAIR).agg(F.sum("plays").alias("plays")), f"{self.work}/pairs"
         )
@@ -99,10 +103,12 @@ class LinearStar:
 
     @cached_property
     def plays(self) -> DataFrame:
-        return self.add_names(self.log).withColumn("start_time", start_time("ts"))
+        named = self.add_names(self.log, self.plays_per_customer)
+        return named.withColumn("start_time", start_time("ts"))
 
     @cached_property
     def fact(self) -> DataFrame:
+        together(self.spark, lambda: self.songs, lambda: self.artists, lambda: self.plays_per_customer)
         plays, matches = together(
             self.spark, lambda: self.plays, lambda: stage(self.matches, f"{self.work}/matches")
         )
@@ -118,10 +124,10 @@ class LinearStar:
             "song_plays": self.fact,
         }
 
-    def add_names(self, log: DataFrame) -> DataFrame:
+    def add_names(self, log: DataFrame, per_customer: DataFrame) -> DataFrame:
         """Give log lines the song and artist names of their customer."""
-        sizes = log.groupBy("o_custkey").agg(
-            F.count(F.lit(1)).alias("left_rows"), F.lit(1).cast("bigint").alias("right_rows")
+        sizes = per_customer.select(
+            "o_custkey", F.col("plays").alias("left_rows"), F.lit(1).cast("bigint").alias("right_rows")
         )
         return split_join(log, self.named_customers, ["o_custkey"], ["play_no"], ["song"], sizes)
 
@@ -136,7 +142,8 @@ class LinearStar:
             F.lit("all").alias("c"),
         )
         day = F.timestamp_millis(F.col("ts").cast("bigint"))
-        log = self.add_names(order_log(self.orders)).select(
+        per_customer = self.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
+        log = self.add_names(order_log(self.orders), per_customer).select(
             "song", "artist", "userId", "firstName", "lastName", "gender", "level", "location",
             "sessionId", "userAgent",
             F.col("ts").cast("bigint").alias("ts"),
