@@ -16,7 +16,7 @@ def register_tables(spark: SparkSession, folders: dict[str, str], prefix: str =
     for table, folder in folders.items():
         name = f"{prefix}{table}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION :folder", args={"folder": folder})
         if table in PARTITION_COLUMNS:
             spark.sql(f"MSCK REPAIR TABLE {name}")
         names.append(name)

@@ -3,7 +3,7 @@
 The song and artist reports start from rows of (artist_id, song_id, plays) and sum up the plays.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.functions import messages as text
@@ -86,6 +86,6 @@ def free_paid_ratio(users: DataFrame) -> DataFrame:
     )
 
 
-def _sorted_lines(rows: DataFrame, message: F.Column) -> DataFrame:
+def _sorted_lines(rows: DataFrame, message: Column) -> DataFrame:
     lines = rows.select("plays", message.alias("message"))
     return lines.orderBy(F.desc("plays"), "message").select("message")

@@ -1,6 +1,6 @@
 """Equi-join that spreads the keys holding the most output rows over many tasks."""
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # A key is split so that one task joins at most CELL rows of one side with CELL rows of the other.
@@ -59,9 +59,10 @@ def split_join(
 def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
     """The largest keys with the number of slices each side is cut into; at most HOT_KEYS rows."""
 
-    def slices(own: str, other: str) -> F.Column:
+    def slices(own: str, other: str) -> Column:
         rows = F.col(own).cast("double") * F.least(F.col(other), F.lit(cell))
-        return F.ceil(rows / (cell * cell))
+        # More slices than tasks would only multiply the copies of the other side.
+        return F.ceil(F.least(rows / (cell * cell), F.lit(float(MAX_TASKS))))
 
     return (
         sizes.where(F.col("output_rows") > cell * cell)

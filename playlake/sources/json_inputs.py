@@ -1,6 +1,6 @@
 """Readers for the two JSON folder trees."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.sources.schemas import LOG_SCHEMA, SONG_SCHEMA
@@ -28,6 +28,6 @@ def read_activity_log(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).json(f"{base.rstrip('/')}/log_data/*/*/*.json")
 
 
-def is_malformed(df: DataFrame) -> F.Column:
+def is_malformed(df: DataFrame) -> Column:
     """True for a line that could not be parsed: every declared column is NULL."""
     return F.coalesce(*[F.col(c).cast("string") for c in df.columns]).isNull()
