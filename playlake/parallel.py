@@ -1,14 +1,41 @@
-"""Run independent Spark actions at the same time, so that one's last tasks do not idle the cluster."""
+"""Width of the work: independent actions side by side, and shuffles as wide as their rows need."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# Rows per shuffle partition, and the most partitions set here.
+PARTITION_ROWS = 2_000_000
+MAX_PARTITIONS = 20_000
+
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
-    """Results of all steps, in order. The first error is raised after all have ended."""
+    """Results of all steps, in order. The first error is raised after all have ended.
+
+    Steps that do not need each other run at the same time, so that the last tasks of one do not
+    leave the cluster idle.
+    """
     with ThreadPoolExecutor(len(steps)) as pool:
         futures = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
     return [future.result() for future in futures]
+
+
+@contextmanager
+def wide_shuffles(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Raise the number of shuffle partitions if `rows` need more than the session has.
+
+    Adaptive execution merges partitions that turn out small, but it cannot cut the ones of an
+    aggregation, so too many cost little and too few spill.
+    """
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    needed = min(rows // PARTITION_ROWS, MAX_PARTITIONS)
+    try:
+        if needed > int(before):
+            spark.conf.set(SHUFFLE_PARTITIONS, needed)
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)

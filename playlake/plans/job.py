@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from playlake import sinks
 from playlake.functions.epoch import start_time
 from playlake.operators import audit, dims, fact, reports
-from playlake.parallel import together
+from playlake.parallel import together, wide_shuffles
 from playlake.scratch import discard, scratch_dir, stage
 from playlake.sources.json_inputs import is_malformed, read_activity_log, read_song_metadata
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
@@ -132,7 +132,11 @@ class _Run:
             ),
         )
         self.result.inputs = {**song_input, **play_input}
+        with wide_shuffles(self.spark, song_input["song_rows"] + play_input["plays"]):
+            self.build(metadata, plays)
+        return self.result
 
+    def build(self, metadata: DataFrame, plays: DataFrame) -> None:
         songs, pairs, time, *_ = together(
             self.spark,
             lambda: stage(dims.songs_dim(metadata), f"{self.work}/songs"),
@@ -153,7 +157,6 @@ class _Run:
         # Reports use the songs as built: re-read partition columns have '' turned into NULL.
         self.tables["songs"] = songs
         self.write_reports()
-        return self.result
 
     def write_fact(self, plays: DataFrame, pairs: DataFrame, songs: DataFrame) -> None:
         matches = stage(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import play, song
-from playlake import sinks
+from playlake import parallel, sinks
 from playlake.catalog import register_tables
 from playlake.plans import job
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
@@ -178,3 +178,15 @@ def test_fact_rows_equal_the_sum_of_matches(spark, inputs, tmp_path):
     )
     fact = read(spark, f"{tmp_path}/out", "song_plays")
     assert fact.agg(F.count(F.lit(1)), F.count_distinct("songplay_id")).first() == (expected, expected)
+
+
+def test_shuffles_follow_the_rows_and_are_set_back(spark):
+    name = parallel.SHUFFLE_PARTITIONS
+    before = spark.conf.get(name)
+    with parallel.wide_shuffles(spark, 50_000_000):
+        assert spark.conf.get(name) == "25"
+    assert spark.conf.get(name) == before
+    with parallel.wide_shuffles(spark, 10**12):
+        assert spark.conf.get(name) == "20000"
+    with parallel.wide_shuffles(spark, 10):
+        assert spark.conf.get(name) == before
