@@ -145,28 +145,32 @@ class _Run:
             lambda: self.write_table("artists", dims.artists_dim(metadata)),
             lambda: self.write_table("users", dims.users_dim(plays)),
         )
+        # The fact waits for the matches, so they come before the writes of many small files.
+        matches, _ = together(
+            self.spark,
+            lambda: stage(
+                fact.match_pairs(pairs, songs, self.tables["artists"]), f"{self.work}/matches"
+            ),
+            lambda: self.write_csv(RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"])),
+        )
         together(
             self.spark,
-            lambda: self.write_fact(plays, pairs, songs),
+            lambda: self.write_fact_and_reports(plays, matches, songs),
             lambda: self.write_table("songs", songs),
             lambda: self.write_table("time", time),
-            lambda: self.write_csv(
-                RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"])
-            ),
         )
-        # Reports use the songs as built: re-read partition columns have '' turned into NULL.
-        self.tables["songs"] = songs
-        self.write_reports()
-
-    def write_fact(self, plays: DataFrame, pairs: DataFrame, songs: DataFrame) -> None:
-        matches = stage(
-            fact.match_pairs(pairs, songs, self.tables["artists"]), f"{self.work}/matches"
+        together(
+            self.spark,
+            lambda: self.write_csv(COUNTS_FOLDER, self.recorded_counts, header=False),
+            lambda: self.write_csv("reconciliation", self.reconciliation),
+            lambda: self.write_csv("input_audit", self.input_audit),
         )
+
+    def write_fact_and_reports(self, plays: DataFrame, matches: DataFrame, songs: DataFrame) -> None:
+        """`songs` are the ones built, as re-read partition columns have '' turned into NULL."""
         rows = fact.build_fact(plays, matches, ["play_no"])
         self.write_table("song_plays", fact.with_row_id(rows))
-
-    def write_reports(self) -> None:
-        songs, artists = self.tables["songs"], self.tables["artists"]
+        artists = self.tables["artists"]
         counted = stage(reports.song_plays(self.tables["song_plays"]), f"{self.work}/song_plays")
         together(
             self.spark,
@@ -175,9 +179,6 @@ class _Run:
             lambda: self.write_csv(
                 "top_artists_by_plays", lambda: reports.top_artists_by_plays(counted, artists)
             ),
-            lambda: self.write_csv(COUNTS_FOLDER, self.recorded_counts, header=False),
-            lambda: self.write_csv("reconciliation", self.reconciliation),
-            lambda: self.write_csv("input_audit", self.input_audit),
         )
 
     def recorded_counts(self) -> DataFrame:
