@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from playlake.parallel import MAX_TASKS, SHUFFLE_PARTITIONS
+
 # A key is split so that one task joins at most CELL rows of one side with CELL rows of the other.
 CELL = 1000
 # Keys split explicitly. Every other key holds at most 1/HOT_KEYS of the output and goes through
@@ -11,7 +13,6 @@ HOT_KEYS = 10_000
 # Output rows per task. Adaptive execution sizes tasks by what they read; with many matches per
 # row they write far more than that.
 TASK_ROWS = 5_000_000
-MAX_TASKS = 20_000
 
 
 def key_sizes(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,11 +48,13 @@ def split_join(
     left, right = left.dropna(subset=keys), right.dropna(subset=keys)
     if rows:
         hot = F.broadcast(spark.createDataFrame(rows, hot.schema))
-        left = _sliced(left, hot, keys, left_spread, "left", "right")
-        right = _sliced(right, hot, keys, right_spread, "right", "left")
+        left_cut = any(row["left_slices"] > 1 for row in rows)
+        right_cut = any(row["right_slices"] > 1 for row in rows)
+        left = _sliced(left, hot, keys, left_spread, "left", "right", copied=right_cut)
+        right = _sliced(right, hot, keys, right_spread, "right", "left", copied=left_cut)
         keys = [*keys, "left_slice", "right_slice"]
     tasks = min(int((seen.get["total"] or 0) // TASK_ROWS), MAX_TASKS)
-    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if tasks > int(spark.conf.get(SHUFFLE_PARTITIONS)):
         left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     return left.join(right, keys).drop("left_slice", "right_slice")
 
@@ -77,11 +80,13 @@ def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
 
 
 def _sliced(
-    df: DataFrame, hot: DataFrame, keys: list[str], spread: list[str], own: str, other: str
+    df: DataFrame, hot: DataFrame, keys: list[str], spread: list[str], own: str, other: str, copied: bool
 ) -> DataFrame:
+    """Add both slice columns; rows are only `copied` if some key has several slices on the other side."""
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     own_slice = F.coalesce(F.pmod(F.xxhash64(*spread), F.col(f"{own}_slices")), zero)
-    other_slices = F.explode(F.sequence(zero, F.coalesce(F.col(f"{other}_slices"), one) - 1))
+    slices = F.coalesce(F.col(f"{other}_slices"), one)
+    other_slice = F.explode(F.sequence(zero, slices - 1)) if copied else zero
     return df.join(hot, keys, "left").select(
-        *df.columns, own_slice.alias(f"{own}_slice"), other_slices.alias(f"{other}_slice")
+        *df.columns, own_slice.alias(f"{own}_slice"), other_slice.alias(f"{other}_slice")
     )

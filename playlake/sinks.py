@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from playlake.parallel import MAX_TASKS
+
 # How a partitioned write is cut into tasks.
 ROWS_PER_TASK = 1_000_000
 FOLDERS_PER_TASK = 100
-MAX_TASKS = 20_000
 
 
 def write_table(df: DataFrame, path: str) -> int:

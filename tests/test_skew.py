@@ -64,7 +64,7 @@ def test_one_task_gets_at_most_a_cell(spark):
     sizes = sizes_of(left, right)
     hot = skew._hot_keys(sizes, ["key"], 10).collect()
     assert [(r["key"], r["left_slices"], r["right_slices"]) for r in hot] == [("hot", 40, 20)]
-    sliced = skew._sliced(left, skew._hot_keys(sizes, ["key"], 10), ["key"], ["l"], "left", "right")
+    sliced = skew._sliced(left, skew._hot_keys(sizes, ["key"], 10), ["key"], ["l"], "left", "right", True)
     per_slice = sliced.where("key = 'hot'").groupBy("left_slice", "right_slice").count()
     assert per_slice.agg(F.max("count")).first()[0] <= 25
     assert sliced.where("key = 'hot'").count() == 400 * 20
