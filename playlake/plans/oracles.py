@@ -144,7 +144,7 @@ ORACLES = {
                (free / nullif(paid, 0)) || ':' || (paid / nullif(paid, 0)) AS ratio
         FROM counts""",
     "table_counts": COUNTS,
-    "view_counts": COUNTS,
+    "view_counts": f"{COUNTS} UNION ALL SELECT 'Log:', count(*) FROM plays",
     "catalog_counts": COUNTS,
     "reconcile_counts": RECONCILED.format(counts=COUNTS),
     "parquet_partitioned": """

@@ -139,8 +139,11 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(s.LinearStar(utc(spark), sf_dir).tables)
-    return _count_by_sql(spark, {label: table for table, label in audit.LABELS.items()})
+    """Rows of the five tables and of the filtered log, counted through SQL over their views."""
+    star = s.LinearStar(utc(spark), sf_dir)
+    register_views(star.tables | {"log_data": star.log})
+    labels = {label: table for table, label in audit.LABELS.items()}
+    return _count_by_sql(spark, labels | {"Log:": "log_data"})
 
 
 def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

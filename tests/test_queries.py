@@ -3,6 +3,7 @@ from oracle import connect, rows_of_frame, rows_of_sql
 
 import __spark_entry__ as spark_entry
 from conftest import SF_DIR
+from playlake.operators import skew
 
 QUERIES = spark_entry.queries()
 ORACLES = spark_entry.oracle_sql()
@@ -30,3 +31,10 @@ def test_entry(spark):
     df = spark_entry.entry(spark)
     assert df.columns == ["message"]
     assert df.count() == 10
+
+
+@pytest.mark.parametrize("name", ["fact_plays", "fact_fanout", "top_songs", "etl_song_plays"])
+def test_query_equals_oracle_with_every_key_split(spark, duck, monkeypatch, name):
+    monkeypatch.setattr(skew.split_join, "__defaults__", (2,))
+    _, rows = rows_of_frame(QUERIES[name](spark, SF_DIR))
+    assert rows == rows_of_sql(duck, ORACLES[name])[1]
