@@ -12,7 +12,8 @@ def start_time(ts: str) -> Column:
     """Timestamp of an epoch-millisecond text column; NULL if absent, not a number or out of range."""
     ms = F.col(ts).try_cast("double")
     whole = F.floor(ms)
-    micros = whole * 1000 + F.round((ms - whole) * 1000).cast("bigint")
+    # floor(x + 0.5) because round() of a double goes through big decimals.
+    micros = whole * 1000 + F.floor((ms - whole) * 1000 + 0.5)
     return F.when(ms.between(EARLIEST_MS, LATEST_MS), F.timestamp_micros(micros))
 
 
