@@ -4,20 +4,21 @@ A written table cuts the lineage, so a lost executor costs a re-read and not a s
 the raw JSON, and every consumer sees the same rows.
 """
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Return the path of a folder of its own below the shared folder named by the session."""
+    """Return the path of a folder of its own below a folder that driver and executors share.
+
+    That is the one named by `spark.checkpoint.dir`, and otherwise the warehouse, which Spark
+    requires to be shared anyway.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/playlake-{uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="playlake-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/playlake-scratch"
+    return f"{shared.rstrip('/')}/playlake-{uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

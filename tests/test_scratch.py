@@ -6,8 +6,10 @@ from playlake import scratch
 class Session:
     """Just enough of a session to ask for a folder."""
 
-    def __init__(self, master, shared=None, checkpoints=None):
-        self.conf = {"spark.checkpoint.dir": shared} if shared else {}
+    def __init__(self, master, shared=None, checkpoints=None, warehouse="w"):
+        self.conf = {"spark.sql.warehouse.dir": warehouse}
+        if shared:
+            self.conf["spark.checkpoint.dir"] = shared
         self.sparkContext = type(
             "Context", (), {"master": master, "getCheckpointDir": staticmethod(lambda: checkpoints)}
         )
@@ -24,9 +26,9 @@ def test_order_of_preference():
     assert scratch.scratch_dir(Session("yarn", None, "hdfs:///c")).startswith("hdfs:///c/playlake-")
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_dir(Session("yarn"))
+def test_without_a_setting_the_warehouse_is_used_and_no_machine_local_folder():
+    path = scratch.scratch_dir(Session("yarn", warehouse="hdfs:///warehouse/"))
+    assert path.startswith("hdfs:///warehouse/playlake-scratch/playlake-")
 
 
 def test_stage_keeps_rows_and_types_and_discard_deletes(spark):
