@@ -6,6 +6,7 @@ they are the text to train on. The order of turns is checked by a finite-state m
 over the roles.
 """
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -153,4 +154,4 @@ def read_loss(formatted: Column, loss_spans: Column) -> Column:
 
 
 def _literal(text: str) -> str:
-    return r"\Q" + text + r"\E"
+    return re.sub(r"(\W)", r"\\\1", text)
