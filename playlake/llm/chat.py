@@ -135,7 +135,8 @@ def format_chat(
 def read_turns(formatted: Column, template: ChatTemplate = TEMPLATE) -> Column:
     """The (role, text) turns, read back from a formatted conversation."""
     # What comes before the first opening is empty; a text holds no control string.
-    blocks = F.slice(F.split(formatted, _literal(template.open), -1), 2, 2_147_483_647)
+    parts = F.split(formatted, _literal(template.open), -1)
+    blocks = F.slice(parts, F.lit(2), F.size(parts) - 1)
 
     def turn(block: Column) -> Column:
         role = F.substring_index(block, template.after_role, 1)
