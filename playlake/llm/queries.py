@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from playlake.llm import chat
 from playlake.llm.byte_pairs import byte_pairs
 from playlake.llm.exact_dedup import exact_dedup
+from playlake.llm.importance import TARGET_DOCUMENTS, resample, target_sample
+from playlake.llm.line_dedup import line_dedup
 from playlake.llm.packing import Limits, pack_texts
 from playlake.llm.piece_codec import encode_documents
 from playlake.llm.rendezvous import rendezvous_shards
@@ -29,6 +31,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents"), byte_pairs(), PACK_END, PACK_LIMITS)
 
 
+def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by how much they read like those labelled as good."""
+    good = target_sample(table(spark, sf_dir, "labels"), "doc_id", F.col("quality") == 1, TARGET_DOCUMENTS)
+    drawn = resample(table(spark, sf_dir, "documents"), good, carry=["doc_id"])
+    return drawn.select("document.doc_id", "n_features", "log_weight", "sample_key", "kept")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("document.doc_id", "text", "removed_chunks")
+
+
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
@@ -75,6 +89,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_exact_dedup,
         op2_packing,
+        op3_importance,
+        op4_line_dedup,
         op6_piece_codec,
         op7_chat,
         op8_va_search,
