@@ -11,6 +11,7 @@ from playlake.llm.byte_pairs import byte_pairs
 from playlake.llm.exact_dedup import exact_dedup
 from playlake.llm.importance import TARGET_DOCUMENTS, resample, target_sample
 from playlake.llm.line_dedup import line_dedup
+from playlake.llm.near_dup import near_duplicates
 from playlake.llm.packing import Limits, pack_texts
 from playlake.llm.piece_codec import encode_documents
 from playlake.llm.rendezvous import rendezvous_shards
@@ -79,6 +80,10 @@ def op8_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return rendezvous_shards(documents, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
@@ -94,6 +99,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_piece_codec,
         op7_chat,
         op8_va_search,
+        op9_near_dup,
         op10_rendezvous,
     )
 }
