@@ -101,8 +101,9 @@ def line_dedup(
         F.col(id_col).cast("bigint").alias("own_id"),
         F.xxhash64(body).alias("own_hash"),
     )
+    # Sorted at every size: broadcasting a list that grows with the corpus would only work on small ones.
     joined = rows.join(
-        removed, rows.own_id.eqNullSafe(removed.doc_id) & (rows.own_hash == removed.text_hash), "left"
+        removed.hint("merge"), rows.own_id.eqNullSafe(removed.doc_id) & (rows.own_hash == removed.text_hash), "left"
     )
     text = F.col(f"document.`{text_col}`")
     left = F.when(F.col("places").isNull(), text).otherwise(without(text.cast("binary"), F.col("places")))
