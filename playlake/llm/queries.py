@@ -14,6 +14,7 @@ from playlake.llm.line_dedup import line_dedup
 from playlake.llm.near_dup import near_duplicates
 from playlake.llm.packing import Limits, pack_texts
 from playlake.llm.piece_codec import encode_documents
+from playlake.llm.pitman_yor import score_documents
 from playlake.llm.rendezvous import rendezvous_shards
 from playlake.llm.tables import table
 from playlake.llm.va_search import top_k
@@ -44,6 +45,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("document.doc_id", "text", "removed_chunks")
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_packing,
         op3_importance,
         op4_line_dedup,
+        op5_pitman_yor,
         op6_piece_codec,
         op7_chat,
         op8_va_search,
