@@ -20,12 +20,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm.tables import id_and_bytes
-from playlake.scratch import scratch_dir, stage
+from playlake.scratch import discard, scratch_dir, stage
 
 ANCHORS = 11
 CONTEXTS = ANCHORS + 1
@@ -35,7 +36,7 @@ STRENGTH = 1.0
 # Customers up to this one are seated one by one; later ones in groups of a 16th of those before them, for
 # which the chance of a new table is held fixed.
 ONE_BY_ONE = 64
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 6_000_000
 # The most frequent training words that each block names as anchors.
 NAMED = 100
 # Stands for the end of a text; no word holds a line feed.
@@ -43,12 +44,12 @@ END = b"\n"
 ROWS_PER_BATCH = 20_000
 
 BLOCK_SCHEMA = (
-    "block BIGINT, docs ARRAY<BIGINT>, held_out BINARY, lengths BINARY, tokens BINARY, "
-    "words ARRAY<BINARY>, frequent ARRAY<STRUCT<word: BINARY, n: BIGINT>>"
-)
-ASKED_SCHEMA = "word BINARY, block BIGINT, place INT, own BIGINT, " + ", ".join(
-    f"c{u} BIGINT" for u in range(CONTEXTS)
+    "block BIGINT, docs ARRAY<BIGINT>, held_out BINARY, lengths BINARY, tokens BINARY, words BINARY, "
+    "frequent ARRAY<STRUCT<word: BINARY, n: BIGINT>>"
 )
+COUNTED_SCHEMA = "word BINARY, " + ", ".join(f"c{u} BIGINT" for u in range(CONTEXTS))
+ASKED_SCHEMA = "word BINARY, block BIGINT, place INT, only_here BOOLEAN"
+MODEL_SCHEMA = "word BINARY, n BIGINT, root DOUBLE, contexts BINARY, own ARRAY<FLOAT>"
 STATE_SCHEMA = (
     "word BINARY, c ARRAY<BIGINT>, t ARRAY<BIGINT>, root_t BIGINT, sum_t ARRAY<BIGINT>, "
     "root_c_of ARRAY<BIGINT>, root_t_of ARRAY<BIGINT>"
@@ -134,11 +135,16 @@ def score_documents(
     blocks = stage(id_and_bytes(documents, id_col, text_col).mapInArrow(_blocks, BLOCK_SCHEMA), f"{work}/blocks")
     named = blocks.select(F.explode("frequent").alias("f")).groupBy("f.word").agg(F.sum("f.n").alias("n"))
     anchors = [bytes(r["word"]) for r in named.orderBy(F.desc("n"), "word").limit(ANCHORS).collect()]
-    asked = blocks.select("block", "held_out", "lengths", "tokens", "words").mapInArrow(_asked(anchors), ASKED_SCHEMA)
-
-    sums = [F.sum(f"c{u}").alias(f"c{u}") for u in range(CONTEXTS)]
-    counts = asked.groupBy("word").agg(F.sum("own").alias("n"), *sums).where("n > 0")
-    counts = stage(counts.select("word", "n", F.array(*[f"c{u}" for u in range(CONTEXTS)]).alias("c")), f"{work}/counts")
+    read = blocks.drop("docs", "frequent")
+    columns = [f"c{u}" for u in range(CONTEXTS)]
+    # A block counts each word once, so there is nothing to add up before the shuffle.
+    counts = (
+        read.mapInArrow(_counted(anchors), COUNTED_SCHEMA)
+        .repartition("word")
+        .groupBy("word")
+        .agg(*[F.sum(c).alias(c) for c in columns])
+    )
+    counts = stage(counts.select("word", F.array(*columns).alias("c")).select("word", _sum("c").alias("n"), "c").where("n > 0"), f"{work}/counts")
     totals, single = _first_totals(counts)
     state = counts.where("n > 1").select(
         "word",
@@ -154,31 +160,53 @@ def score_documents(
     for sweep in range(burn_in + samples):
         keep = sweep >= burn_in
         state = stage(state.mapInArrow(_sweep(totals, sweep, keep), STATE_SCHEMA), f"{work}/sweep{sweep}")
+        if sweep:
+            discard(spark, f"{work}/sweep{sweep - 1}")
         totals = _totals(state, totals, single)
         if keep:
             sampled.append(totals)
 
     once = counts.where("n = 1").select(
         "word",
-        "n",
         "c",
         F.transform("c", lambda c: c * samples).alias("sum_t"),
         F.array_repeat(F.lit(1).cast("bigint"), samples).alias("root_c_of"),
         F.array_repeat(F.lit(1).cast("bigint"), samples).alias("root_t_of"),
     )
-    total_c = F.aggregate("c", F.lit(0).cast("bigint"), lambda a, b: a + b)
-    model = state.select("word", total_c.alias("n"), "c", "sum_t", "root_c_of", "root_t_of").unionByName(once)
-    told = asked.select("word", "block", "place", "own").join(model, "word")
+    state = state.select(*once.columns).unionByName(once)
+    model = state.mapInArrow(_model(sampled), MODEL_SCHEMA)
+    asked = read.mapInArrow(_asked, ASKED_SCHEMA)
     # A block knows by itself of a word that only it has, once.
-    told = told.where("NOT (n = 1 AND own = 1)").select("block", "place", "n", "c", "sum_t", "root_c_of", "root_t_of")
+    told = asked.join(model, "word").where("NOT (n = 1 AND only_here)")
     return (
         blocks.drop("frequent")
         .groupBy("block")
-        .cogroup(told.groupBy("block"))
+        .cogroup(told.select("block", "place", "n", "root", "contexts", "own").groupBy("block"))
         .applyInArrow(_score(anchors, sampled), SCORE_SCHEMA)
     )
 
 
+def _sum(column: str) -> Column:
+    return F.aggregate(column, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers with their bytes dealt by place, which makes small ones short, compressed."""
+    numbers = np.ascontiguousarray(numbers)
+    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unsqueeze(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def words_of(row: dict) -> list[bytes]:
+    # The end is a line feed itself and no word holds a blank.
+    return zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
+
+
 class _Index(dict):
     """Numbers words in the order in which they come."""
 
@@ -205,8 +233,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array([number], pa.int64()),
                 pa.array([docs], pa.list_(pa.int64())),
-                *(pa.array([a.tobytes()], pa.binary()) for a in (held_out, lengths, every)),
-                pa.array([words], pa.list_(pa.binary())),
+                *(pa.array([squeeze(a)], pa.binary()) for a in (held_out, lengths, every)),
+                pa.array([zstandard.ZstdCompressor(level=1).compress(b" ".join(words))], pa.binary()),
                 pa.array([frequent], types),
             ],
             names=["block", "docs", "held_out", "lengths", "tokens", "words", "frequent"],
@@ -227,47 +255,76 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def _in_contexts(row: dict, anchors: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of a block, the context and held-out flag of each, and lengths of the documents."""
-    tokens = np.frombuffer(row["tokens"], dtype=np.int32)
-    lengths = np.frombuffer(row["lengths"], dtype=np.int64)
-    held_out = np.repeat(np.frombuffer(row["held_out"], dtype=np.uint8), lengths) == 1
-    wanted = {a: i + 1 for i, a in enumerate(anchors)}
-    number = np.array([wanted.get(w, 0) for w in row["words"]], dtype=np.uint8)[tokens]
-    # Place of the last anchor before each token; a document starts without one.
-    at = np.arange(len(tokens))
-    starts = np.cumsum(lengths) - lengths
-    last = np.where(number > 0, at, -1)
-    before = np.concatenate([[-1], np.maximum.accumulate(last)[:-1]]) if len(last) else last
-    context = np.where(before >= np.repeat(starts, lengths), number[before], 0).astype(np.uint8)
-    return tokens, context, held_out, lengths
-
-
-def _asked(anchors: list[bytes]):
+@dataclass
+class Block:
+    """A block with the context and the held-out flag of each token."""
+
+    words: list[bytes]
+    tokens: np.ndarray
+    context: np.ndarray
+    held_out: np.ndarray
+    lengths: np.ndarray
+
+    def __init__(self, row: dict, anchors: list[bytes]):
+        self.words = words_of(row)
+        self.tokens = unsqueeze(row["tokens"], np.int32)
+        self.lengths = unsqueeze(row["lengths"], np.int64)
+        self.held_out = unsqueeze(row["held_out"], np.uint8) == 1
+        wanted = {a: i + 1 for i, a in enumerate(anchors)}
+        number = np.array([wanted.get(w, 0) for w in self.words], dtype=np.uint8)[self.tokens]
+        # Place of the last anchor before each token; a document starts without one.
+        last = np.where(number > 0, np.arange(len(number)), -1)
+        before = np.concatenate([[-1], np.maximum.accumulate(last)[:-1]])
+        starts = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.context = np.where(before >= starts, number[before], 0).astype(np.uint8)
+
+    def counts(self) -> np.ndarray:
+        """Training tokens per word and context."""
+        train = np.repeat(~self.held_out, self.lengths)
+        pairs = self.tokens[train].astype(np.int64) * CONTEXTS + self.context[train]
+        return np.bincount(pairs, minlength=len(self.words) * CONTEXTS).reshape(-1, CONTEXTS)
+
+
+def _counted(anchors: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                tokens, context, held_out, _ = _in_contexts(row, anchors)
-                words = row["words"]
-                pairs = tokens[~held_out].astype(np.int64) * CONTEXTS + context[~held_out]
-                counts = np.bincount(pairs, minlength=len(words) * CONTEXTS).reshape(-1, CONTEXTS)
-                for at in range(0, len(words), ROWS_PER_BATCH):
-                    some = counts[at : at + ROWS_PER_BATCH]
-                    n = len(some)
+                block = Block(row, anchors)
+                counts = block.counts()
+                trained = np.flatnonzero(counts.any(axis=1))
+                for at in range(0, len(trained), ROWS_PER_BATCH):
+                    some = trained[at : at + ROWS_PER_BATCH]
+                    own = counts[some]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(words[at : at + n], pa.binary()),
-                            pa.array(np.full(n, row["block"], dtype=np.int64)),
-                            pa.array(np.arange(at, at + n, dtype=np.int32)),
-                            pa.array(some.sum(axis=1)),
-                            *(pa.array(np.ascontiguousarray(some[:, u])) for u in range(CONTEXTS)),
+                            pa.array([block.words[w] for w in some], pa.binary()),
+                            *(pa.array(np.ascontiguousarray(own[:, u])) for u in range(CONTEXTS)),
                         ],
-                        names=[field.split()[0] for field in ASKED_SCHEMA.split(", ")],
+                        names=["word", *(f"c{u}" for u in range(CONTEXTS))],
                     )
 
     return run
 
 
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            words = words_of(row)
+            held_out = np.repeat(unsqueeze(row["held_out"], np.uint8), unsqueeze(row["lengths"], np.int64))
+            own = np.bincount(unsqueeze(row["tokens"], np.int32)[held_out == 0], minlength=len(words))
+            for at in range(0, len(words), ROWS_PER_BATCH):
+                some = words[at : at + ROWS_PER_BATCH]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(some, pa.binary()),
+                        pa.array(np.full(len(some), row["block"], dtype=np.int64)),
+                        pa.array(np.arange(at, at + len(some), dtype=np.int32)),
+                        pa.array(own[at : at + len(some)] == 1),
+                    ],
+                    names=["word", "block", "place", "only_here"],
+                )
+
+
 def _first_totals(counts: DataFrame) -> tuple[Totals, np.ndarray]:
     """Totals with one table per word and context, and the tables of words that occur once."""
     def per_context(of) -> list:
@@ -296,16 +353,13 @@ def _totals(state: DataFrame, before: Totals, single: np.ndarray) -> Totals:
     )
 
 
-def _lists(batch: pa.RecordBatch | pa.Table, name: str, width: int) -> np.ndarray:
-    column = batch.column(name)
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+def _lists(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 def _as_lists(values: np.ndarray) -> pa.ListArray:
     n, width = values.shape
-    offsets = pa.array(np.arange(0, (n + 1) * width, width or 1, dtype=np.int32)[: n + 1] if width else np.zeros(n + 1, dtype=np.int32))
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).ravel(), pa.int64()))
 
 
@@ -355,47 +409,78 @@ def _sweep(totals: Totals, sweep: int, keep: bool):
 def predictive(
     c: np.ndarray, sum_t: np.ndarray, root_c: np.ndarray, root_t: np.ndarray, sampled: list[Totals]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Own part of each (word, context), and the parent's averaged part of each word and context."""
-    s = len(sampled)
+    """Averages over the samples: each context's own part of each word, and the parent's probability of it."""
     first = sampled[0]
-    own = (c - first.discount * sum_t / s) / (STRENGTH + first.customers)
-    parent = np.zeros(c.shape)
-    for i, totals in enumerate(sampled):
-        parent += totals.root(root_c[:, i], root_t[:, i])[:, None] * totals.backing()
-    return own, parent / s
+    own = (c - first.discount * sum_t / len(sampled)) / (STRENGTH + first.customers)
+    root = np.mean([t.root(root_c[:, i], root_t[:, i]) for i, t in enumerate(sampled)], axis=0)
+    return own, root
+
+
+def _model(sampled: list[Totals]):
+    """What a block needs to know of a word. Contexts in which it never occurs have no part of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = _lists(batch, "c", CONTEXTS)
+            own, root = predictive(
+                c,
+                _lists(batch, "sum_t", CONTEXTS),
+                _lists(batch, "root_c_of", len(sampled)),
+                _lists(batch, "root_t_of", len(sampled)),
+                sampled,
+            )
+            rows, contexts = np.nonzero(c)
+            ends = np.cumsum((c > 0).sum(axis=1))
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            data = pa.py_buffer(contexts.astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("word"),
+                    pa.array(c.sum(axis=1)),
+                    pa.array(root),
+                    pa.Array.from_buffers(pa.binary(), len(c), [None, offsets.buffers()[1], data]),
+                    pa.ListArray.from_arrays(offsets, pa.array(own[rows, contexts].astype(np.float32))),
+                ],
+                names=["word", "n", "root", "contexts", "own"],
+            )
+
+    return run
 
 
 def _score(anchors: list[bytes], sampled: list[Totals]):
-    samples = len(sampled)
+    backing = np.mean([t.backing() for t in sampled], axis=0)
+    train_tokens = int(sampled[0].customers.sum())
+    vocabulary = sampled[0].types
 
-    def run(block: pa.Table, told: pa.Table) -> pa.Table:
-        row = block.to_pylist()[0]
-        tokens, context, held_out, lengths = _in_contexts(row, anchors)
-        size = len(row["words"])
+    def run(row: pa.Table, told: pa.Table) -> pa.Table:
+        row = row.to_pylist()[0]
+        block = Block(row, anchors)
         # What the block knows of its words, unless told otherwise: none, or its own only one.
-        pairs = tokens[~held_out].astype(np.int64) * CONTEXTS + context[~held_out]
-        c = np.bincount(pairs, minlength=size * CONTEXTS).reshape(-1, CONTEXTS)
-        place = told.column("place").to_numpy()
-        n = c.sum(axis=1)
-        known_here = n > 0
-        sum_t, root = c * samples, np.repeat(known_here[:, None], samples, axis=1).astype(np.int64)
-        root_c, root_t = root, root.copy()
-        if len(place):
-            n[place] = told.column("n").to_numpy()
-            c[place], sum_t[place] = _lists(told, "c", CONTEXTS), _lists(told, "sum_t", CONTEXTS)
-            root_c[place], root_t[place] = _lists(told, "root_c_of", samples), _lists(told, "root_t_of", samples)
-        own, parent = predictive(c, sum_t, root_c, root_t, sampled)
-        logs = np.log10(own + parent).ravel()[tokens.astype(np.int64) * CONTEXTS + context]
-        train = int(sampled[0].customers.sum())
-        base = np.log10((n + 0.1) / (train + 0.1 * (sampled[0].types + 1)))[tokens]
-        starts = np.cumsum(lengths) - lengths
+        counts = block.counts()
+        n = counts.sum(axis=1)
+        seen = np.repeat((n > 0)[:, None], len(sampled), axis=1)
+        own, root = predictive(counts, counts * len(sampled), seen, seen, sampled)
+        if told.num_rows:
+            place = told.column("place").to_numpy()
+            n[place], root[place] = told.column("n").to_numpy(), told.column("root").to_numpy()
+            own[place] = 0
+            lists = told.column("own").combine_chunks()
+            contexts = np.frombuffer(b"".join(told.column("contexts").to_pylist()), dtype=np.uint8)
+            rows = np.repeat(place, lists.value_lengths().to_numpy(zero_copy_only=False))
+            own[rows, contexts] = lists.flatten().to_numpy(zero_copy_only=False)
+        tokens, context = block.tokens, block.context
+        logs = np.log10(own[tokens, context] + root[tokens] * backing[context])
+        base = np.log10((n + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))[tokens]
+        starts = np.cumsum(block.lengths) - block.lengths
         return pa.table(
             {
                 "doc_id": pa.array(row["docs"], pa.int64()),
-                "held_out": pa.array(np.frombuffer(row["held_out"], dtype=np.uint8) == 1),
-                "n_tokens": pa.array(lengths, pa.int64()),
+                "held_out": pa.array(block.held_out),
+                "n_tokens": pa.array(block.lengths),
                 "n_known": pa.array(np.add.reduceat((n > 0)[tokens].astype(np.int64), starts)),
-                "train_tokens": pa.array(np.full(len(lengths), train, dtype=np.int64)),
+                "train_tokens": pa.array(np.full(len(starts), train_tokens, dtype=np.int64)),
                 "base_score": pa.array(np.add.reduceat(base, starts)),
                 "score": pa.array(np.add.reduceat(logs, starts)),
             }
