@@ -33,7 +33,7 @@ TEMPERATURE = 0.05
 # How many times better raw text must explain a document than target text does, for it to be rejected.
 REJECT_ODDS = 100.0
 # Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 # Runs of one kind of character, and what stands for them in the shape of a word.
@@ -99,10 +99,12 @@ def weigher(ratio: Broadcast) -> Callable[[Column], Column]:
 
     @F.pandas_udf("n_features BIGINT, log_weight DOUBLE")
     def weigh(bodies: pd.Series) -> pd.DataFrame:
-        found = [features(body) for body in bodies]
-        return pd.DataFrame(
-            {"n_features": [len(f) for f in found], "log_weight": [float(ratio.value[f].sum()) for f in found]}
-        )
+        sizes, weights = [], []
+        for body in bodies:
+            found = features(body)
+            sizes.append(len(found))
+            weights.append(float(ratio.value[found].sum()))
+        return pd.DataFrame({"n_features": sizes, "log_weight": weights})
 
     return weigh
 

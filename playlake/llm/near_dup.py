@@ -40,7 +40,7 @@ BLOCK_CLASSES = 512
 BLOCK_SHINGLES = 250_000
 # Pairs that agree in fewer functions are not looked at: at the threshold that is 1 pair in 10^8.
 AGREE = 28
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 SIGN_BYTES = 2_000_000
 
 FACTORS = np.array(
