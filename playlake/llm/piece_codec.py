@@ -315,6 +315,8 @@ def encode_documents(
 
 def checked(own: PieceCodec, texts: list[str]) -> tuple[list[list[int]], list[str]]:
     """Ids with the end id, and the texts decoded from them; equal to the library's."""
+    if not texts:
+        return [], []
     ids = own.encode(texts)
     if ids != own.library.encode(texts, add_eos=True, num_threads=1):
         raise ValueError("encoding differs from the library's")

@@ -1,0 +1,117 @@
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from playlake.llm import near_dup
+from playlake.llm.components import components
+from playlake.llm.near_dup import near_duplicates
+
+SCHEMA = "doc_id BIGINT, text STRING"
+
+
+def sets_of(rows):
+    out = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        out.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    return out
+
+
+def roots(edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}
+
+
+def brute(rows):
+    sets = sets_of(rows)
+    linked = []
+    for (a, s), (b, t) in combinations([(d, s) for (d, _), s in zip(rows, sets) if d is not None and s], 2):
+        common = len(s & t)
+        if 100 * common >= 75 * (len(s) + len(t) - common):
+            linked.append((a, b))
+    root = roots(linked)
+    return sorted(((d, len(s), root.get(d, d), root.get(d, d) == d) for (d, _), s in zip(rows, sets)), key=str)
+
+
+def crowd(seed, copies, words, edits):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(words)]
+    out = []
+    for _ in range(copies):
+        text = list(base)
+        for _ in range(rng.randrange(edits + 1)):
+            text[rng.randrange(words)] = f"e{rng.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+def corpus():
+    rng = random.Random(7)
+    texts = [" ".join(f"u{rng.randrange(2000)}" for _ in range(rng.randrange(1, 60))) for _ in range(150)]
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts += [passage + " " + " ".join(f"v{rng.randrange(9000)}" for _ in range(rng.randrange(4, 40))) for _ in range(120)]
+    texts += crowd(1, 160, 120, 9) + crowd(2, 5, 400, 6) + crowd(3, 3, 30, 1)
+    texts += ["a b c d", "A  b\tc\nd", "a b c", "", " \n", None, "a", "a", "x y z x y z x y z x y z", "x y z x y z x y z"]
+    rows = [(1000 - i, t) for i, t in enumerate(texts)]
+    return rows + [(None, "a b c d"), (None, None), (5000, texts[0]), (5001, texts[200])]
+
+
+def got(spark, rows, **more):
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), **more).collect()
+    assert all(r.kept == (r.component_id == r.doc_id) for r in found)
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found), key=str)
+
+
+@pytest.mark.parametrize("small, blocks", [(64, 512), (4, 512), (8, 20)])
+def test_equals_brute_force(spark, monkeypatch, small, blocks):
+    monkeypatch.setattr(near_dup, "SMALL", small)
+    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", blocks)
+    assert got(spark, corpus()) == brute(corpus())
+
+
+def test_threshold_is_exact(spark):
+    words = [f"t{i}" for i in range(200)]
+    near = [(1, " ".join(words[:104])), (2, " ".join(words[:79]))]  # 75 of 100 shingles
+    far = [(3, " ".join(words[100:200])), (4, " ".join(words[100:175]))]  # 71 of 96
+    rows = got(spark, near + far)
+    assert [r[2] for r in rows] == [1, 1, 3, 4]
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert got(spark, []) == []
+    df = spark.createDataFrame([(1, "a b", "n", 1), (2, "a  b", "m", 2)], SCHEMA + ", node STRING, class INT")
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(df).collect()} == {(1, 1), (2, 1)}
+
+
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(4)
+    every = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    a, b = np.unique(every[:3000]), np.unique(every[1000:])
+    sketch = near_dup.sketches([a, b])
+    assert abs((sketch[0] == sketch[1]).mean() - 0.5) < 0.2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)] + [(i, i + 1) for i in range(1000, 1040)]
+    edges += [(2000, 3000 - i) for i in range(300)] + [(7, 7)]
+    found = components(spark.createDataFrame([*edges, (None, 1), (5, None)], "a BIGINT, b BIGINT"))
+    want = {x: r for x, r in roots([(a, b) for a, b in edges if a != b]).items() if x != r}
+    assert {r.node: r.root for r in found.collect()} == want
+
+
+def test_no_edges(spark):
+    assert components(spark.createDataFrame([], "a BIGINT, b BIGINT")).count() == 0
