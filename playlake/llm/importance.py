@@ -23,8 +23,9 @@ from playlake.scratch import scratch_dir, stage
 
 # Hashed n-grams share this many buckets. The two models are this long, whatever the corpus.
 BUCKETS = 1 << 16
-# Counts added to each bucket of the target model, spread as in the raw model.
-PRIOR = 2000.0
+# Numbers of groups of buckets, from coarse to single ones, and the counts by which one leans on the one before.
+GROUPS = (1 << 10, 1 << 13, BUCKETS)
+PRIOR = 100.0
 # At most so many target documents are counted: those whose ids have the smallest hashes.
 TARGET_DOCUMENTS = 20_000
 # The noise is this much smaller than a plain Gumbel draw. Close to zero only clear cases are left to
@@ -74,10 +75,18 @@ def features(body: bytes) -> np.ndarray:
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log of target over raw probability per bucket, from counts."""
-    raw_share = (raw + 1) / (raw.sum() + len(raw))
-    target_share = (target + PRIOR * raw_share) / (target.sum() + PRIOR)
-    return np.log(target_share / raw_share)
+    """Log of target over raw probability per bucket, from counts.
+
+    Counts of few target documents say little about a bucket, so its ratio leans on the one of the group of
+    buckets around it, and that on a larger group, by PRIOR expected counts each.
+    """
+    share = (raw + 1) / (raw.sum() + BUCKETS)
+    ratio = np.ones(1)
+    for groups in GROUPS:
+        counted = target.reshape(groups, -1).sum(axis=1)
+        expected = share.reshape(groups, -1).sum(axis=1) * target.sum()
+        ratio = (counted + PRIOR * np.repeat(ratio, groups // len(ratio))) / (expected + PRIOR)
+    return np.log(ratio)
 
 
 def fit(texts: DataFrame, target_ids: DataFrame) -> np.ndarray:
