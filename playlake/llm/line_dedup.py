@@ -106,7 +106,8 @@ def line_dedup(
         removed.hint("merge"), rows.own_id.eqNullSafe(removed.doc_id) & (rows.own_hash == removed.text_hash), "left"
     )
     text = F.col(f"document.`{text_col}`")
-    left = F.when(F.col("places").isNull(), text).otherwise(without(text.cast("binary"), F.col("places")))
+    touched = F.when(F.col("places").isNotNull(), text.cast("binary"))
+    left = F.when(F.col("places").isNull(), text).otherwise(without(touched, F.col("places")))
     return joined.select(
         "document", left.alias("text"), F.coalesce(F.size("places"), F.lit(0)).alias("removed_chunks")
     )
