@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlake.sources.schemas import PARTITION_COLUMNS
+from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:
@@ -11,13 +11,30 @@ def register_views(frames: dict[str, DataFrame]) -> None:
 
 
 def register_tables(spark: SparkSession, folders: dict[str, str], prefix: str = "") -> list[str]:
-    """Expose written Parquet folders as external tables, with columns and partitions found there."""
+    """Expose written Parquet folders as external tables, with the declared columns and types.
+
+    Types that were guessed from folder names would turn an id `007` into 7. A name that is taken is an
+    error, so nobody's table is replaced; `drop_tables` takes the names away and leaves the files.
+    """
     names = []
-    for table, folder in folders.items():
-        name = f"{prefix}{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION :folder", args={"folder": folder})
-        if table in PARTITION_COLUMNS:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-        names.append(name)
+    try:
+        for table, folder in folders.items():
+            name = f"{prefix}{table}"
+            partitions = PARTITION_COLUMNS.get(table)
+            by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+            spark.sql(
+                f"CREATE TABLE {name} ({TABLE_SCHEMAS[table]}) USING parquet {by} LOCATION :folder",
+                args={"folder": folder},
+            )
+            names.append(name)
+            if partitions:
+                spark.sql(f"MSCK REPAIR TABLE {name}")
+    except Exception:
+        drop_tables(spark, names)
+        raise
     return names
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 # First and last millisecond of the years 1 to 9999 (UTC).
 EARLIEST_MS = -62135596800000
 LATEST_MS = 253402300799999
+# A decimal number, with blanks around it or an exponent if need be.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def start_time(ts: str) -> Column:
     """Timestamp of an epoch-millisecond text column; NULL if absent, not a number or out of range."""
-    ms = F.col(ts).try_cast("double")
+    # The cast alone would also take numbers in hexadecimal or with a type letter behind them.
+    ms = F.when(F.col(ts).rlike(NUMBER), F.col(ts).try_cast("double"))
     whole = F.floor(ms)
     # floor(x + 0.5) because round() of a double goes through big decimals.
     micros = whole * 1000 + F.floor((ms - whole) * 1000 + 0.5)

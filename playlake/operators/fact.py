@@ -40,16 +40,19 @@ def match_pairs(pairs: DataFrame, songs: DataFrame, artists: DataFrame) -> DataF
         .groupBy(F.col("name").alias("artist"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    named = pairs.join(names, "artist")
+    named = split_join(pairs, names, ["artist"], ["song"], ["copies"], key_sizes(pairs, names, ["artist"]))
     sizes = key_sizes(pairs, titles, ["song"])
     matches = split_join(named, titles, ["song"], ["artist"], ["song_id", "artist_id", "variant"], sizes)
     return matches.select(*PAIR, "plays", "song_id", "artist_id", "variant", "copies")
 
 
-def build_fact(plays: DataFrame, matches: DataFrame, spread: list[str]) -> DataFrame:
+def build_fact(
+    plays: DataFrame, matches: DataFrame, spread: list[str], pairs: DataFrame | None = None
+) -> DataFrame:
     """Fact rows without the row id. `spread` are columns of `plays` that tell its rows apart.
 
-    `matches` is read twice, so it should be a stored table.
+    `matches` is read twice, so it should be a stored table. With `pairs`, the counted pairs, plays of
+    frequent pairs without a match are dropped before the shuffle.
     """
     # Many copies of a match become several rows here, so that no play row expands without bound.
     chunks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {CELL}")))
@@ -59,6 +62,10 @@ def build_fact(plays: DataFrame, matches: DataFrame, spread: list[str]) -> DataF
     sizes = matches.groupBy(*PAIR).agg(
         F.max("plays").alias("left_rows"), F.sum("copies").alias("right_rows")
     )
+    if pairs is not None:
+        found = sizes.select(*PAIR, "right_rows")
+        counted = pairs.select(*PAIR, F.col("plays").alias("left_rows"))
+        sizes = counted.join(found, PAIR, "left").fillna(0, ["right_rows"])
     lookup_spread = ["song_id", "artist_id", "variant", "chunk"]
     joined = split_join(valid_plays(plays), lookup, PAIR, spread, lookup_spread, sizes)
     return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(

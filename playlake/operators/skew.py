@@ -1,25 +1,26 @@
-"""Equi-join that spreads the keys holding the most output rows over many tasks."""
+"""Equi-join that spreads the keys holding the most rows, on either side or of the output, over many tasks."""
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from playlake.parallel import MAX_TASKS, SHUFFLE_PARTITIONS
+from playlake.parallel import SHUFFLE_PARTITIONS
+from playlake.scratch import discard, scratch_dir, stage
 
 # A key is split so that one task joins at most CELL rows of one side with CELL rows of the other.
 CELL = 1000
-# Keys split explicitly. Every other key holds at most 1/HOT_KEYS of the output and goes through
-# the same join unsplit, so the number bounds what the driver sees and never the result.
-HOT_KEYS = 10_000
+# A key is hot if it holds more than this share of the rows of a side or of the output, and more than
+# CELL * CELL. So at most 3 / SHARE keys are hot, by arithmetic: that bounds what the driver sees.
+SHARE = 1 / 1000
 # Output rows per task. Adaptive execution sizes tasks by what they read; with many matches per
 # row they write far more than that.
 TASK_ROWS = 5_000_000
 
 
 def key_sizes(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key on both sides, for the keys found on both."""
-    left_rows = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("left_rows"))
-    right_rows = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("right_rows"))
-    return left_rows.join(right_rows, keys)
+    """Rows per key on both sides, for the keys found on either; 0 where there are none."""
+    left_rows = left.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("left_rows"))
+    right_rows = right.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("right_rows"))
+    return left_rows.join(right_rows, keys, "full_outer").fillna(0, ["left_rows", "right_rows"])
 
 
 def split_join(
@@ -33,18 +34,24 @@ def split_join(
 ) -> DataFrame:
     """Inner join on `keys`, with each hot key cut into a grid of slices.
 
-    `sizes` holds the keys with `left_rows` and `right_rows`. It is evaluated here, once, to find
-    the hot keys and the size of the output; a small output without hot keys is left to a plain
-    join. Otherwise a left row goes to one slice of the left side and is copied to all slices of
+    `sizes` holds the keys with `left_rows` and `right_rows`, 0 for a side without the key. It is
+    evaluated here, once, to find the hot keys and the size of the output; a small output without hot
+    keys is left to a plain join. Rows of a hot key that the other side lacks are dropped before the
+    shuffle. Otherwise a left row goes to one slice of the left side and is copied to all slices of
     the right side, and the other way round, so each matching pair meets exactly once. Slices are
     hashes of the `*_spread` columns and not random numbers: a task that runs again after a lost
     executor must send each row to the same place.
     """
     spark = left.sparkSession
+    work = scratch_dir(spark)
     sizes = sizes.withColumn("output_rows", F.col("left_rows").cast("double") * F.col("right_rows"))
     seen = Observation()
-    hot = _hot_keys(sizes.observe(seen, F.sum("output_rows").alias("total")), keys, cell)
+    sums = [F.sum(c).alias(c) for c in ("left_rows", "right_rows", "output_rows")]
+    sizes = stage(sizes.observe(seen, *sums), work)
+    totals = {c: seen.get[c] or 0 for c in ("left_rows", "right_rows", "output_rows")}
+    hot = _hot_keys(sizes, keys, cell, totals)
     rows = hot.collect()
+    discard(spark, work)
     left, right = left.dropna(subset=keys), right.dropna(subset=keys)
     if rows:
         hot = F.broadcast(spark.createDataFrame(rows, hot.schema))
@@ -53,29 +60,25 @@ def split_join(
         left = _sliced(left, hot, keys, left_spread, "left", "right", copied=right_cut)
         right = _sliced(right, hot, keys, right_spread, "right", "left", copied=left_cut)
         keys = [*keys, "left_slice", "right_slice"]
-    tasks = min(int((seen.get["total"] or 0) // TASK_ROWS), MAX_TASKS)
+    tasks = int(totals["output_rows"] // TASK_ROWS)
     if tasks > int(spark.conf.get(SHUFFLE_PARTITIONS)):
         left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     return left.join(right, keys).drop("left_slice", "right_slice")
 
 
-def _hot_keys(sizes: DataFrame, keys: list[str], cell: int) -> DataFrame:
-    """The largest keys with the number of slices each side is cut into; at most HOT_KEYS rows."""
+def _hot_keys(sizes: DataFrame, keys: list[str], cell: int, totals: dict | None = None) -> DataFrame:
+    """The hot keys, with whether both sides have them and the number of slices each side is cut into."""
+    most = {c: max(cell * cell, (totals or {}).get(c, 0) * SHARE) for c in ("left_rows", "right_rows", "output_rows")}
 
     def slices(own: str, other: str) -> Column:
-        rows = F.col(own).cast("double") * F.least(F.col(other), F.lit(cell))
-        # More slices than tasks would only multiply the copies of the other side.
-        return F.ceil(F.least(rows / (cell * cell), F.lit(float(MAX_TASKS))))
+        by_output = F.col(own).cast("double") * F.least(F.col(other), F.lit(cell)) / (cell * cell)
+        return F.greatest(F.ceil(by_output), F.ceil(F.col(own) / most[own]), F.lit(1))
 
-    return (
-        sizes.where(F.col("output_rows") > cell * cell)
-        .orderBy(F.desc("output_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(
-            *keys,
-            slices("left_rows", "right_rows").alias("left_slices"),
-            slices("right_rows", "left_rows").alias("right_slices"),
-        )
+    return sizes.where(" OR ".join(f"{c} > {float(n)!r}D" for c, n in most.items())).select(
+        *keys,
+        ((F.col("left_rows") > 0) & (F.col("right_rows") > 0)).alias("matched"),
+        slices("left_rows", "right_rows").alias("left_slices"),
+        slices("right_rows", "left_rows").alias("right_slices"),
     )
 
 
@@ -87,6 +90,7 @@ def _sliced(
     own_slice = F.coalesce(F.pmod(F.xxhash64(*spread), F.col(f"{own}_slices")), zero)
     slices = F.coalesce(F.col(f"{other}_slices"), one)
     other_slice = F.explode(F.sequence(zero, slices - 1)) if copied else zero
-    return df.join(hot, keys, "left").select(
+    found = df.join(hot, keys, "left").where(F.coalesce("matched", F.lit(True)))
+    return found.select(
         *df.columns, own_slice.alias(f"{own}_slice"), other_slice.alias(f"{other}_slice")
     )

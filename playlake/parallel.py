@@ -8,9 +8,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-# Rows per shuffle partition, and the most tasks this package asks for in one stage.
+# Rows per shuffle partition.
 PARTITION_ROWS = 2_000_000
-MAX_TASKS = 20_000
 
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
@@ -32,7 +31,7 @@ def wide_shuffles(spark: SparkSession, rows: int) -> Iterator[None]:
     aggregation, so too many cost little and too few spill.
     """
     before = spark.conf.get(SHUFFLE_PARTITIONS)
-    needed = min(rows // PARTITION_ROWS, MAX_TASKS)
+    needed = rows // PARTITION_ROWS
     try:
         if needed > int(before):
             spark.conf.set(SHUFFLE_PARTITIONS, needed)

@@ -14,6 +14,7 @@ from playlake.functions.epoch import start_time
 from playlake.operators import audit, dims, fact, reports
 from playlake.parallel import together, wide_shuffles
 from playlake.scratch import discard, scratch_dir, stage
+from playlake.session import in_utc
 from playlake.sources.json_inputs import is_malformed, read_activity_log, read_song_metadata
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
@@ -28,6 +29,10 @@ PLAY_COLUMNS = [
 ]
 
 
+# A table that is built when it is asked for.
+Built = Callable[[], DataFrame]
+
+
 @dataclass
 class Outcome:
     """What became of one output."""
@@ -66,7 +71,8 @@ def run(
     """
     work = scratch_dir(spark)
     try:
-        result = _Run(spark, input_base, output_base, work).run(count_malformed_log)
+        with in_utc(spark):
+            result = _Run(spark, input_base, output_base, work).run(count_malformed_log)
     finally:
         discard(spark, work)
     if result.failed:
@@ -121,7 +127,7 @@ class _Run:
         self.work = work
         self.result = RunResult()
         # Tables for the steps that follow: as written, or as planned if the write failed.
-        self.tables: dict[str, DataFrame] = {}
+        self.tables: dict[str, Built] = {}
 
     def run(self, count_malformed_log: bool) -> RunResult:
         (metadata, song_input), (plays, play_input) = together(
@@ -139,23 +145,24 @@ class _Run:
     def build(self, metadata: DataFrame, plays: DataFrame) -> None:
         songs, pairs, time, *_ = together(
             self.spark,
-            lambda: stage(dims.songs_dim(metadata), f"{self.work}/songs"),
-            lambda: stage(fact.count_pairs(fact.valid_plays(plays)), f"{self.work}/pairs"),
-            lambda: stage(dims.time_dim(plays), f"{self.work}/time"),
-            lambda: self.write_table("artists", dims.artists_dim(metadata)),
-            lambda: self.write_table("users", dims.users_dim(plays)),
+            lambda: self.prepare("songs_built", lambda: dims.songs_dim(metadata)),
+            lambda: self.prepare("pairs", lambda: fact.count_pairs(fact.valid_plays(plays))),
+            lambda: self.prepare("time_built", lambda: dims.time_dim(plays)),
+            lambda: self.write_table("artists", lambda: dims.artists_dim(metadata)),
+            lambda: self.write_table("users", lambda: dims.users_dim(plays)),
         )
         # The fact waits for the matches, so they come before the writes of many small files.
         matches, _ = together(
             self.spark,
-            lambda: stage(
-                fact.match_pairs(pairs, songs, self.tables["artists"]), f"{self.work}/matches"
-            ),
-            lambda: self.write_csv(RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"])),
+            lambda: self.prepare("matches", lambda: fact.match_pairs(pairs(), songs(), self.tables["artists"]())),
+            lambda: self.write_csv(RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"]())),
         )
+        # Built, and not re-read: re-read partition columns have '' turned into NULL.
         together(
             self.spark,
-            lambda: self.write_fact_and_reports(plays, matches, songs),
+            lambda: self.write_table("song_plays", lambda: fact.with_row_id(
+                fact.build_fact(plays, matches(), ["play_no"], pairs()))),
+            lambda: self.write_reports(matches, songs),
             lambda: self.write_table("songs", songs),
             lambda: self.write_table("time", time),
         )
@@ -166,27 +173,30 @@ class _Run:
             lambda: self.write_csv("input_audit", self.input_audit),
         )
 
-    def write_fact_and_reports(self, plays: DataFrame, matches: DataFrame, songs: DataFrame) -> None:
-        """`songs` are the ones built, as re-read partition columns have '' turned into NULL."""
-        rows = fact.build_fact(plays, matches, ["play_no"])
-        self.write_table("song_plays", fact.with_row_id(rows))
+    def write_reports(self, matches: Built, songs: Built) -> None:
+        """From plays per (artist, song), which follow from the matches without the fact."""
+        counted = self.prepare("report_counts", lambda: reports.song_plays_of_matches(matches()))
         artists = self.tables["artists"]
-        counted = stage(reports.song_plays(self.tables["song_plays"]), f"{self.work}/song_plays")
         together(
             self.spark,
-            lambda: self.write_csv("top_songs", lambda: reports.top_songs(counted, songs, artists)),
-            lambda: self.write_csv("top_artists", lambda: reports.top_artists(counted, songs, artists)),
+            lambda: self.write_csv("top_songs", lambda: reports.top_songs(counted(), songs(), artists())),
+            lambda: self.write_csv("top_artists", lambda: reports.top_artists(counted(), songs(), artists())),
             lambda: self.write_csv(
-                "top_artists_by_plays", lambda: reports.top_artists_by_plays(counted, artists)
+                "top_artists_by_plays", lambda: reports.top_artists_by_plays(counted(), artists())
             ),
         )
 
     def recorded_counts(self) -> DataFrame:
-        """Counts taken while the tables were written; a table that failed is counted as planned."""
+        """Counts taken while the tables were written; a table that failed is counted as planned, if it can be."""
         rows = []
         for table, label in audit.LABELS.items():
             written = self.result.outcomes[table].rows
-            rows.append((label, self.tables[table].count() if written is None else written))
+            if written is None:
+                try:
+                    written = self.tables[table]().count()
+                except Exception:  # its own outcome says why
+                    continue
+            rows.append((label, written))
         return self.spark.createDataFrame(rows, "label STRING, n BIGINT").coalesce(1)
 
     def reconciliation(self) -> DataFrame:
@@ -195,23 +205,45 @@ class _Run:
             for table, schema in TABLE_SCHEMAS.items()
             if self.result.outcomes[table].error is None
         }
-        compared = audit.reconcile_counts(self.recorded_counts(), audit.table_counts(written))
-        return compared.orderBy("label")
+        counts = (
+            audit.table_counts(written)
+            if written
+            else self.spark.createDataFrame([], "label STRING, n BIGINT")
+        )
+        return audit.reconcile_counts(self.recorded_counts(), counts).orderBy("label")
 
     def input_audit(self) -> DataFrame:
         rows = list(self.result.inputs.items())
         return self.spark.createDataFrame(rows, "check STRING, n BIGINT").coalesce(1)
 
-    def write_table(self, table: str, df: DataFrame) -> None:
+    def prepare(self, name: str, build: Built) -> Built:
+        """Stage an intermediate table. If that fails, every step that asks for it fails with the reason."""
+        path = f"{self.work}/{name}"
+        try:
+            staged = stage(build(), path)
+        except Exception as error:
+            reason = f"{name}: {_first_line(error)}"
+
+            def unavailable() -> DataFrame:
+                raise RuntimeError(reason)
+
+            return unavailable
+        return lambda: staged
+
+    def write_table(self, table: str, build: Built) -> None:
         path = f"{self.output_base}/{table}"
         columns = PARTITION_COLUMNS.get(table)
-        if columns:
-            done = self.attempt(table, path, lambda: sinks.write_partitioned(df, path, columns))
-        else:
-            done = self.attempt(table, path, lambda: sinks.write_table(df, path))
-        self.tables[table] = self.spark.read.schema(TABLE_SCHEMAS[table]).parquet(path) if done else df
 
-    def write_csv(self, output: str, build: Callable[[], DataFrame], header: bool = True) -> None:
+        def write() -> int:
+            if columns:
+                return sinks.write_partitioned(build(), path, columns)
+            return sinks.write_table(build(), path)
+
+        done = self.attempt(table, path, write)
+        written = lambda: self.spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
+        self.tables[table] = written if done else build
+
+    def write_csv(self, output: str, build: Built, header: bool = True) -> None:
         path = f"{self.output_base}/{output}"
         self.attempt(output, path, lambda: sinks.write_csv(build(), path, header))
 
@@ -220,5 +252,9 @@ class _Run:
         try:
             outcome.rows = write()
         except Exception as error:  # reported at the end of the run
-            outcome.error = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
+            outcome.error = _first_line(error)
         return outcome.error is None
+
+
+def _first_line(error: Exception) -> str:
+    return str(error).strip().splitlines()[0] if str(error).strip() else repr(error)

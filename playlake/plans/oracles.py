@@ -73,26 +73,49 @@ JOB_COUNTS = COUNTS.replace(
     "FROM nation\n", "FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)\n"
 )
 
+# Fixed values in the statements: the wording of messages and labels, as in functions/messages.py and audit.py.
 TOP_SONGS = f"""
     WITH {LINEAR},
-    top AS (
-        SELECT song_id, count(*) AS plays FROM song_plays
-        GROUP BY song_id ORDER BY plays DESC, song_id LIMIT 10
+    ranked AS (
+        SELECT song_id, plays, row_number() OVER (ORDER BY plays DESC, song_id) AS place
+        FROM (SELECT song_id, count(*) AS plays FROM song_plays GROUP BY song_id)
     )
-    SELECT '"' || s.title || '" by ' || a.name || ' played ' || t.plays || ' times.' AS message
-    FROM top t JOIN songs s ON t.song_id = s.song_id JOIN artists a ON s.artist_id = a.artist_id
-    GROUP BY s.title, a.name, t.plays"""
+    SELECT DISTINCT format('"{{}}" by {{}} played {{}} times.', title, name, plays) AS message
+    FROM ranked NATURAL JOIN songs JOIN artists USING (artist_id)
+    WHERE place <= 10"""
+
+TOP_ARTISTS = f"""
+    WITH {LINEAR},
+    ranked AS (
+        SELECT artist_id, plays, row_number() OVER (ORDER BY song_id DESC, artist_id) AS place
+        FROM (SELECT DISTINCT artist_id, song_id, count(*) OVER (PARTITION BY artist_id, song_id) AS plays FROM song_plays)
+        WHERE song_id IN (SELECT song_id FROM songs)
+    )
+    SELECT DISTINCT format('"{{}}" was played {{}} times.', name, plays) AS message
+    FROM ranked JOIN artists USING (artist_id)
+    WHERE place <= 10"""
+
+JOB_ARTISTS = LINEAR.replace(
+    "FROM nation\n", "FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)\n"
+)
 
 ORACLES = {
     "json_scan": """
-        SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS "userId",
-               event_type AS page, CAST(value AS FLOAT) AS length, props AS song,
-               CAST(NULL AS VARCHAR) AS auth
+        SELECT CAST(NULL AS VARCHAR) AS artist, CAST(NULL AS VARCHAR) AS auth,
+               'n' || user_id AS "firstName", CAST(NULL AS VARCHAR) AS gender,
+               CAST(event_id % 7 AS INTEGER) AS "itemInSession", CAST(NULL AS VARCHAR) AS "lastName",
+               CAST(value AS FLOAT) AS length, CAST(NULL AS VARCHAR) AS level,
+               CAST(NULL AS VARCHAR) AS location, 'PUT' AS method, event_type AS page,
+               CAST(event_id AS DOUBLE) AS registration, CAST(NULL AS INTEGER) AS "sessionId", props AS song,
+               CAST(CASE WHEN event_id % 2 = 0 THEN 200 END AS INTEGER) AS status,
+               CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ts, CAST(NULL AS VARCHAR) AS "userAgent",
+               CAST(user_id AS VARCHAR) AS "userId"
         FROM events""",
     "json_scan_songs": """
-        SELECT 1 AS num_songs, CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title,
-               p_brand AS artist_id, CAST(p_size AS VARCHAR) AS year,
-               CAST(p_retailprice AS FLOAT) AS artist_latitude, CAST(NULL AS VARCHAR) AS artist_name
+        SELECT 1 AS num_songs, p_brand AS artist_id, CAST(p_retailprice AS FLOAT) AS artist_latitude,
+               CAST(-p_retailprice AS FLOAT) AS artist_longitude, p_type AS artist_location,
+               CAST(NULL AS VARCHAR) AS artist_name, CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title,
+               CAST(p_size AS VARCHAR) AS duration, CAST(p_size AS VARCHAR) AS year
         FROM part""",
     "filter_page": "SELECT * FROM events WHERE event_type = 'purchase'",
     "dim_songs": """
@@ -114,15 +137,7 @@ ORACLES = {
     "fact_row_id": f"""
         WITH {LINEAR} SELECT count(*) AS n_rows, count(*) AS n_ids, true AS non_negative FROM song_plays""",
     "top_songs": TOP_SONGS,
-    "top_artists": f"""
-        WITH {LINEAR},
-        top AS (
-            SELECT artist_id, song_id, count(*) AS plays FROM song_plays
-            GROUP BY artist_id, song_id ORDER BY song_id DESC, artist_id LIMIT 10
-        )
-        SELECT '"' || a.name || '" was played ' || t.plays || ' times.' AS message
-        FROM top t JOIN artists a ON t.artist_id = a.artist_id JOIN songs s ON t.song_id = s.song_id
-        GROUP BY a.name, t.plays""",
+    "top_artists": TOP_ARTISTS,
     "top_artists_by_plays": f"""
         WITH {LINEAR},
         top AS (
@@ -158,4 +173,27 @@ ORACLES = {
     "csv_report": TOP_SONGS,
     "etl_reconciliation": RECONCILED.format(counts=JOB_COUNTS),
     "etl_song_plays": FACT,
+    "catalog_join": f"""
+        WITH {LINEAR}
+        SELECT s.artist_id, s.year, s.title, count(*) AS plays
+        FROM song_plays p JOIN songs s USING (song_id, artist_id) GROUP BY ALL""",
+    "etl_songs": f"""
+        WITH {LINEAR}
+        SELECT song_id, title, CAST(duration AS VARCHAR) AS duration, year, artist_id FROM songs""",
+    "etl_artists": f"""
+        WITH {JOB_ARTISTS}
+        SELECT artist_id, name, CAST(location AS VARCHAR) AS location, CAST(NULL AS FLOAT) AS latitude,
+               CAST(NULL AS FLOAT) AS longitude
+        FROM artists""",
+    "etl_users": f"WITH {LINEAR} {USERS.format(log='plays')}",
+    "etl_time": f"WITH {LINEAR} SELECT {CALENDAR} FROM (SELECT DISTINCT ms FROM plays)",
+    "etl_top_songs": TOP_SONGS,
+    "etl_top_artists": TOP_ARTISTS,
+    "etl_counts": JOB_COUNTS,
 }
+
+# As read back from CSV: the writer trims blanks at the end of a value, and the job's users are those with plays.
+ORACLES["etl_top_artists_by_plays"] = ORACLES["top_artists_by_plays"]
+ORACLES["etl_ratio"] = (
+    ORACLES["free_paid_ratio"].replace(USERS.format(log="log"), USERS.format(log="plays")).replace("'Ratio: '", "'Ratio:'")
+)

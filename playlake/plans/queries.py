@@ -1,26 +1,25 @@
 """Registered queries: each operator of the job on the given tables."""
 
 from collections.abc import Callable
+from functools import wraps
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake import sinks
-from playlake.catalog import register_tables, register_views
+from playlake.catalog import drop_tables, register_tables, register_views
 from playlake.functions.epoch import epoch_ms_text
 from playlake.operators import audit, dims, fact, reports
 from playlake.parallel import together
 from playlake.plans import job
 from playlake.plans import standins as s
 from playlake.scratch import scratch_dir, stage
+from playlake.session import in_utc
 from playlake.sources.json_inputs import read_activity_log, read_song_metadata
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
-
-def utc(spark: SparkSession) -> SparkSession:
-    """The given tables hold UTC times without a zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+Query = Callable[[SparkSession, str], DataFrame]
 
 
 def without_zone(df: DataFrame) -> DataFrame:
@@ -32,17 +31,22 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark)
-    events = s.table(utc(spark), sf_dir, "events")
+    events = s.table(spark, sf_dir, "events")
     events.select(
         epoch_ms_text("ts").cast("bigint").alias("ts"),
         F.col("user_id").alias("userId"),
         F.col("event_type").alias("page"),
         F.col("value").alias("length"),
         F.col("props").alias("song"),
+        F.concat(F.lit("n"), "user_id").alias("firstName"),
+        (F.col("event_id") % 7).alias("itemInSession"),
+        F.col("event_id").alias("registration"),
+        F.when(F.col("event_id") % 2 == 0, 200).alias("status"),
+        F.lit("PUT").alias("method"),
         F.year("ts").alias("y"),
         F.month("ts").alias("m"),
     ).write.partitionBy("y", "m").json(f"{base}/log_data")
-    return read_activity_log(spark, base).select("ts", "userId", "page", "length", "song", "auth")
+    return read_activity_log(spark, base)
 
 
 def json_scan_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +59,14 @@ def json_scan_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("artist_id"),
         F.col("p_size").alias("year"),
         F.col("p_retailprice").alias("artist_latitude"),
+        (-F.col("p_retailprice")).alias("artist_longitude"),
+        F.col("p_type").alias("artist_location"),
+        F.col("p_size").alias("duration"),
         F.col("p_type").alias("a"),
         F.lit("x").alias("b"),
         F.lit("y").alias("c"),
     ).write.partitionBy("a", "b", "c").json(f"{base}/song_data")
-    return read_song_metadata(spark, base).select(
-        "num_songs", "song_id", "title", "artist_id", "year", "artist_latitude", "artist_name"
-    )
+    return read_song_metadata(spark, base)
 
 
 # Filter and dimensions
@@ -81,18 +86,18 @@ def dim_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.users_dim(s.order_log(s.table(utc(spark), sf_dir, "orders")))
+    return dims.users_dim(s.order_log(s.table(spark, sf_dir, "orders")))
 
 
 def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_zone(dims.time_dim(s.event_log(utc(spark), sf_dir)))
+    return without_zone(dims.time_dim(s.event_log(spark, sf_dir)))
 
 
 # Fact
 
 
 def fact_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_zone(s.LinearStar(utc(spark), sf_dir).fact)
+    return without_zone(s.LinearStar(spark, sf_dir).fact)
 
 
 def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +106,7 @@ def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fact.with_row_id(s.LinearStar(utc(spark), sf_dir).fact)
+    ids = fact.with_row_id(s.LinearStar(spark, sf_dir).fact)
     return ids.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("songplay_id").alias("n_ids"),
@@ -113,17 +118,17 @@ def fact_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = s.LinearStar(utc(spark), sf_dir)
+    star = s.LinearStar(spark, sf_dir)
     return reports.top_songs(star.song_plays, star.songs, star.artists)
 
 
 def top_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = s.LinearStar(utc(spark), sf_dir)
+    star = s.LinearStar(spark, sf_dir)
     return reports.top_artists(star.song_plays, star.songs, star.artists)
 
 
 def top_artists_by_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = s.LinearStar(utc(spark), sf_dir)
+    star = s.LinearStar(spark, sf_dir)
     return reports.top_artists_by_plays(star.song_plays, star.artists)
 
 
@@ -135,25 +140,50 @@ def free_paid_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.table_counts(s.LinearStar(utc(spark), sf_dir).tables)
+    return audit.table_counts(s.LinearStar(spark, sf_dir).tables)
 
 
 def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the five tables and of the filtered log, counted through SQL over their views."""
-    star = s.LinearStar(utc(spark), sf_dir)
-    register_views(star.tables | {"log_data": star.log})
-    labels = {label: table for table, label in audit.LABELS.items()}
-    return _count_by_sql(spark, labels | {"Log:": "log_data"})
+    star = s.LinearStar(spark, sf_dir)
+    names = {table: f"playlake_{uuid4().hex}_{table}" for table in (*audit.LABELS, "log_data")}
+    register_views({names[table]: frame for table, frame in (star.tables | {"log_data": star.log}).items()})
+    labels = {label: names[table] for table, label in audit.LABELS.items()}
+    counts = _count_by_sql(spark, labels | {"Log:": names["log_data"]})
+    for name in names.values():  # the plan has taken the views in
+        spark.catalog.dropTempView(name)
+    return counts
 
 
 def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folders = _write_linear_tables(utc(spark), sf_dir)[1]
-    names = register_tables(spark, folders, prefix="playlake_")
-    return _count_by_sql(spark, dict(zip((audit.LABELS[t] for t in folders), names)))
+    work, folders = _write_linear_tables(spark, sf_dir)[1:]
+    names = register_tables(spark, folders, prefix=f"playlake_{uuid4().hex}_")
+    try:
+        labels = [audit.LABELS[table] for table in folders]
+        return stage(_count_by_sql(spark, dict(zip(labels, names))), f"{work}/counts")
+    finally:
+        drop_tables(spark, names)
+
+
+def catalog_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays per song by SQL over registered tables, joined on the stored ids."""
+    work, folders = _write_linear_tables(spark, sf_dir)[1:]
+    names = register_tables(spark, folders, prefix=f"playlake_{uuid4().hex}_")
+    table = dict(zip(folders, names))
+    try:
+        joined = spark.sql(
+            f"""SELECT s.artist_id, s.year, s.title, count(*) AS plays
+                FROM {table['song_plays']} p
+                JOIN {table['songs']} s ON p.song_id = s.song_id AND p.artist_id = s.artist_id
+                GROUP BY s.artist_id, s.year, s.title"""
+        )
+        return stage(joined, f"{work}/joined")
+    finally:
+        drop_tables(spark, names)
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recorded, folders = _write_linear_tables(utc(spark), sf_dir)
+    recorded, _, folders = _write_linear_tables(spark, sf_dir)
     rows = [(audit.LABELS[table], n) for table, n in recorded.items()]
     written = {t: spark.read.schema(TABLE_SCHEMAS[t]).parquet(path) for t, path in folders.items()}
     return audit.reconcile_counts(
@@ -161,7 +191,10 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_linear_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, int], dict[str, str]]:
+def _write_linear_tables(
+    spark: SparkSession, sf_dir: str
+) -> tuple[dict[str, int], str, dict[str, str]]:
+    """Rows written per table, the work folder, and the tables' folders."""
     star = s.LinearStar(spark, sf_dir)
     folders = {table: f"{star.work}/out/{table}" for table in audit.LABELS}
 
@@ -176,7 +209,7 @@ def _write_linear_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, in
 
     star.tables  # build the plans once, before they are written side by side
     written = together(spark, *[lambda table=table: write(table) for table in folders])
-    return dict(zip(folders, written)), folders
+    return dict(zip(folders, written)), star.work, folders
 
 
 def _count_by_sql(spark: SparkSession, relations: dict[str, str]) -> DataFrame:
@@ -200,7 +233,7 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_partitioned_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark)
-    times = stage(dims.time_dim(s.order_log(s.table(utc(spark), sf_dir, "orders"))), f"{work}/staged")
+    times = stage(dims.time_dim(s.order_log(s.table(spark, sf_dir, "orders"))), f"{work}/staged")
     sinks.write_partitioned(times, f"{work}/time", PARTITION_COLUMNS["time"])
     return without_zone(spark.read.schema(TABLE_SCHEMAS["time"]).parquet(f"{work}/time"))
 
@@ -230,7 +263,7 @@ def csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_job(spark: SparkSession, sf_dir: str) -> str:
     """Write the linear star as JSON, run the job on it and return the output folder."""
-    star = s.LinearStar(utc(spark), sf_dir)
+    star = s.LinearStar(spark, sf_dir)
     star.write_inputs(f"{star.work}/in")
     job.run(spark, f"{star.work}/in", f"{star.work}/out")
     return f"{star.work}/out"
@@ -248,7 +281,37 @@ def etl_song_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(plays.drop("songplay_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def etl_table(table: str) -> Query:
+    """A table that the job writes."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        written = spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{run_job(spark, sf_dir)}/{table}")
+        return without_zone(written) if "start_time" in written.columns else written
+
+    return query
+
+
+def etl_report(folder: str, schema: str, header: bool = True) -> Query:
+    """A report that the job writes."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.schema(schema).option("header", header).csv(f"{run_job(spark, sf_dir)}/{folder}")
+
+    return query
+
+
+def plays_in_utc(query: Query) -> Query:
+    """The given tables hold UTC times without a zone."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with in_utc(spark):
+            return query(spark, sf_dir)
+
+    return run
+
+
+_ALL: dict[str, Query] = {
     query.__name__: query
     for query in (
         json_scan,
@@ -268,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table_counts,
         view_counts,
         catalog_counts,
+        catalog_join,
         reconcile_counts,
         parquet_partitioned,
         parquet_partitioned_time,
@@ -277,4 +341,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         etl_reconciliation,
         etl_song_plays,
     )
+} | {
+    "etl_songs": etl_table("songs"),
+    "etl_artists": etl_table("artists"),
+    "etl_users": etl_table("users"),
+    "etl_time": etl_table("time"),
+    "etl_top_songs": etl_report("top_songs", "message STRING"),
+    "etl_top_artists": etl_report("top_artists", "message STRING"),
+    "etl_top_artists_by_plays": etl_report("top_artists_by_plays", "message STRING"),
+    "etl_ratio": etl_report(
+        job.RATIO_FOLDER, "label STRING, free_users STRING, paid_users STRING, ratio STRING"
+    ),
+    "etl_counts": etl_report(job.COUNTS_FOLDER, "label STRING, n BIGINT", header=False),
 }
+
+QUERIES = {name: plays_in_utc(query) for name, query in _ALL.items()}

@@ -112,7 +112,7 @@ class LinearStar:
         plays, matches = together(
             self.spark, lambda: self.plays, lambda: stage(self.matches, f"{self.work}/matches")
         )
-        return fact.build_fact(plays, matches, ["play_no"])
+        return fact.build_fact(plays, matches, ["play_no"], self.pairs)
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:

@@ -1,7 +1,26 @@
 """Session for running the job from the command line."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+TIME_ZONE = "spark.sql.session.timeZone"
+
+
+@contextmanager
+def in_utc(spark: SparkSession) -> Iterator[None]:
+    """Plans and jobs made inside use UTC; the zone of the caller's session is set back after that.
+
+    Expressions take their zone when they are resolved, so a frame made inside keeps UTC.
+    """
+    before = spark.conf.get(TIME_ZONE)
+    spark.conf.set(TIME_ZONE, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(TIME_ZONE, before)
+
 
 def build_session(app_name: str = "playlake") -> SparkSession:
     """Create or reuse a session whose calendar columns do not depend on the machine's time zone."""

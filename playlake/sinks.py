@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from playlake.parallel import MAX_TASKS
+from playlake.scratch import discard, scratch_dir, stage
 
 # How a partitioned write is cut into tasks.
 ROWS_PER_TASK = 1_000_000
@@ -17,20 +17,30 @@ def write_table(df: DataFrame, path: str) -> int:
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> int:
-    """Write one folder per value of `columns`. `df` should be a stored table: it is read thrice.
+    """Write one folder per value of `columns`. `df` should be a stored table: it is read twice.
 
-    Rows are ranged by `columns` and then by the rest, so a folder falls into one task if it is
-    small, and a folder that holds a large share of the rows is cut into several. The number of
-    tasks follows from the rows and also from the folders, as nearly empty folders cost most.
+    The rows of each folder are counted first. A folder goes to one task, or to as many as its rows
+    need, by a hash of the whole row, so no rows are sampled to the driver and a task that runs again
+    gets the same ones. The number of tasks follows from the rows and also from the folders, as nearly
+    empty folders cost most.
     """
-    size = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.approx_count_distinct(F.xxhash64(*columns)).alias("folders"),
-    ).first()
+    work = scratch_dir(df.sparkSession)
+    folders = stage(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), work)
+    size = folders.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("folders")).first()
     tasks = max(1, size["rows"] // ROWS_PER_TASK, size["folders"] // FOLDERS_PER_TASK)
-    rest = [c for c in df.columns if c not in columns]
-    df, written = _counted(df.repartitionByRange(min(tasks, MAX_TASKS), *columns, *rest))
-    df.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    dealt = [F.col(c) for c in columns]
+    rows = df
+    if size["rows"] > ROWS_PER_TASK:
+        # Left to Catalyst: broadcast only if it is small.
+        large = folders.where(F.col("n") > ROWS_PER_TASK).select(
+            *[F.col(c).alias(f"folder_{c}") for c in columns], F.ceil(F.col("n") / ROWS_PER_TASK).alias("slices")
+        )
+        same = [F.col(c).eqNullSafe(F.col(f"folder_{c}")) for c in columns]
+        rows = rows.join(large, same, "left")
+        dealt.append(F.pmod(F.xxhash64(*df.columns), F.coalesce("slices", F.lit(1))))
+    rows, written = _counted(rows.repartition(tasks, *dealt).select(*df.columns))
+    rows.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    discard(df.sparkSession, work)
     return written.get["rows"]
 
 

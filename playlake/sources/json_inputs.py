@@ -13,19 +13,32 @@ def read_song_metadata(spark: SparkSession, base: str) -> DataFrame:
     than reading them. So only folders are globbed; Spark lists the files inside in parallel, and
     the filter keeps to the exact depth.
     """
-    folders = f"{base.rstrip('/')}/song_data/*/*/*"
+    return _json_at_depth(spark, f"{base.rstrip('/')}/song_data", 3, SONG_SCHEMA)
+
+
+def read_activity_log(spark: SparkSession, base: str) -> DataFrame:
+    """Read `<base>/log_data/*/*/*.json`, one object per line."""
+    return _json_at_depth(spark, f"{base.rstrip('/')}/log_data", 2, LOG_SCHEMA)
+
+
+def _json_at_depth(spark: SparkSession, root: str, folders: int, schema: str) -> DataFrame:
+    """JSON files exactly `folders` levels below `root`; Spark prunes other files before it opens them."""
+    path = F.regexp_replace("_metadata.file_path", "^[^/]*://[^/]*", "")
     return (
-        spark.read.schema(SONG_SCHEMA)
+        spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .json(folders)
-        .where(F.col("_metadata.file_path").rlike("/song_data(/[^/]+){4}$"))
+        .json(root + "/*" * folders)
+        # Files further down differ in depth only, so the depth below the first folders is enough.
+        .where(F.size(F.split(path, "/")) == _depth(spark, root) + folders + 1)
     )
 
 
-def read_activity_log(spark: SparkSession, base: str) -> DataFrame:
-    """Read `<base>/log_data/*/*/*.json`: few folders, large files, no filter per row."""
-    return spark.read.schema(LOG_SCHEMA).json(f"{base.rstrip('/')}/log_data/*/*/*.json")
+def _depth(spark: SparkSession, root: str) -> int:
+    """Parts of the absolute path of `root`, without the file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return len(path.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().getPath().split("/"))
 
 
 def is_malformed(df: DataFrame) -> Column:

@@ -34,17 +34,17 @@ def song(song_id="S1", title="T", artist_id="A1", artist_name="N", **more) -> di
     row = dict(
         num_songs=1, artist_id=artist_id, artist_latitude=None, artist_longitude=None,
         artist_location="", artist_name=artist_name, song_id=song_id, title=title,
-        duration=152.92036, year=0,
+        duration=200.12345, year=0,
     )
     return row | more
 
 
-def play(song="T", artist="N", ts=1541107493796, user="1", level="free", **more) -> dict:
+def play(song="T", artist="N", ts=1600000000123, user="1", level="free", **more) -> dict:
     row = dict(
-        artist=artist, auth="Logged In", firstName="K", gender="F", itemInSession=1, lastName="S",
-        length=241.3971, level=level, location="Phoenix", method="PUT", page="NextSong",
-        registration=1540344794796.0, sessionId=139, song=song, status=200, ts=ts,
-        userAgent="Mozilla", userId=user,
+        artist=artist, auth="Logged In", firstName="Ada", gender="X", itemInSession=1, lastName="Byte",
+        length=200.5, level=level, location="Somewhere", method="PUT", page="NextSong",
+        registration=1500000000123.0, sessionId=77, song=song, status=200, ts=ts,
+        userAgent="Browser", userId=user,
     )
     return row | more
 

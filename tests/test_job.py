@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import play, song
 from playlake import parallel, sinks
-from playlake.catalog import register_tables
+from playlake.catalog import drop_tables, register_tables
 from playlake.plans import job
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
@@ -129,6 +129,86 @@ def test_catalogue_tables(spark, finished):
     counts = {n: spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names}
     assert counts == {"job_songs": 4, "job_artists": 4, "job_users": 3, "job_time": 3, "job_song_plays": 4}
     assert spark.sql("SELECT count(*) FROM job_time WHERE year = 2018 AND month = 12").first()[0] == 2
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        register_tables(spark, {"songs": "x"}, prefix="job_")
+    assert spark.sql("SELECT count(*) FROM job_songs").first()[0] == 4
+    drop_tables(spark, names)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("job_")]
+
+
+def test_registered_tables_keep_ids_as_text(spark, inputs, tmp_path):
+    ids = ["007", "1e5", "2018-01-01"]
+    inputs.songs(*[song(f"S{i}", f"T{i}", a, f"N{i}", year="0800") for i, a in enumerate(ids)])
+    inputs.log(*[play(f"T{i}", f"N{i}") for i in range(3)])
+    job.run(spark, str(inputs), f"{tmp_path}/out")
+    names = register_tables(spark, {t: f"{tmp_path}/out/{t}" for t in ("songs", "song_plays")}, prefix="text_")
+    try:
+        rows = spark.sql(
+            "SELECT s.artist_id, s.year FROM text_songs s JOIN text_song_plays p ON s.artist_id = p.artist_id"
+        ).collect()
+        assert sorted(map(tuple, rows)) == [(i, "0800") for i in ids]
+    finally:
+        drop_tables(spark, names)
+
+
+STEPS = {
+    "songs_built": {"songs", "song_plays", "top_songs", "top_artists", "top_artists_by_plays"},
+    "pairs": {"song_plays", "top_songs", "top_artists", "top_artists_by_plays"},
+    "time_built": {"time"},
+    "matches": {"song_plays", "top_songs", "top_artists", "top_artists_by_plays"},
+    "report_counts": {"top_songs", "top_artists", "top_artists_by_plays"},
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_failed_intermediate_step_stops_only_what_needs_it(spark, inputs, tmp_path, monkeypatch, step):
+    whole = job.stage
+
+    def stage(df, path):
+        if path.endswith(f"/{step}"):
+            raise OSError("no room left")
+        return whole(df, path)
+
+    monkeypatch.setattr(job, "stage", stage)
+    out = f"{tmp_path}/out"
+    with pytest.raises(job.JobFailed) as failure:
+        job.run(spark, str(fill(inputs)), out)
+    result = failure.value.result
+    assert {o.output for o in result.failed} == STEPS[step]
+    assert all(step in o.error and "no room left" in o.error for o in result.failed)
+    for table in set(TABLES) - STEPS[step]:
+        assert read(spark, out, table).count() > 0
+    assert csv(spark, out, "paid_free_rt")[0][-1] == "2.0:1.0"
+    assert len(csv(spark, out, "AllTblCnt", header=False)) == len(set(TABLES) - STEPS[step])
+
+
+def test_every_table_fails(spark, inputs, tmp_path, monkeypatch):
+    def fail(*_):
+        raise OSError("read only")
+
+    for name in ("write_table", "write_partitioned"):
+        monkeypatch.setattr(sinks, name, fail)
+    with pytest.raises(job.JobFailed) as failure:
+        job.run(spark, str(fill(inputs)), f"{tmp_path}/out")
+    assert {o.output for o in failure.value.result.failed} == set(TABLES)
+    assert {row[-1] for row in csv(spark, f"{tmp_path}/out", "reconciliation")} == {"mismatch"}
+
+
+def test_a_large_folder_is_cut_and_rows_are_not_sampled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 100)
+    df = spark.range(2000).selectExpr(
+        "IF(id < 1000, 'hot', CAST(id % 40 AS STRING)) AS folder", "IF(id % 9 = 0, NULL, 'b') AS other", "id"
+    )
+    assert sinks.write_partitioned(df, f"{tmp_path}/out", ["folder", "other"]) == 2000
+    written = spark.read.schema("id BIGINT, folder STRING, other STRING").parquet(f"{tmp_path}/out")
+    assert sorted(map(tuple, written.select("folder", "other", "id").collect()), key=str) == sorted(
+        map(tuple, df.collect()), key=str
+    )
+    files = written.groupBy(F.input_file_name().alias("f"), "folder", "other").count()
+    sizes = files.where("folder = 'hot' AND other = 'b'").collect()
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 300
+    folders = df.select("folder", "other").distinct().count()
+    assert files.count() <= folders + 2000 // 100
 
 
 @pytest.mark.parametrize("broken", ["users", "song_plays", "songs"])
@@ -169,7 +249,7 @@ def test_no_plays_at_all(spark, inputs, tmp_path):
 
 def test_fact_rows_equal_the_sum_of_matches(spark, inputs, tmp_path):
     songs = [song(f"S{i}", f"T{i % 4}", f"A{i % 5}", f"N{i % 3}") for i in range(30)]
-    plays = [play(f"T{i % 5}", f"N{i % 4}", ts=1541107493796 + i % 7, user=str(i)) for i in range(60)]
+    plays = [play(f"T{i % 5}", f"N{i % 4}", ts=1600000000123 + i % 7, user=str(i)) for i in range(60)]
     inputs.songs(*songs).log(*plays)
     job.run(spark, str(inputs), f"{tmp_path}/out")
     names = {(s["artist_id"], s["artist_name"]) for s in songs}
@@ -187,6 +267,6 @@ def test_shuffles_follow_the_rows_and_are_set_back(spark):
         assert spark.conf.get(name) == "25"
     assert spark.conf.get(name) == before
     with parallel.wide_shuffles(spark, 10**12):
-        assert spark.conf.get(name) == "20000"
+        assert spark.conf.get(name) == "500000"
     with parallel.wide_shuffles(spark, 10):
         assert spark.conf.get(name) == before

@@ -4,9 +4,8 @@ from oracle import connect, rows_of_frame, rows_of_sql
 import __spark_entry__ as spark_entry
 from conftest import SF_DIR
 from playlake.operators import skew
-
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
+from playlake.plans.oracles import ORACLES
+from playlake.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,22 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= spark_entry.queries().items()
+    assert ORACLES.items() <= spark_entry.oracle_sql().items()
+    assert spark_entry.oracle_sql().keys() <= spark_entry.queries().keys()
+
+
+def test_session_is_left_as_it_was(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        tables = {t.name for t in spark.catalog.listTables()}
+        _, rows = rows_of_frame(QUERIES["fact_plays"](spark, SF_DIR))
+        QUERIES["view_counts"](spark, SF_DIR), QUERIES["catalog_counts"](spark, SF_DIR)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+        assert {t.name for t in spark.catalog.listTables()} == tables
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows == rows_of_sql(connect(SF_DIR), ORACLES["fact_plays"])[1]
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -70,6 +70,58 @@ def test_one_task_gets_at_most_a_cell(spark):
     assert sliced.where("key = 'hot'").count() == 400 * 20
 
 
+def share_of_largest_task(df, keys):
+    """Rows of the largest group of a task's size, if rows are dealt by `keys`."""
+    sizes = [r["count"] for r in df.groupBy(*keys).count().collect()]
+    return max(sizes, default=0) / max(1, sum(sizes))
+
+
+@pytest.mark.parametrize("task_rows", [10**9, 100])
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_hot_keys_without_a_match_are_not_shuffled(spark, monkeypatch, task_rows, hot_side):
+    """Half of all rows on one side are of a key that the other side lacks."""
+    monkeypatch.setattr(skew, "TASK_ROWS", task_rows)
+    many = {"hot": 3000} | {f"k{i}": 10 for i in range(300)}
+    few = {f"k{i}": 10 for i in range(300)}
+    counts = (many, few) if hot_side == "left" else (few, many)
+    left, right = frame(spark, "l", counts[0]), frame(spark, "r", counts[1])
+    sliced = []
+    cut = skew._sliced
+    monkeypatch.setattr(skew, "_sliced", lambda *a, **k: sliced.append(cut(*a, **k)) or sliced[-1])
+    joined = skew.split_join(left, right, ["key"], ["l"], ["r"], skew.key_sizes(left, right, ["key"]), cell=10)
+    assert joined.count() == 300 * 100
+    assert len(sliced) == 2
+    for side in sliced:
+        assert side.where("key = 'hot'").count() == 0
+        assert share_of_largest_task(side, ["key", "left_slice", "right_slice"]) < 0.05
+
+
+def test_hot_key_with_few_partners_is_spread(spark):
+    left, right = frame(spark, "l", {"hot": 3000} | {f"k{i}": 10 for i in range(300)}), frame(spark, "r", {"hot": 1})
+    sizes = sizes_of(left, right)
+    hot = skew._hot_keys(sizes, ["key"], 10, {"left_rows": 6000, "right_rows": 1, "output_rows": 3000})
+    sliced = skew._sliced(left, hot, ["key"], ["l"], "left", "right", False)
+    assert share_of_largest_task(sliced, ["key", "left_slice", "right_slice"]) < 0.02
+
+
+def test_number_of_hot_keys_is_bounded_by_their_share(spark):
+    sizes = spark.range(20_000).selectExpr("CAST(id AS STRING) AS key", "id + 101 AS left_rows", "1L AS right_rows")
+    sizes = sizes.withColumn("output_rows", F.col("left_rows").cast("double"))
+    totals = {c: sizes.agg(F.sum(c)).first()[0] for c in ("left_rows", "right_rows", "output_rows")}
+    assert skew._hot_keys(sizes, ["key"], 10, totals).count() <= 3 / skew.SHARE
+    assert skew._hot_keys(sizes, ["key"], 10).count() == 20_000
+
+
+def test_one_artist_with_half_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(skew.split_join, "__defaults__", (4,))
+    pairs = [(f"t{i}", "various", 1) for i in range(200)] + [(f"t{i}", f"n{i}", 1) for i in range(200)]
+    pairs = spark.createDataFrame(pairs, "song STRING, artist STRING, plays BIGINT")
+    songs = song_rows(spark, [(f"s{i}", f"t{i}", "a", "0", "1") for i in range(200)])
+    artists = spark.createDataFrame([("various",), ("various",), ("n3",)], "name STRING")
+    got = {(r["song"], r["artist"], r["copies"]) for r in fact.match_pairs(pairs, songs, artists).collect()}
+    assert got == {(f"t{i}", "various", 2) for i in range(200)} | {("t3", "n3", 1)}
+
+
 def test_only_keys_beyond_a_cell_are_split(spark):
     left, right = frame(spark, "l", {"even": 20, "over": 21}), frame(spark, "r", {"even": 5, "over": 5})
     hot = skew._hot_keys(sizes_of(left, right), ["key"], 10).collect()
