@@ -16,8 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playlake.llm.tables import attach, id_and_bytes
-from playlake.scratch import scratch_dir, stage
+from playlake.llm.tables import attach, id_and_bytes, stage
+from playlake.scratch import scratch_dir
 
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 # A cut is made where the top CUT_BITS bits of the rolling hash are zero, but no chunk is shorter

@@ -18,8 +18,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlake.llm.tables import id_and_bytes
-from playlake.scratch import scratch_dir, stage
+from playlake.llm.tables import id_and_bytes, small_batches, stage
+from playlake.scratch import scratch_dir
 
 # Hashed n-grams share this many buckets. The two models are this long, whatever the corpus.
 BUCKETS = 1 << 16
@@ -98,7 +98,9 @@ def fit(texts: DataFrame, target_ids: DataFrame) -> np.ndarray:
         .agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
     )
     target, raw = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for bucket, in_target, in_raw in counts.collect():  # one row per bucket at most
+    with small_batches(texts.sparkSession):
+        rows = counts.collect()  # one row per bucket at most
+    for bucket, in_target, in_raw in rows:
         target[bucket], raw[bucket] = in_target, in_raw
     return log_ratio(target, raw)
 

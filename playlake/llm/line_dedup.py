@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from playlake.llm.tables import attach
-from playlake.scratch import scratch_dir, stage
+from playlake.llm.tables import attach, stage
+from playlake.scratch import scratch_dir
 
 # A chunk ends where the top CUT_BITS bits of the rolling hash over WINDOW lines are zero; it has at
 # least MIN_LINES lines, unless the text ends, and at most MAX_LINES.

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm.components import components
-from playlake.llm.tables import attach, id_and_bytes
-from playlake.scratch import scratch_dir, stage
+from playlake.llm.tables import attach, id_and_bytes, stage
+from playlake.scratch import scratch_dir
 
 SHINGLE = 5
 # Documents are linked from PERCENT of intersection to union on.

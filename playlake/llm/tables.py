@@ -1,8 +1,13 @@
 """Reading the given tables, and joins of rows to per-key results that survive hot keys."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlake import scratch
+
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
@@ -14,6 +19,29 @@ SCHEMAS = {
 HOT_SHARE = 1 / 1000
 
 
+# Rows that Python gets at a time. Texts are long: at Spark's own 10,000 a batch and its copies take a
+# good part of a worker's memory, which the worker then keeps.
+BATCH_ROWS = 1000
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand BATCH_ROWS rows at most to Python at a time; the setting is put back."""
+    before = spark.conf.get(ROWS_SETTING)
+    spark.conf.set(ROWS_SETTING, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(ROWS_SETTING, before)
+
+
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` as Parquet, in small batches where Python takes part, and return the written table."""
+    with small_batches(df.sparkSession):
+        return scratch.stage(df, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
