@@ -1,9 +1,10 @@
 """Removal of repeated passages by content-defined chunks of lines.
 
-A rolling hash over the hashes of neighbouring lines chooses where chunks end, so a passage that
-stands in two documents is cut alike in both, whatever stands before it. Chunks of several lines that
-occur more than once are removed everywhere but at their first place. They are grouped by their bytes,
-so nothing is removed because of a hash alone.
+A chunk starts at every line, and a rolling hash over the hashes of neighbouring lines chooses where it
+ends, so a passage that stands in two documents is cut alike in both, whatever stands around it.
+Chunks also end once they have more than PASSAGE_WORDS words, so a passage that long always holds a chunk.
+Chunks that occur more than once are removed everywhere but at their first place. They are
+grouped by their bytes, so nothing is removed because of a hash alone.
 """
 
 from collections.abc import Iterator
@@ -19,14 +20,14 @@ from pyspark.sql.types import StringType
 from playlake.llm.tables import attach, stage
 from playlake.scratch import scratch_dir
 
-# A chunk ends where the top CUT_BITS bits of the rolling hash over WINDOW lines are zero; it has at
-# least MIN_LINES lines, unless the text ends, and at most MAX_LINES.
+# A chunk ends where the top CUT_BITS bits of the rolling hash over WINDOW lines are zero, but has at
+# least MIN_LINES lines, or else more than PASSAGE_WORDS words; it has at most MAX_LINES lines. Lines that are
+# blank do not count. WINDOW is at most MIN_LINES, so what precedes a chunk does not matter.
 CUT_BITS = 1
 WINDOW = 2
 MIN_LINES = 2
 MAX_LINES = 64
-# Chunks with fewer lines that are not blank are never removed.
-LEAST_FULL_LINES = 2
+PASSAGE_WORDS = 50
 FACTOR = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 BATCH_BYTES = 8_000_000
@@ -34,35 +35,45 @@ BATCH_BYTES = 8_000_000
 FIRST = "STRUCT<no_id: BOOLEAN, doc_id: BIGINT, text_hash: BIGINT, place: INT>"
 
 
-def line_chunks(body: bytes) -> list[bytes]:
-    """The chunks of a text. Lines end with a line feed, which is theirs; joined, they are the text."""
-    lines = [line + b"\n" for line in body.split(b"\n")]
-    lines[-1] = lines[-1][:-1]
-    if not lines[-1]:
-        lines.pop()
-    if len(lines) <= MIN_LINES:
-        return [body] if body else []
-    hashes = [xxhash.xxh3_64_intdigest(line.removesuffix(b"\n")) for line in lines]
-    out, start = [], 0
+def line_bounds(body: bytes) -> tuple[list[int], list[int], list[bytes]]:
+    """Starts, ends and contents of the lines that are not blank. The line feed is not part of a line."""
+    starts, ends, lines, at = [], [], [], 0
+    for line in body.split(b"\n"):
+        if line and not line.isspace():
+            starts.append(at)
+            ends.append(at + len(line))
+            lines.append(line)
+        at += len(line) + 1
+    return starts, ends, lines
+
+
+def line_chunks(body: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """First line, number of lines and bytes of each chunk; lines that are blank are not counted."""
+    starts, ends, lines = line_bounds(body)
+    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
+    words = [len(line.split()) for line in lines]
+    cut = []
     for i in range(len(lines)):
-        size = i + 1 - start
         rolling = 0
         for h in hashes[max(0, i + 1 - WINDOW) : i + 1]:
             rolling = (rolling * FACTOR + h) & MASK
-        cut = ((rolling ^ rolling >> 29) * FACTOR & MASK) >> (64 - CUT_BITS) == 0
-        if (cut and size >= MIN_LINES) or size == MAX_LINES:
-            out.append(b"".join(lines[start : i + 1]))
-            start = i + 1
-    if start < len(lines):
-        out.append(b"".join(lines[start:]))
-    return out
+        cut.append(((rolling ^ rolling >> 29) * FACTOR & MASK) >> (64 - CUT_BITS) == 0)
+    for first in range(len(lines)):
+        size = total = 0
+        for i in range(first, min(first + MAX_LINES, len(lines))):
+            size, total = size + 1, total + words[i]
+            if total > PASSAGE_WORDS or size >= MIN_LINES and cut[i]:
+                break
+        if size >= MIN_LINES or total > PASSAGE_WORDS:
+            yield first, size, body[starts[first] : ends[first + size - 1]]
 
 
-def counted(chunk: bytes) -> bool:
-    """Whether a chunk may be removed: it has several lines that are not blank."""
-    if chunk.count(b"\n") < LEAST_FULL_LINES - 1:
-        return False
-    return sum(1 for line in chunk.split(b"\n") if line.strip()) >= LEAST_FULL_LINES
+def without_chunks(body: bytes, gone: set[int]) -> bytes:
+    """The text without the chunks that start at the lines `gone`, and without what is blank after these lines."""
+    starts, _, lines = line_bounds(body)
+    removed = {i for first, size, _ in line_chunks(body) if first in gone for i in range(first, first + size)}
+    spans = zip(starts, [*starts[1:], len(body)])
+    return body[: starts[0]] + b"".join(body[a:b] for i, (a, b) in enumerate(spans) if i not in removed)
 
 
 def line_dedup(
@@ -71,10 +82,11 @@ def line_dedup(
     """One row per row: document (a struct of all columns), text (what is left of it), removed_chunks.
 
     The first place of a chunk is the one in the document with the smallest id (null last), then by hash
-    of the text and by place in it. Lines end with a line feed only; the line feed that ends a chunk is
-    compared and removed with it. Rows with equal id and text are one document and keep or lose the same
-    chunks. A null text stays null and an empty one empty; a text may become empty. An empty table gives
-    no rows.
+    of the text and by place in it. A line goes if a chunk over it stands at an earlier place as well, so of
+    every line that goes an equal one stays. Lines end with a line feed only; the line feed and blank lines after a line
+    go with it. A line of more than PASSAGE_WORDS words is a passage by itself; other single lines stay. Rows with
+    equal id and text are one document and keep or lose the same chunks. A null text stays null and an
+    empty one empty; a text may become empty. An empty table gives no rows.
 
     `hash_bits` shortens the chunk hash, to test what happens when chunks share one.
     """
@@ -82,16 +94,27 @@ def line_dedup(
     work = scratch_dir(spark)
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     texts = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
-    chunks = texts.mapInArrow(_chunk_counts(hash_bits), f"hash BIGINT, chunk BINARY, n BIGINT, first {FIRST}")
-    chunks = chunks.groupBy("hash", "chunk").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    by_hash = chunks.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.min("first").alias("first")
-    )
-    repeated = stage(by_hash.where("n > 1"), f"{work}/repeated")
     places = stage(texts.mapInArrow(_chunk_places(hash_bits), f"hash BIGINT, here {FIRST}"), f"{work}/places")
-    again = attach(places, repeated.where("kinds = 1"), "hash", "n").where("here != first").select("here")
-    if not repeated.where("kinds > 1").isEmpty():
-        again = again.unionByName(_told_apart(texts, chunks, repeated, hash_bits, work))
+    by_hash = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("here").alias("first"))
+    repeated = stage(by_hash.where("n > 1"), f"{work}/repeated")
+    suspects = stage(attach(places, repeated, "hash", "n").select("hash", "here", "first"), f"{work}/suspects")
+    # Only chunks whose hash is repeated move with their bytes.
+    marked = suspects.groupBy("here.doc_id", "here.text_hash").agg(F.collect_set("here.place").alias("places"))
+    marked = marked.withColumnsRenamed({"doc_id": "marked_id", "text_hash": "marked_hash"})
+    doubtful = texts.join(
+        marked.hint("merge"),
+        texts.doc_id.eqNullSafe(F.col("marked_id")) & (texts.text_hash == F.col("marked_hash")),
+    ).select("doc_id", "text_hash", "body", "places")
+    chunks = doubtful.mapInArrow(_chunk_bytes(hash_bits), f"hash BIGINT, chunk BINARY, first {FIRST}")
+    chunks = stage(chunks.groupBy("hash", "chunk").agg(F.min("first").alias("first")), f"{work}/chunks")
+    shared = stage(
+        chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("hash"), f"{work}/shared"
+    )
+    again = suspects.where("here != first")
+    if not shared.isEmpty():
+        again = again.join(shared, "hash", "left_anti").select("here").unionByName(
+            _told_apart(doubtful, chunks.join(shared, "hash", "left_semi"), hash_bits)
+        )
     removed = stage(
         again.groupBy("here.doc_id", "here.text_hash").agg(F.collect_set("here.place").alias("places")),
         f"{work}/removed",
@@ -122,29 +145,22 @@ def without(bodies: pd.Series, places: pd.Series) -> pd.Series:
 def _left(body: bytes | None, gone: np.ndarray | None) -> str | None:
     if body is None or gone is None:
         return None
-    gone = set(gone)
-    return b"".join(c for i, c in enumerate(line_chunks(body)) if i not in gone).decode()
+    return without_chunks(body, set(gone.tolist())).decode()
 
 
-def _told_apart(
-    texts: DataFrame, chunks: DataFrame, repeated: DataFrame, hash_bits: int, work: str
-) -> DataFrame:
+def _told_apart(doubtful: DataFrame, chunks: DataFrame, hash_bits: int) -> DataFrame:
     """Places to remove of chunks that share a hash with others: these are joined on their bytes."""
-    hashes = repeated.where("kinds > 1").select("hash")
-    apart = stage(chunks.join(hashes, "hash", "left_semi").where("n > 1"), f"{work}/apart")
-    every = f"hash BIGINT, chunk BINARY, n BIGINT, first {FIRST}"
-    here = texts.mapInArrow(_chunk_counts(hash_bits, merge=False), every)
-    joined = here.withColumnRenamed("first", "here").drop("n").join(apart, ["hash", "chunk"])
-    return joined.where("here != first").select("here")
+    every = f"hash BIGINT, chunk BINARY, first {FIRST}"
+    here = doubtful.mapInArrow(_chunk_bytes(hash_bits, merge=False), every).withColumnRenamed("first", "here")
+    return here.join(chunks, ["hash", "chunk"]).where("here != first").select("here")
 
 
 def _named(body: bytes, hash_bits: int) -> Iterator[tuple[int, int, bytes]]:
-    """Place, hash and bytes of the chunks that may be removed."""
+    """First line, hash and bytes of the chunks."""
     drop = 64 - hash_bits
-    for place, chunk in enumerate(line_chunks(body)):
-        if counted(chunk):
-            # Signed, as Spark's long is.
-            yield place, (xxhash.xxh3_64_intdigest(chunk) >> drop) - (1 << 63 >> drop), chunk
+    for place, _, chunk in line_chunks(body):
+        # Signed, as Spark's long is.
+        yield place, (xxhash.xxh3_64_intdigest(chunk) >> drop) - (1 << 63 >> drop), chunk
 
 
 def _places_array(rows: list[tuple]) -> pa.StructArray:
@@ -166,7 +182,9 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int | None, int, bytes]]:
         yield doc, text_hash, body.as_py()
 
 
-def _chunk_counts(hash_bits: int, merge: bool = True):
+def _chunk_bytes(hash_bits: int, merge: bool = True):
+    """Hash, bytes and first place of the chunks at `places`; with `merge`, those of equal bytes are one row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict = {}
         held = 0
@@ -176,26 +194,26 @@ def _chunk_counts(hash_bits: int, merge: bool = True):
                 [
                     pa.array([k[0] for k in found], pa.int64()),
                     pa.array([k[1] for k in found], pa.binary()),
-                    pa.array([v[0] for v in found.values()], pa.int64()),
-                    _places_array([v[1] for v in found.values()]),
+                    _places_array(list(found.values())),
                 ],
-                names=["hash", "chunk", "n", "first"],
+                names=["hash", "chunk", "first"],
             )
             found.clear()
             return out
 
         for batch in batches:
-            for doc, text_hash, body in _rows(batch):
+            for (doc, text_hash, body), places in zip(_rows(batch), batch.column("places")):
+                wanted = set(places.as_py())
                 for place, name, chunk in _named(body, hash_bits):
+                    if place not in wanted:
+                        continue
                     here = (doc, text_hash, place)
                     key = (name, chunk) if merge else (name, chunk, here)
-                    known = found.get(key)
-                    if known is None:
-                        found[key] = (1, here)
-                        held += len(chunk)
+                    if key in found:
+                        found[key] = min(found[key], here, key=lambda p: (p[0] is None, p[0] or 0, *p[1:]))
                     else:
-                        first = min(known[1], here, key=lambda p: (p[0] is None, p[0] or 0, *p[1:]))
-                        found[key] = (known[0] + 1, first)
+                        found[key] = here
+                        held += len(chunk)
                 if held > BATCH_BYTES:
                     held = 0
                     yield give()

@@ -1,8 +1,8 @@
-from collections import Counter
+import random
 
 import pytest
 
-from playlake.llm.line_dedup import MAX_LINES, MIN_LINES, counted, line_chunks, line_dedup
+from playlake.llm.line_dedup import MAX_LINES, MIN_LINES, PASSAGE_WORDS, line_chunks, line_dedup
 
 PASSAGE = "\n".join(f"shared line number {i} with some words" for i in range(12))
 TEXTS = [
@@ -12,27 +12,35 @@ TEXTS = [
     (None, f"no id\n{PASSAGE}\ntail"),
     (6, None), (7, ""), (8, "\n\n\n\n"), (9, "\n\n\n\n"), (10, "one line"), (11, "one line"),
     (12, "a\r\nb\r\nc\r\nd"), (13, "a\r\nb\r\nc\r\nd"), (14, "\n".join("x" * 3 for _ in range(500))),
+    (16, "word " * 60 + "\nx"), (17, "y\n" + "word " * 60 + "\n\n \nz"), (18, "a\n\n b\n\nc"), (19, "\na\n\n b\n\nc\n"),
     (15, "same row\nof two lines\nand three"), (15, "same row\nof two lines\nand three"),
 ]
 SCHEMA = "doc_id BIGINT, text STRING"
 
 
+def without(text, covered):
+    """Line by line: what is blank after a line goes with it."""
+    out, full, gone = [], -1, False
+    for line in text.split("\n"):
+        if line.strip():
+            full += 1
+            gone = full in covered
+        out.append(None if gone else line)
+    return "".join(kept + "\n" for kept in out[:-1] if kept is not None) + (out[-1] or "")
+
+
 def expected(rows):
     """By place order of ids; rows with equal id and text are one document."""
     order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
-    first, seen = {}, Counter()
-    for row in rows:
-        for c in line_chunks((row[1] or "").encode()):
-            seen[c] += counted(c)
+    first = {}
     for row in order:
-        for place, c in enumerate(line_chunks((row[1] or "").encode())):
-            if counted(c):
-                first.setdefault(c, (row, place))
+        for place, _, chunk in line_chunks((row[1] or "").encode()):
+            first.setdefault(chunk, (row, place))
     out = []
     for row in rows:
-        parts = list(enumerate(line_chunks((row[1] or "").encode())))
-        kept = [c for p, c in parts if not (seen[c] > 1 and first[c] != (row, p))]
-        out.append((row[0], None if row[1] is None else b"".join(kept).decode(), len(parts) - len(kept)))
+        again = [(p, n) for p, n, c in line_chunks((row[1] or "").encode()) if first[c] != (row, p)]
+        covered = {i for p, n in again for i in range(p, p + n)}
+        out.append((row[0], without(row[1], covered) if again else row[1], len(again)))
     return sorted(out, key=str)
 
 
@@ -44,17 +52,40 @@ def test_equals_brute_force_also_when_chunks_share_hashes(spark, hash_bits):
     assert sum(n for _, _, n in got) > 8
 
 
-def test_chunks_join_to_the_text_and_keep_their_sizes():
+def test_chunks_are_of_the_text_and_keep_their_sizes():
     for _, text in TEXTS:
-        body = (text or "").encode()
-        parts = line_chunks(body)
-        assert b"".join(parts) == body
-        sizes = [len(p.splitlines()) if b"\r" not in p else p.count(b"\n") for p in parts]
-        assert all(MIN_LINES <= s <= MAX_LINES for s in sizes[:-1])
+        for place, size, chunk in line_chunks((text or "").encode()):
+            assert chunk in text.encode() and size == sum(1 for line in chunk.split(b"\n") if line.strip())
+            assert MIN_LINES <= size <= MAX_LINES or size == 1 and len(chunk.split()) > PASSAGE_WORDS
+
+
+def test_every_passage_of_over_fifty_words_that_repeats_is_found(spark):
+    rng = random.Random(5)
+
+    def line(words):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(words))
+
+    rows, passages = [], []
+    for i in range(150):
+        lines = rng.randint(1, 6)
+        passage = "\n".join(line(60 // lines + rng.randint(1, 9)) for _ in range(lines))
+        passages.append(passage)
+        for copy in range(3):
+            parts = [line(7) for _ in range(rng.randint(0, 4))] + [passage] + [line(9) for _ in range(rng.randint(0, 4))]
+            rows.append((3 * i + copy, "\n".join(parts)))
+    got = {r.document.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, passage in enumerate(passages):
+        assert passage in got[3 * i] and got[3 * i] == rows[3 * i][1]
+        for copy in (1, 2):
+            own = [x for x in rows[3 * i + copy][1].split("\n") if x not in passage.split("\n")]
+            left = [x for x in got[3 * i + copy].split("\n") if x in passage.split("\n")]
+            # Found, own lines kept, and of the passage at most its end is left, if no cut falls there.
+            assert len(left) < len(passage.split("\n")) and all(x in got[3 * i + copy].split("\n") for x in own)
+            assert sum(len(x.split()) for x in left) <= PASSAGE_WORDS
 
 
 def test_a_passage_is_cut_alike_wherever_it_stands():
-    inside = [set(line_chunks(f"{before}{PASSAGE}\n{after}".encode())) for before, after in
+    inside = [{c for *_, c in line_chunks(f"{before}{PASSAGE}\n{after}".encode())} for before, after in
               [("", ""), ("x\n", "y"), ("x\ny z\nq\n", "a\nb"), ("1\n2\n3\n4\n5\n", "")]]
     assert len(set.intersection(*inside)) >= 2
 
