@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand elsewhere first; one of which nothing is left goes."""
-    cleaned = line_dedup(docs).where("removed_chunks = 0 OR trim(text) <> ''")
+    cleaned = line_dedup(docs).where((F.col("removed_chunks") == 0) | F.col("text").rlike(r"\S"))
     changed = F.col("removed_chunks") > 0
     values = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text")).otherwise(F.col("document.n_chars"))}
     return cleaned.select(
