@@ -100,7 +100,8 @@ def near_duplicates(
     PERCENT percent of the shingles of both together are in both; a component is what links reach, and is
     named by its smallest id, which is the one kept. A null, empty or blank text has no shingle and is
     linked with nothing. A row with a null id takes no part: its component is null and it is kept. Ids
-    should be unique; rows with equal ids are judged by their own texts. Other columns are not read. An
+    should be unique: rows repeated with their text are one, but of rows with equal ids and different texts either
+    text may be the one that is compared. Other columns are not read. An
     empty table gives no rows.
     """
     spark = documents.sparkSession
