@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from playlake.llm.line_dedup import MAX_LINES, MIN_LINES, PASSAGE_WORDS, line_chunks, line_dedup
+from playlake.llm.line_dedup import MAX_LINES, MIN_LINES, PASSAGE_WORDS, line_chunks, line_dedup, without_chunks
 
 PASSAGE = "\n".join(f"shared line number {i} with some words" for i in range(12))
 TEXTS = [
@@ -96,3 +96,53 @@ def test_columns_pass_through_and_empty_table(spark):
     row = line_dedup(df).first()
     assert row.document.asDict() == df.first().asDict() and row.text == "a\nb" and row.removed_chunks == 0
     assert line_dedup(df.limit(0)).count() == 0
+
+
+def test_passages_inside_lines_go_and_what_stands_around_them_stays(spark):
+    rng = random.Random(6)
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def sentences(n):
+        return " ".join(" ".join(words(rng.randint(4, 15))).capitalize() + rng.choice(".!?") for _ in range(n))
+
+    rows, passages, own = [], [], []
+    for i in range(100):
+        passage = sentences(2)
+        while len(passage.split()) <= PASSAGE_WORDS:
+            passage += rng.choice(" \n") + sentences(1)
+        passages.append(passage)
+        for copy in range(3):
+            # After a full stop, or inside a sentence.
+            before = sentences(2) + ["", " own " + " ".join(words(3))][i % 2]
+            after = " ".join(words(5)) + ". " + sentences(1)
+            own.append((before, after))
+            rows.append((3 * i + copy, f"{before} {passage} {after}\n{sentences(1)}"))
+    got = {r.document.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    stays = 0
+    for doc, text in rows:
+        if doc % 3 == 0:
+            assert got[doc] == text
+            continue
+        before, after = own[doc]
+        assert got[doc].startswith((before + " ", before + "\n")) and after + "\n" in got[doc] and got[doc].endswith(text.split("\n")[-1])
+        # Of the passage at most the end is left.
+        left = got[doc][len(before) : got[doc].index(after)].split()
+        assert len(left) < len(passages[doc // 3].split()) and left == passages[doc // 3].split()[-len(left) :] * bool(left)
+        assert len(left) <= PASSAGE_WORDS
+        stays += len(left)
+    assert stays < 0.15 * 2 * sum(len(p.split()) for p in passages)
+
+
+def test_short_sentences_that_repeat_stay(spark):
+    rows = [(i, f"Text number {i}. Yes. No. It is so. And text {i} ends.") for i in range(20)]
+    got = line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.document.doc_id, r.text) for r in got) == rows
+
+
+def test_the_line_feed_stays_with_what_is_left_of_its_line():
+    passage = "Far too many " + "words " * PASSAGE_WORDS + "here."
+    body = f"Own one. {passage}  \n\nNext. {passage} Last.\n {passage}\nEnd".encode()
+    gone = {place for place, _, chunk in line_chunks(body) if chunk == passage.encode()}
+    assert len(gone) == 3 and next(without_chunks([body], [list(gone)])) == b"Own one.  \n\nNext. Last.\nEnd"
