@@ -1,35 +1,35 @@
 """A hierarchical Pitman-Yor language model, trained by Gibbs sampling and used to score documents.
 
-There is one restaurant for each context and one that is the parent of them all, over a uniform
-distribution of the known words and one unknown. The context of a word is the last word before it that is one
-of ANCHORS frequent words, so contexts stay few and full. Customers are the training tokens; every table of
-a context sends a customer to the parent.
+There is one restaurant for each word that others follow, one for the start of a text, and one that is the
+parent of them all, over a uniform distribution of the known words and one unknown. The context of a word is
+the word before it. Customers are the training tokens; every table of a context sends a customer to the parent.
 
-A sweep reseats, for every word, its customers in all restaurants given all else. What words share are
-only the numbers of customers and tables per restaurant, so a sweep is one pass over the table of words,
-in parallel, and one small sum. Predictive probabilities are averaged over several sweeps.
+A sweep reseats the customers of every pair of context and word, and of every word in the parent, given all
+else as the last sweep left it. So a sweep is two joins of the pairs that occur more than once to the totals of their
+context and of their word, and one pass, in parallel. A pair that occurs once has one table always. Predictive
+probabilities are averaged over several sweeps.
 
-Documents go through in blocks. A block asks for its distinct words once, so what is shuffled are
-words per block and not tokens.
+Documents go through in blocks. A block counts and asks for its distinct pairs and words once, so what is
+shuffled are pairs per block and not tokens. Contexts and words with many pairs are broadcast, by `attach`.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.llm.tables import id_and_bytes
+from playlake.llm.tables import attach, id_and_bytes
 from playlake.scratch import discard, scratch_dir, stage
 
-ANCHORS = 11
-CONTEXTS = ANCHORS + 1
+# Width of the dense form of `predictive`; the model itself has as many contexts as the corpus.
+CONTEXTS = 12
 BURN_IN = 2
 SAMPLES = 3
 STRENGTH = 1.0
@@ -37,22 +37,20 @@ STRENGTH = 1.0
 # which the chance of a new table is held fixed.
 ONE_BY_ONE = 64
 BLOCK_TOKENS = 6_000_000
-# The most frequent training words that each block names as anchors.
-NAMED = 100
 # Stands for the end of a text; no word holds a line feed.
 END = b"\n"
+# Stands before a text; no word is empty.
+START = b""
 ROWS_PER_BATCH = 20_000
 
-BLOCK_SCHEMA = (
-    "block BIGINT, docs ARRAY<BIGINT>, held_out BINARY, lengths BINARY, tokens BINARY, words BINARY, "
-    "frequent ARRAY<STRUCT<word: BINARY, n: BIGINT>>"
-)
-COUNTED_SCHEMA = "word BINARY, " + ", ".join(f"c{u} BIGINT" for u in range(CONTEXTS))
-ASKED_SCHEMA = "word BINARY, block BIGINT, place INT, only_here BOOLEAN"
-MODEL_SCHEMA = "word BINARY, n BIGINT, root DOUBLE, contexts BINARY, own ARRAY<FLOAT>"
-STATE_SCHEMA = (
-    "word BINARY, c ARRAY<BIGINT>, t ARRAY<BIGINT>, root_t BIGINT, sum_t ARRAY<BIGINT>, "
-    "root_c_of ARRAY<BIGINT>, root_t_of ARRAY<BIGINT>"
+BLOCK_SCHEMA = "block BIGINT, docs ARRAY<BIGINT>, held_out BINARY, lengths BINARY, tokens BINARY, words BINARY"
+COUNTED_SCHEMA = "context BINARY, word BINARY, c BIGINT"
+ASKED_SCHEMA = "context BINARY, word BINARY, block BIGINT, place INT, only_here BOOLEAN"
+NAMED_SCHEMA = "word BINARY, block BIGINT, place INT"
+STATE_SCHEMA = "context BINARY, word BINARY, c BIGINT, t BIGINT, sum_t BIGINT"
+PARENT_SCHEMA = (
+    "word BINARY, n BIGINT, single BIGINT, repeated BIGINT, customers BIGINT, t BIGINT, "
+    "customers_of ARRAY<BIGINT>, t_of ARRAY<BIGINT>"
 )
 SCORE_SCHEMA = (
     "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, "
@@ -60,9 +58,36 @@ SCORE_SCHEMA = (
 )
 
 
+@dataclass
+class Parent:
+    """Numbers of the parent, and the discounts."""
+
+    customers: int
+    tables: int
+    types: int
+    discount: float
+    root_discount: float
+
+    def new_root(self) -> float:
+        """The parent's probability of a word nobody in it has ordered."""
+        return (STRENGTH + self.root_discount * self.tables) / (STRENGTH + self.customers) / (self.types + 1)
+
+    def root(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        own = (customers - self.root_discount * tables) / (STRENGTH + self.customers)
+        return own + self.new_root()
+
+    def own(self, customers: np.ndarray, tables: np.ndarray, of_context: np.ndarray) -> np.ndarray:
+        """Share of a context with `of_context` customers that a word has by itself."""
+        return (customers - self.discount * tables) / (STRENGTH + of_context)
+
+    def backing(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Share of contexts that goes to the parent."""
+        return (STRENGTH + self.discount * tables) / (STRENGTH + customers)
+
+
 @dataclass
 class Totals:
-    """Numbers of the whole model: customers and tables per context, and of the parent."""
+    """Numbers of a model small enough for one table of all contexts: customers and tables per context."""
 
     customers: np.ndarray
     tables: np.ndarray
@@ -72,20 +97,14 @@ class Totals:
     root_discount: float
 
     @property
-    def root_customers(self) -> int:
-        return int(self.tables.sum())
+    def parent(self) -> Parent:
+        return Parent(int(self.tables.sum()), self.root_tables, self.types, self.discount, self.root_discount)
 
     def new_root(self) -> float:
-        """The parent's probability of a word nobody in it has ordered."""
-        return (STRENGTH + self.root_discount * self.root_tables) / (STRENGTH + self.root_customers) / (self.types + 1)
-
-    def root(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        own = (customers - self.root_discount * tables) / (STRENGTH + self.root_customers)
-        return own + self.new_root()
+        return self.parent.new_root()
 
     def backing(self) -> np.ndarray:
-        """Share of each context that goes to the parent."""
-        return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
+        return self.parent.backing(self.customers, self.tables)
 
 
 def is_held_out(doc: int | None) -> bool:
@@ -133,61 +152,74 @@ def score_documents(
     spark = documents.sparkSession
     work = scratch_dir(spark)
     blocks = stage(id_and_bytes(documents, id_col, text_col).mapInArrow(_blocks, BLOCK_SCHEMA), f"{work}/blocks")
-    named = blocks.select(F.explode("frequent").alias("f")).groupBy("f.word").agg(F.sum("f.n").alias("n"))
-    anchors = [bytes(r["word"]) for r in named.orderBy(F.desc("n"), "word").limit(ANCHORS).collect()]
-    read = blocks.drop("docs", "frequent")
-    columns = [f"c{u}" for u in range(CONTEXTS)]
-    # A block counts each word once, so there is nothing to add up before the shuffle.
-    counts = (
-        read.mapInArrow(_counted(anchors), COUNTED_SCHEMA)
-        .repartition("word")
-        .groupBy("word")
-        .agg(*[F.sum(c).alias(c) for c in columns])
+    read = blocks.drop("docs")
+    counted = read.mapInArrow(_counted, COUNTED_SCHEMA).repartition("context", "word")
+    pairs = stage(counted.groupBy("context", "word").agg(F.sum("c").alias("c")), f"{work}/pairs")
+    # A pair that occurs once has one table and is never reseated; the others begin with one.
+    kinds = [
+        F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("single"), F.count_if(F.col("c") > 1).alias("repeated")
+    ]
+    none = F.array().cast("array<bigint>")
+    tables = F.col("single") + F.col("repeated")
+    contexts = stage(
+        pairs.groupBy("context").agg(*kinds).withColumn("t", tables).withColumn("t_of", none), f"{work}/contexts"
     )
-    counts = stage(counts.select("word", F.array(*columns).alias("c")).select("word", _sum("c").alias("n"), "c").where("n > 0"), f"{work}/counts")
-    totals, single = _first_totals(counts)
-    state = counts.where("n > 1").select(
-        "word",
-        "c",
-        # At first a word has one table in every context in which it occurs.
-        F.transform("c", lambda c: F.least(c, F.lit(1).cast("bigint"))).alias("t"),
-        F.lit(1).cast("bigint").alias("root_t"),
-        F.array_repeat(F.lit(0).cast("bigint"), CONTEXTS).alias("sum_t"),
-        F.array().cast("array<bigint>").alias("root_c_of"),
-        F.array().cast("array<bigint>").alias("root_t_of"),
+    words = stage(
+        pairs.groupBy("word").agg(*kinds).withColumn("customers", tables).withColumn("t", F.lit(1).cast("bigint"))
+        .withColumns({"customers_of": none, "t_of": none}),
+        f"{work}/words",
     )
-    sampled: list[Totals] = []
+    zero = F.lit(0).cast("bigint")
+    state = pairs.where("c > 1").withColumns({"t": F.lit(1).cast("bigint"), "sum_t": zero})
+    parent, train_tokens = _first_parent(pairs, words)
+    sampled: list[Parent] = []
     for sweep in range(burn_in + samples):
         keep = sweep >= burn_in
-        state = stage(state.mapInArrow(_sweep(totals, sweep, keep), STATE_SCHEMA), f"{work}/sweep{sweep}")
+        now = f"{work}/sweep{sweep}"
+        of_context = contexts.where("repeated > 0").selectExpr("context", "t AS context_t", "repeated AS rows")
+        of_word = words.where("repeated > 0").selectExpr("word", "customers AS word_c", "t AS word_t", "repeated AS rows")
+        # Stored, as `attach` reads its rows twice.
+        half = stage(attach(state, of_context, "context", "rows").drop("rows"), f"{now}-half")
+        joined = attach(half, of_word, "word", "rows").drop("rows")
+        state = stage(joined.mapInArrow(_sweep(parent, sweep, keep), STATE_SCHEMA), f"{now}-pairs")
+        in_context = state.groupBy("context").agg(F.sum("t").alias("new"))
+        t = F.col("single") + F.coalesce("new", zero)
+        t_of = F.array_append("t_of", t) if keep else F.col("t_of")
+        contexts = stage(
+            contexts.join(in_context, "context", "left").select("context", "n", "single", "repeated", t.alias("t"), t_of.alias("t_of")),
+            f"{now}-contexts",
+        )
+        in_word = state.groupBy("word").agg(F.sum("t").alias("new"))
+        served = words.join(in_word, "word", "left").withColumn("customers", t).drop("new")
+        words = stage(served.mapInArrow(_sweep_parent(parent, sweep, keep), PARENT_SCHEMA), f"{now}-words")
+        discard(spark, f"{now}-half")
         if sweep:
-            discard(spark, f"{work}/sweep{sweep - 1}")
-        totals = _totals(state, totals, single)
+            for kind in ("pairs", "contexts", "words"):
+                discard(spark, f"{work}/sweep{sweep - 1}-{kind}")
+        parent = _parent(words, parent)
         if keep:
-            sampled.append(totals)
+            sampled.append(parent)
 
-    once = counts.where("n = 1").select(
+    once = pairs.where("c = 1").select("context", "word", "c", F.lit(samples).cast("bigint").alias("sum_t"))
+    model = state.select("context", "word", "c", "sum_t").unionByName(once)
+    asked = read.mapInArrow(_asked, ASKED_SCHEMA)
+    # A block knows by itself of a pair that only it has, once.
+    told = asked.join(model, ["context", "word"]).where("NOT (c = 1 AND only_here)")
+    lists = [F.lit(None).cast("array<bigint>").alias(c) for c in ("root_c_of", "root_t_of", "context_t_of")]
+    told = told.select("block", "place", F.lit(True).alias("pair"), "c", "sum_t", *lists)
+    nodes = words.select("word", F.col("n").alias("c"), F.col("customers_of").alias("root_c_of"), F.col("t_of").alias("root_t_of"))
+    nodes = nodes.join(
+        contexts.select(F.col("context").alias("word"), F.col("n").alias("sum_t"), F.col("t_of").alias("context_t_of")),
         "word",
-        "c",
-        F.transform("c", lambda c: c * samples).alias("sum_t"),
-        F.array_repeat(F.lit(1).cast("bigint"), samples).alias("root_c_of"),
-        F.array_repeat(F.lit(1).cast("bigint"), samples).alias("root_t_of"),
+        "full",
     )
-    state = state.select(*once.columns).unionByName(once)
-    model = state.mapInArrow(_model(sampled), MODEL_SCHEMA)
-    asked = read.mapInArrow(_asked, ASKED_SCHEMA)
-    # A block knows by itself of a word that only it has, once.
-    told = asked.join(model, "word").where("NOT (n = 1 AND only_here)")
-    return (
-        blocks.drop("frequent")
-        .groupBy("block")
-        .cogroup(told.select("block", "place", "n", "root", "contexts", "own").groupBy("block"))
-        .applyInArrow(_score(anchors, sampled), SCORE_SCHEMA)
+    # For a word, `c` are its tokens and `sum_t` the customers of its context.
+    named = read.mapInArrow(_named, NAMED_SCHEMA).join(nodes, "word").select(
+        "block", "place", F.lit(False).alias("pair"), "c", "sum_t", "root_c_of", "root_t_of", "context_t_of"
+    )
+    return blocks.groupBy("block").cogroup(told.unionByName(named).groupBy("block")).applyInArrow(
+        _score(sampled, train_tokens), SCORE_SCHEMA
     )
-
-
-def _sum(column: str) -> Column:
-    return F.aggregate(column, F.lit(0).cast("bigint"), lambda a, b: a + b)
 
 
 def squeeze(numbers: np.ndarray) -> bytes:
@@ -224,20 +256,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_out = np.array([is_held_out(d) for d in docs], dtype=np.uint8)
         lengths = np.array([len(t) for t in tokens], dtype=np.int64)
         every = np.concatenate(tokens)
-        train = np.bincount(every[np.repeat(held_out, lengths) == 0], minlength=len(index))
         words = list(index)
-        most = np.argsort(-train, kind="stable")[:NAMED]
-        frequent = [{"word": words[w], "n": int(train[w])} for w in most if train[w] and words[w] != END]
-        types = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([docs], pa.list_(pa.int64())),
                 *(pa.array([squeeze(a)], pa.binary()) for a in (held_out, lengths, every)),
                 pa.array([zstandard.ZstdCompressor(level=1).compress(b" ".join(words))], pa.binary()),
-                pa.array([frequent], types),
             ],
-            names=["block", "docs", "held_out", "lengths", "tokens", "words", "frequent"],
+            names=["block", "docs", "held_out", "lengths", "tokens", "words"],
         )
 
     for batch in batches:
@@ -257,61 +284,74 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Block:
-    """A block with the context and the held-out flag of each token."""
+    """A block with the context and the distinct pair of each token. The last of `words` is START."""
 
     words: list[bytes]
     tokens: np.ndarray
-    context: np.ndarray
     held_out: np.ndarray
     lengths: np.ndarray
-
-    def __init__(self, row: dict, anchors: list[bytes]):
-        self.words = words_of(row)
+    # Contexts and words of the distinct pairs, the pair of each token, and training tokens per pair.
+    contexts: np.ndarray
+    followers: np.ndarray
+    pair: np.ndarray
+    counts: np.ndarray
+
+    def __init__(self, row: dict):
+        self.words = [*words_of(row), START]
         self.tokens = unsqueeze(row["tokens"], np.int32)
         self.lengths = unsqueeze(row["lengths"], np.int64)
         self.held_out = unsqueeze(row["held_out"], np.uint8) == 1
-        wanted = {a: i + 1 for i, a in enumerate(anchors)}
-        number = np.array([wanted.get(w, 0) for w in self.words], dtype=np.uint8)[self.tokens]
-        # Place of the last anchor before each token; a document starts without one.
-        last = np.where(number > 0, np.arange(len(number)), -1)
-        before = np.concatenate([[-1], np.maximum.accumulate(last)[:-1]])
-        starts = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.context = np.where(before >= starts, number[before], 0).astype(np.uint8)
-
-    def counts(self) -> np.ndarray:
-        """Training tokens per word and context."""
-        train = np.repeat(~self.held_out, self.lengths)
-        pairs = self.tokens[train].astype(np.int64) * CONTEXTS + self.context[train]
-        return np.bincount(pairs, minlength=len(self.words) * CONTEXTS).reshape(-1, CONTEXTS)
-
-
-def _counted(anchors: list[bytes]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, anchors)
-                counts = block.counts()
-                trained = np.flatnonzero(counts.any(axis=1))
-                for at in range(0, len(trained), ROWS_PER_BATCH):
-                    some = trained[at : at + ROWS_PER_BATCH]
-                    own = counts[some]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([block.words[w] for w in some], pa.binary()),
-                            *(pa.array(np.ascontiguousarray(own[:, u])) for u in range(CONTEXTS)),
-                        ],
-                        names=["word", *(f"c{u}" for u in range(CONTEXTS))],
-                    )
+        before = np.roll(self.tokens, 1)
+        before[np.cumsum(self.lengths) - self.lengths] = len(self.words) - 1
+        pairs = before.astype(np.int64) * len(self.words) + self.tokens
+        pairs, self.pair = np.unique(pairs, return_inverse=True)
+        self.contexts, self.followers = pairs // len(self.words), pairs % len(self.words)
+        self.counts = np.bincount(self.pair[np.repeat(~self.held_out, self.lengths)], minlength=len(pairs))
 
-    return run
+
+def _spelled(block: Block, words: np.ndarray) -> pa.Array:
+    return pa.array(block.words, pa.binary()).take(pa.array(words))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            block = Block(row)
+            trained = np.flatnonzero(block.counts)
+            for at in range(0, len(trained), ROWS_PER_BATCH):
+                some = trained[at : at + ROWS_PER_BATCH]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        _spelled(block, block.contexts[some]),
+                        _spelled(block, block.followers[some]),
+                        pa.array(block.counts[some].astype(np.int64)),
+                    ],
+                    names=["context", "word", "c"],
+                )
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            words = words_of(row)
-            held_out = np.repeat(unsqueeze(row["held_out"], np.uint8), unsqueeze(row["lengths"], np.int64))
-            own = np.bincount(unsqueeze(row["tokens"], np.int32)[held_out == 0], minlength=len(words))
+            block = Block(row)
+            for at in range(0, len(block.counts), ROWS_PER_BATCH):
+                some = np.arange(at, min(at + ROWS_PER_BATCH, len(block.counts)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        _spelled(block, block.contexts[some]),
+                        _spelled(block, block.followers[some]),
+                        pa.array(np.full(len(some), row["block"], dtype=np.int64)),
+                        pa.array(some.astype(np.int32)),
+                        pa.array(block.counts[some] == 1),
+                    ],
+                    names=["context", "word", "block", "place", "only_here"],
+                )
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            words = [*words_of(row), START]
             for at in range(0, len(words), ROWS_PER_BATCH):
                 some = words[at : at + ROWS_PER_BATCH]
                 yield pa.RecordBatch.from_arrays(
@@ -319,24 +359,18 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(some, pa.binary()),
                         pa.array(np.full(len(some), row["block"], dtype=np.int64)),
                         pa.array(np.arange(at, at + len(some), dtype=np.int32)),
-                        pa.array(own[at : at + len(some)] == 1),
                     ],
-                    names=["word", "block", "place", "only_here"],
+                    names=["word", "block", "place"],
                 )
 
 
-def _first_totals(counts: DataFrame) -> tuple[Totals, np.ndarray]:
-    """Totals with one table per word and context, and the tables of words that occur once."""
-    def per_context(of) -> list:
-        return [F.coalesce(F.sum(of(F.get("c", F.lit(u)))), F.lit(0)).alias(f"x{u}") for u in range(CONTEXTS)]
-
-    row = counts.agg(F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    types, ones, twos = row
-    customers = np.array(counts.agg(*per_context(lambda c: c)).first(), dtype=np.int64)
-    tables = np.array(counts.agg(*per_context(lambda c: F.least(c, F.lit(1)))).first(), dtype=np.int64)
-    single = np.array(counts.where("n = 1").agg(*per_context(lambda c: c)).first(), dtype=np.int64)
-    pair_ones, pair_twos = counts.select(F.explode("c").alias("c")).agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    return Totals(customers, tables, types, types, _discount(pair_ones, pair_twos), _discount(ones, twos)), single
+def _first_parent(pairs: DataFrame, words: DataFrame) -> tuple[Parent, int]:
+    """The parent with one table per word, and the training tokens."""
+    ones, twos = pairs.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    types, tokens, once, twice = words.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    ).first()
+    return _parent(words, Parent(0, 0, types, _discount(ones, twos), _discount(once, twice))), tokens
 
 
 def _discount(ones: int, twos: int) -> float:
@@ -344,16 +378,20 @@ def _discount(ones: int, twos: int) -> float:
     return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
 
 
-def _totals(state: DataFrame, before: Totals, single: np.ndarray) -> Totals:
-    sums = [F.coalesce(F.sum(F.get("t", F.lit(u))), F.lit(0)) for u in range(CONTEXTS)]
-    *tables, root = state.agg(*sums, F.coalesce(F.sum("root_t"), F.lit(0))).first()
-    tables = np.array(tables, dtype=np.int64) + single
-    return Totals(
-        before.customers, tables, root + int(single.sum()), before.types, before.discount, before.root_discount
-    )
+def _parent(words: DataFrame, before: Parent) -> Parent:
+    customers, tables = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("customers", "t")]).first()
+    return Parent(customers, tables, before.types, before.discount, before.root_discount)
+
 
+def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
 
-def _lists(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
+
+def _replaced(batch: pa.RecordBatch, names: list[str], new: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names=names)
+
+
+def _lists(batch: pa.RecordBatch | pa.Table, name: str, width: int) -> np.ndarray:
     return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
@@ -363,45 +401,45 @@ def _as_lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).ravel(), pa.int64()))
 
 
-def _sweep(totals: Totals, sweep: int, keep: bool):
+def _sweep(parent: Parent, sweep: int, keep: bool):
+    """Reseats the customers of pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            draw = np.random.default_rng([sweep, n, *(crc32(batch.column(k)[0].as_py()) for k in ("context", "word"))])
+            c, t, sum_t = _numbers(batch, "c", "t", "sum_t")
+            context_t, word_c, word_t = _numbers(batch, "context_t", "word_c", "word_t")
+            # The parent as the other contexts leave it.
+            others = word_c - t
+            t = seat(c, context_t - t, parent.root(others, np.minimum(word_t, others)), parent.discount, draw)
+            new = {"t": pa.array(t, pa.int64()), "sum_t": pa.array(sum_t + t if keep else sum_t, pa.int64())}
+            yield _replaced(batch, ["context", "word", "c", "t", "sum_t"], new)
+
+    return run
+
+
+def _sweep_parent(parent: Parent, sweep: int, keep: bool):
+    """Reseats the customers of words in the parent."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            # A task that runs again draws the same.
             draw = np.random.default_rng([sweep, n, crc32(batch.column("word")[0].as_py())])
-            c, t = _lists(batch, "c", CONTEXTS), _lists(batch, "t", CONTEXTS).copy()
-            root_t = batch.column("root_t").to_numpy(zero_copy_only=False)
-            # The contexts, one after the other, with the parent as the others leave it.
-            for u in range(CONTEXTS):
-                rows = np.flatnonzero(c[:, u] > 1)
-                if not len(rows):
-                    continue
-                parent = totals.root(t[rows].sum(axis=1) - t[rows, u], np.minimum(root_t[rows], t[rows].sum(axis=1) - t[rows, u]))
-                t[rows, u] = seat(c[rows, u], totals.tables[u] - t[rows, u], parent, totals.discount, draw)
-            customers = t.sum(axis=1)
-            base = np.full(n, 1 / (totals.types + 1))
-            root_t = seat(customers, totals.root_tables - root_t, base, totals.root_discount, draw)
-            sum_t = _lists(batch, "sum_t", CONTEXTS)
-            seen = batch.column("root_c_of").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            seen_t = batch.column("root_t_of").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            customers, t = _numbers(batch, "customers", "t")
+            base = np.full(n, 1 / (parent.types + 1))
+            t = seat(customers, parent.tables - t, base, parent.root_discount, draw)
+            new = {"t": pa.array(t, pa.int64())}
             if keep:
-                sum_t = sum_t + t
-                seen = np.column_stack([seen, customers])
-                seen_t = np.column_stack([seen_t, root_t])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("word"),
-                    batch.column("c"),
-                    _as_lists(t),
-                    pa.array(root_t, pa.int64()),
-                    _as_lists(sum_t),
-                    _as_lists(seen),
-                    _as_lists(seen_t),
-                ],
-                names=["word", "c", "t", "root_t", "sum_t", "root_c_of", "root_t_of"],
-            )
+                for name, values in (("customers_of", customers), ("t_of", t)):
+                    before = batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                    new[name] = _as_lists(np.column_stack([before, values]))
+            names = ["word", "n", "single", "repeated", "customers", "t", "customers_of", "t_of"]
+            yield _replaced(batch, names, new)
 
     return run
 
@@ -410,68 +448,43 @@ def predictive(
     c: np.ndarray, sum_t: np.ndarray, root_c: np.ndarray, root_t: np.ndarray, sampled: list[Totals]
 ) -> tuple[np.ndarray, np.ndarray]:
     """Averages over the samples: each context's own part of each word, and the parent's probability of it."""
-    first = sampled[0]
-    own = (c - first.discount * sum_t / len(sampled)) / (STRENGTH + first.customers)
-    root = np.mean([t.root(root_c[:, i], root_t[:, i]) for i, t in enumerate(sampled)], axis=0)
+    own = sampled[0].parent.own(c, sum_t / len(sampled), sampled[0].customers)
+    root = np.mean([t.parent.root(root_c[:, i], root_t[:, i]) for i, t in enumerate(sampled)], axis=0)
     return own, root
 
 
-def _model(sampled: list[Totals]):
-    """What a block needs to know of a word. Contexts in which it never occurs have no part of their own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            c = _lists(batch, "c", CONTEXTS)
-            own, root = predictive(
-                c,
-                _lists(batch, "sum_t", CONTEXTS),
-                _lists(batch, "root_c_of", len(sampled)),
-                _lists(batch, "root_t_of", len(sampled)),
-                sampled,
-            )
-            rows, contexts = np.nonzero(c)
-            ends = np.cumsum((c > 0).sum(axis=1))
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            data = pa.py_buffer(contexts.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("word"),
-                    pa.array(c.sum(axis=1)),
-                    pa.array(root),
-                    pa.Array.from_buffers(pa.binary(), len(c), [None, offsets.buffers()[1], data]),
-                    pa.ListArray.from_arrays(offsets, pa.array(own[rows, contexts].astype(np.float32))),
-                ],
-                names=["word", "n", "root", "contexts", "own"],
-            )
-
-    return run
-
-
-def _score(anchors: list[bytes], sampled: list[Totals]):
-    backing = np.mean([t.backing() for t in sampled], axis=0)
-    train_tokens = int(sampled[0].customers.sum())
-    vocabulary = sampled[0].types
+def _score(sampled: list[Parent], train_tokens: int):
+    samples, vocabulary = len(sampled), sampled[0].types
 
     def run(row: pa.Table, told: pa.Table) -> pa.Table:
         row = row.to_pylist()[0]
-        block = Block(row, anchors)
-        # What the block knows of its words, unless told otherwise: none, or its own only one.
-        counts = block.counts()
-        n = counts.sum(axis=1)
-        seen = np.repeat((n > 0)[:, None], len(sampled), axis=1)
-        own, root = predictive(counts, counts * len(sampled), seen, seen, sampled)
-        if told.num_rows:
-            place = told.column("place").to_numpy()
-            n[place], root[place] = told.column("n").to_numpy(), told.column("root").to_numpy()
-            own[place] = 0
-            lists = told.column("own").combine_chunks()
-            contexts = np.frombuffer(b"".join(told.column("contexts").to_pylist()), dtype=np.uint8)
-            rows = np.repeat(place, lists.value_lengths().to_numpy(zero_copy_only=False))
-            own[rows, contexts] = lists.flatten().to_numpy(zero_copy_only=False)
-        tokens, context = block.tokens, block.context
-        logs = np.log10(own[tokens, context] + root[tokens] * backing[context])
+        block = Block(row)
+        # What the block is not told: pairs that only it has, once, or that nobody has; words that are unknown.
+        c, sum_t = block.counts.astype(np.int64), block.counts.astype(np.float64) * samples
+        pairs = told.filter(told.column("pair"))
+        place = pairs.column("place").to_numpy()
+        c[place], sum_t[place] = pairs.column("c").to_numpy(), pairs.column("sum_t").to_numpy()
+        n = np.zeros(len(block.words), dtype=np.int64)
+        customers = np.zeros(len(block.words), dtype=np.int64)
+        root_c, root_t, context_t = (np.zeros((samples, len(block.words)), dtype=np.int64) for _ in range(3))
+        named = told.filter(pc.invert(told.column("pair")))
+        for number, lists in ((n, {"root_c_of": root_c, "root_t_of": root_t}), (customers, {"context_t_of": context_t})):
+            column = "c" if number is n else "sum_t"
+            known = named.filter(pc.is_valid(named.column(column))).combine_chunks()
+            place = known.column("place").to_numpy()
+            number[place] = known.column(column).to_numpy()
+            for name, into in lists.items():
+                values = pc.list_flatten(known.column(name)).to_numpy().reshape(-1, samples)
+                into[:, place] = values.T
+        context, word = block.contexts, block.followers
+        # The average over the samples of each one's own part and what it has from the parent.
+        chance = np.zeros(len(context))
+        for i, parent in enumerate(sampled):
+            from_parent = parent.backing(customers, context_t[i])[context] * parent.root(root_c[i], root_t[i])[word]
+            chance += from_parent / samples
+        chance += sampled[0].own(c, sum_t / samples, customers[context])
+        logs = np.log10(chance)[block.pair]
+        tokens = block.tokens
         base = np.log10((n + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))[tokens]
         starts = np.cumsum(block.lengths) - block.lengths
         return pa.table(

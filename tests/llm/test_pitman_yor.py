@@ -82,3 +82,23 @@ def test_squeeze():
         numbers = np.arange(-5, 1000).astype(kind)
         assert (unsqueeze(squeeze(numbers), kind) == numbers).all()
     assert len(unsqueeze(squeeze(np.zeros(0, dtype=np.int32)), np.int32)) == 0
+
+
+def test_the_word_before_counts_whatever_it_is(spark):
+    # 300 words, each as frequent as the others and each followed by one other: no few contexts tell them apart.
+    train = [d for d in range(4000) if not is_held_out(d)][:600]
+    held = next(d for d in range(5000, 6000) if is_held_out(d))
+    rows = [(d, f"a{i % 300} b{i % 300}") for i, d in enumerate(train)]
+    rows += [(held, "a7 b7"), (held, "a7 b8")]
+    scores = score_documents(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    told, other = (r.score for r in scores.where("held_out").orderBy("score", ascending=False).collect())
+    assert told - other > 1.5
+
+
+def test_scores_equal_the_average_of_samples_by_hand_where_all_pairs_are_single(spark):
+    # Pairs that occur once have one table, so only the parent's tables are drawn; with one word per pair none is.
+    train = [d for d in range(100) if not is_held_out(d)][0]
+    row = score_documents(spark.createDataFrame([(train, "x y z")], SCHEMA)).first()
+    discount = root_discount = 0.95
+    own = (1 - discount) / 2 + (1 + discount) / 2 * ((1 - root_discount) / 5 + (1 + root_discount * 4) / 5 / 5)
+    assert abs(row.score - 4 * math.log10(own)) < 1e-9
