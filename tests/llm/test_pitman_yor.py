@@ -3,8 +3,10 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 
-from playlake.llm.pitman_yor import END, CONTEXTS, Totals, is_held_out, predictive, score_documents, seat, squeeze, unsqueeze
+from playlake.llm.pitman_yor import END, CONTEXTS, Parent, Totals, _score, is_held_out, predictive, score_documents, seat, squeeze, unsqueeze
 
 SCHEMA = "doc_id BIGINT, text STRING"
 
@@ -102,3 +104,36 @@ def test_scores_equal_the_average_of_samples_by_hand_where_all_pairs_are_single(
     discount = root_discount = 0.95
     own = (1 - discount) / 2 + (1 + discount) / 2 * ((1 - root_discount) / 5 + (1 + root_discount * 4) / 5 / 5)
     assert abs(row.score - 4 * math.log10(own)) < 1e-9
+
+
+def test_score_averages_the_whole_probability_of_each_sample():
+    # One held-out text "a b": pairs a-b, b-END and START-a; places of words a, b, END and START are 0 to 3.
+    sampled = [Parent(10, 6, 3, 0.5, 0.4), Parent(25, 9, 3, 0.5, 0.4)]
+    row = pa.table({
+        "docs": [[1]], "words": [zstandard.ZstdCompressor().compress(b"a b " + END)],
+        "tokens": [squeeze(np.array([0, 1, 2], dtype=np.int32))], "lengths": [squeeze(np.array([3]))],
+        "held_out": [squeeze(np.array([1], dtype=np.uint8))],
+    })
+    words = {0: ([4, 9], [2, 3]), 1: ([3, 8], [1, 2]), 2: ([3, 8], [3, 4])}
+    contexts = {0: (6, [2, 5]), 1: (5, [3, 4]), 3: (4, [1, 3])}
+    pairs = {0: (4, 3), 2: (3, 5)}
+    rows = [(p, True, c, t, None, None, None) for p, (c, t) in pairs.items()]
+    for p in range(4):
+        root_c, root_t = words.get(p, (None, None))
+        n, tables = contexts.get(p, (None, None))
+        rows.append((p, False, 7 if p in words else None, n, root_c, root_t, tables))
+    lists = pa.list_(pa.int64())
+    kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), lists, lists, lists]
+    names = ["place", "pair", "c", "sum_t", "root_c_of", "root_t_of", "context_t_of"]
+    told = pa.table([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
+    want = 0
+    for place, context, word in ((0, 0, 1), (1, 1, 2), (2, 3, 0)):
+        c, sum_t = pairs.get(place, (0, 0))
+        customers, tables = contexts[context]
+        each = []
+        for i, parent in enumerate(sampled):
+            new = (1 + 0.4 * parent.tables) / (1 + parent.customers) / 4
+            root = (words[word][0][i] - 0.4 * words[word][1][i]) / (1 + parent.customers) + new
+            each.append((c - 0.5 * sum_t / 2) / (1 + customers) + (1 + 0.5 * tables[i]) / (1 + customers) * root)
+        want += math.log10(sum(each) / 2)
+    assert abs(_score(sampled, 21)(row, told).column("score")[0].as_py() - want) < 1e-12
