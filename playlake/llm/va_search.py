@@ -23,8 +23,12 @@ BLOCK = 2048
 QUERY_BLOCK = 256
 # Exact vectors read at a time.
 READ = 64
-# With smaller components every score is an integer that a double holds exactly.
-MOST = 1 << 20
+# Below this every sum is an integer that a double holds exactly.
+EXACT = 2.0**53
+# Bounds of larger scores can be off by this share of the sum of absolute products, for each component.
+SLACK = 2.0**-50
+# Beyond this not even a double can hold the sums.
+MOST = 1e150
 
 INDEX_SCHEMA = (
     "block BIGINT, dims INT, ids BINARY, cells BINARY, low BINARY, width BINARY, exact BINARY"
@@ -52,8 +56,8 @@ def top_k(
     query's own id are not its candidates. Equal scores go to the smaller id. With fewer candidates all
     are returned. Vectors that are null or empty, hold a null or a component that is not finite, or
     have a null id take no part; vectors of different lengths never meet. Ids should be unique: if they are
-    not, each row is a candidate and the smallest vector of an id is its query. Components of 2^20 or
-    more stop the job. Other columns are not read. An empty table gives no rows.
+    not, each row is a candidate and the smallest vector of an id is its query. Scores that a double may not hold
+    exactly are computed in Python's integers; one among the best that does not fit a BIGINT stops the job. Other columns are not read. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     work = scratch_dir(spark)
@@ -100,12 +104,22 @@ def whole(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
     for dims in np.unique(lengths):
         rows = np.flatnonzero(lengths == dims)
         scaled = np.floor(SCALE * values[starts[rows][:, None] + np.arange(dims)])
-        if np.abs(scaled).max() >= SCALE * MOST or dims * np.abs(scaled).max() ** 2 >= 2**53:
+        if not np.abs(scaled).max() < MOST:
             raise ValueError("components are too large for exact scores")
         out.append((rows, ids[rows], scaled))
     return out
 
 
+def _packed(whole_numbers: np.ndarray) -> np.ndarray:
+    """As integers of 4 bytes if they fit, and else as doubles."""
+    return whole_numbers.astype(np.int32) if np.abs(whole_numbers).max() < 2**31 else whole_numbers
+
+
+def _unpacked(packed: bytes, rows: int, dims: int) -> np.ndarray:
+    kind = np.int32 if len(packed) == 4 * rows * dims else np.float64
+    return np.frombuffer(packed, dtype=kind).reshape(rows, dims)
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The rows again, in batches of `rows` at most."""
     held: list[pa.RecordBatch] = []
@@ -128,8 +142,9 @@ def _blocks(cell_bits: int):
             for _, ids, exact in whole(batch):
                 low = exact.min(axis=0)
                 width = np.ceil((exact.max(axis=0) - low + 1) / cells_per_dim)
-                cells = ((exact - low) // width).astype(np.uint16)
-                row = [number, exact.shape[1], ids, cells, low, width, exact.astype(np.int32)]
+                # The quotient of large numbers may be rounded up.
+                cells = np.minimum((exact - low) // width, cells_per_dim - 1).astype(np.uint16)
+                row = [number, exact.shape[1], ids, cells, low, width, _packed(exact)]
                 yield _row(row, INDEX_SCHEMA)
                 number += 1
 
@@ -140,7 +155,7 @@ def _query_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in _gathered(batches, QUERY_BLOCK):
         needed = np.array([-(2**62) if n is None else n for n in batch.column("needed").to_pylist()], dtype=np.float64)
         for rows, ids, vectors in whole(batch):
-            yield _row([vectors.shape[1], ids, vectors.astype(np.int32), needed[rows]], QUERY_SCHEMA)
+            yield _row([vectors.shape[1], ids, _packed(vectors), needed[rows]], QUERY_SCHEMA)
 
 
 def _row(values: list, schema: str) -> pa.RecordBatch:
@@ -164,7 +179,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict]]:
                 continue
             low, width = np.frombuffer(row["low"]), np.frombuffer(row["width"])
             cells = np.frombuffer(row["cells"], dtype=np.uint16).reshape(-1, dims)
-            query = np.frombuffer(row["query"], dtype=np.int32).reshape(-1, dims).astype(np.float64)
+            query = _unpacked(row["query"], len(row["query_ids"]) // 8, dims).astype(np.float64)
             # From each cell's lower corner, a score can rise by `rise` and fall by `fall`.
             corner = query @ (low + cells * width).T
             ids = np.frombuffer(row["ids"], dtype=np.int64)
@@ -172,8 +187,12 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict]]:
             corner[query_ids[:, None] == ids] = -np.inf
             rise = np.maximum(query, 0) @ (width - 1)
             fall = np.minimum(query, 0) @ (width - 1)
+            most = np.abs(query) @ (np.abs(low) + (cells.max(axis=0) + 1) * width)
+            large = most >= EXACT
+            slack = np.where(large, np.abs(query).sum(axis=1) + SLACK * (dims + 8) * most, 0)
+            rise, fall = rise + slack, fall - slack
             yield (
-                {"ids": ids, "corner": corner, "exact": row.get("exact")},
+                {"ids": ids, "corner": corner, "exact": row.get("exact"), "large": large},
                 {"ids": query_ids, "vectors": query, "rise": rise, "fall": fall, "needed": row["needed"]},
             )
 
@@ -186,12 +205,14 @@ def _lower_bounds(k: int):
             most = min(k, corner.shape[1])
             top = np.partition(corner, corner.shape[1] - most, axis=1)[:, -most:] + queries["fall"][:, None]
             for query, bounds in zip(queries["ids"].tolist(), top):
-                held = np.concatenate([best.get(query, bounds[:0]), bounds[bounds > -np.inf]])
+                # Bounds that a BIGINT does not hold are left out, or lowered.
+                bounds = np.minimum(bounds[bounds > -(2.0**62)], 2.0**62)
+                held = np.concatenate([best.get(query, bounds[:0]), bounds])
                 best[query] = np.sort(held)[-k:]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(best), pa.int64()),
-                pa.array([b.astype(np.int64) for b in best.values()], pa.list_(pa.int64())),
+                pa.array([np.floor(b).astype(np.int64) for b in best.values()], pa.list_(pa.int64())),
             ],
             names=["vec_id", "bounds"],
         )
@@ -204,7 +225,7 @@ def _exact(k: int):
         # For each query its k best so far, as (-score, id), and the score to reach.
         best: dict[int, list[tuple[int, int]]] = {}
         for block, queries in _pairs(batches):
-            exact = np.frombuffer(block["exact"], dtype=np.int32).reshape(len(block["ids"]), -1)
+            exact = _unpacked(block["exact"], len(block["ids"]), queries["vectors"].shape[1])
             needed = np.frombuffer(queries["needed"])
             upper = block["corner"] + queries["rise"][:, None]
             for i, query in enumerate(queries["ids"].tolist()):
@@ -217,11 +238,17 @@ def _exact(k: int):
                     if len(held) == k and upper[i][some[0]] < -held[-1][0]:
                         break
                     some = some[upper[i][some] > -np.inf]
-                    scores = exact[some] @ queries["vectors"][i]
-                    held += zip((-scores).astype(np.int64).tolist(), block["ids"][some].tolist())
+                    if block["large"][i]:
+                        vector = [int(x) for x in queries["vectors"][i]]
+                        scores = [-sum(int(x) * y for x, y in zip(row, vector)) for row in exact[some]]
+                    else:
+                        scores = (-(exact[some] @ queries["vectors"][i])).astype(np.int64).tolist()
+                    held += zip(scores, block["ids"][some].tolist())
                     held.sort()
                     del held[k:]
         rows = [(query, vec, -score) for query, held in best.items() for score, vec in held]
+        if any(not -(2**63) <= score < 2**63 for *_, score in rows):
+            raise ValueError("components are too large for exact scores")
         columns = list(zip(*rows)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]

@@ -66,3 +66,31 @@ def test_few_exact_vectors_are_read():
     assert (corner + rise >= scores).all() and (corner + fall <= scores).all()
     needed = np.sort(corner + fall)[-5]
     assert (corner + rise >= needed).sum() < 200
+
+
+@pytest.mark.parametrize("top", [2.0**21, 2.0**24, 2.0**34])
+def test_large_scores_are_exact(spark, top):
+    rng = np.random.default_rng(8)
+    values = rng.integers(-(2**22), 2**22, (300, 4)).astype(np.float32) * np.float32(top / 2**22)
+    # Others are small, and some large ones differ in the last place only.
+    values[:100] = rng.normal(size=(100, 4))
+    if top > 2.0**30:
+        values[100:, 1:] /= 2.0**30
+        values[::3, 0] = 0
+        values[1::3, 0] = np.abs(values[1::3, 0]) / 2.0**10
+    values[200:220] = values[220:240] + [0, 0, 0, 1]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(values)]
+
+    def whole(v):
+        return [int(np.floor(256 * x)) for x in v]
+
+    want = set()
+    for q, v in rows[::20]:
+        scored = sorted((-sum(a * b for a, b in zip(whole(v), whole(w))), i) for i, w in rows if i != q)
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])}
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    if any(abs(s) >= 2**63 for *_, s in want):
+        with pytest.raises(Exception, match="too large"):
+            found(df, 20, 5)
+    else:
+        assert set(found(df, 20, 5)) == want and any(abs(s) >= 2**53 for *_, s in want)
