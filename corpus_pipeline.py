@@ -39,9 +39,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One document of each group of near copies, the one with the smallest id (null last).
+
+    Rows that repeat id and text are one. One without an id has one by the hash of its text here, above 2^62.
+    """
+    top, low = F.lit((1 << 63) - 1), F.lit(1 << 62)
+    own = F.coalesce(F.col("doc_id"), top - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), low))
+    docs = docs.withColumn("near_id", own)
+    kept = near_duplicates(docs, id_col="near_id").where("kept").select(F.col("doc_id").alias("kept_id"))
+    kept = docs.join(kept.hint("merge"), F.col("near_id") == F.col("kept_id"), "left_semi")
+    return kept.dropDuplicates(["near_id", "text"]).drop("near_id")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

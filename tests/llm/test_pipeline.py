@@ -34,6 +34,17 @@ def test_near_stage_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id for r in corpus_pipeline.near(spark, docs, SF_DIR).collect()), key=str) == [1, 3, None]
 
 
+def test_near_stage_keeps_one_of_repeated_rows_and_of_copies_without_an_id(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(100)) for c in "wv")
+    rows = [(1, text), (1, text), (None, text + " end"), (None, other), (None, other), (None, other + " end"), (4, "x"), (4, "x"), (None, "y")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    got = corpus_pipeline.near(spark, docs, SF_DIR)
+    assert got.dtypes == docs.dtypes
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted((i, t[:1]) for i, t in left if i) == [(1, "w"), (4, "x")]
+    assert sorted(t[:1] for i, t in left if not i) == ["v", "y"]
+
+
 @pytest.mark.parametrize("name", sorted(LLM_QUERIES))
 def test_queries_equal_their_oracles(spark, name):
     import duckdb
