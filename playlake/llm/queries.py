@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlake.llm import chat
+from playlake.llm import centroids, chat, toxicity
 from playlake.llm.byte_pairs import byte_pairs
 from playlake.llm.exact_dedup import exact_dedup
 from playlake.llm.importance import TARGET_DOCUMENTS, resample, target_sample
 from playlake.llm.line_dedup import line_dedup
+from playlake.llm.mask_rank import rank_items
 from playlake.llm.near_dup import near_duplicates
 from playlake.llm.packing import Limits, pack_texts
 from playlake.llm.piece_codec import encode_documents
@@ -94,6 +95,18 @@ def op10_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous_shards(documents, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
 
+def op11_mask_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_items(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -107,9 +120,63 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_va_search,
         op9_near_dup,
         op10_rendezvous,
+        op11_mask_rank,
+        op12_centroids,
+        op13_toxicity,
     )
 }
 
+
+
+def _clustering_sql(centroids: int, rounds: int, dims: int, seed: int) -> str:
+    """Clustering in plain SQL, one pair of queries for each round."""
+    steps = [
+        f"""WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) - 1 AS cluster, v FROM kept
+            QUALIFY cluster < {centroids}
+        )"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS (
+            SELECT k.r, k.vec_id, k.v, n.cluster, n.distance
+            FROM kept k JOIN (
+                SELECT r, unnest(min({{'distance': distance, 'cluster': cluster}})) FROM (
+                    SELECT k.r, c.cluster,
+                           list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+                    FROM kept k CROSS JOIN c{i} c
+                ) GROUP BY r
+            ) n USING (r)
+        )"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS (
+            SELECT c.cluster, coalesce(m.v, c.v) AS v
+            FROM c{i} c LEFT JOIN (
+                SELECT cluster, list(((total - (((total % n) + n) % n)) // n)::BIGINT ORDER BY d) AS v
+                FROM (
+                    SELECT cluster, d, sum(v[d]) AS total, count(*) AS n
+                    FROM a{i}, range(1, {dims + 1}) AS dims(d) GROUP BY cluster, d
+                ) GROUP BY cluster
+            ) m USING (cluster)
+        )"""
+            )
+    return ",\n".join(steps) + f"""
+        SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.distance,
+               (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+               (sum(a.distance) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+    """
+
+
 LLM_ORACLES = {
     "op1_exact_dedup": r"""
         WITH texts AS (
@@ -166,4 +233,39 @@ LLM_ORACLES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 5
     """,
+    "op11_mask_rank": r"""
+        WITH said AS (
+            SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ),
+        postings AS (SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM said GROUP BY r, term),
+        corpus AS (SELECT count(DISTINCT r) AS docs, count(*) AS tokens FROM said),
+        lengths AS (
+            SELECT r, 25 + (75 * count(*) * any_value(docs)) // any_value(tokens) AS m FROM said, corpus GROUP BY r
+        ),
+        asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark
+            ) GROUP BY item_id, term
+        ),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM postings, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term
+        ),
+        scored AS (
+            SELECT a.item_id, p.r, any_value(p.doc_id) AS doc_id,
+                   sum(a.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * l.m)))::BIGINT AS score
+            FROM asked a JOIN weights w USING (term) JOIN postings p USING (term) JOIN lengths l USING (r)
+            GROUP BY a.item_id, p.r
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+        ) WHERE rank <= 10
+    """,
+    "op12_centroids": _clustering_sql(centroids.CENTROIDS, centroids.ROUNDS, centroids.DIMS, centroids.SEED),
 }

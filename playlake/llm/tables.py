@@ -11,6 +11,7 @@ from playlake import scratch
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "benchmark": "item_id BIGINT, text STRING",
     "labels": "doc_id BIGINT, quality INT, toxic INT",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }

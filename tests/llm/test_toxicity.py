@@ -1,0 +1,184 @@
+import math
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_DIR
+from playlake.llm import toxicity
+from playlake.llm.queries import LLM_QUERIES
+from playlake.llm.tables import table
+from playlake.llm.toxicity import BlockMax, score_documents
+
+DOCS = "doc_id BIGINT, text STRING"
+LABELS = "doc_id BIGINT, toxic INT"
+RUDE = ["oaf", "dolt", "knave", "blockhead", "cretinish"]
+
+
+def held_out(doc):
+    return doc is None or crc32(str(doc).encode()) % 5 == 0
+
+
+def corpus(n=600, seed=0):
+    rng = np.random.default_rng(seed)
+    plain = [f"w{i}" for i in range(80)]
+    docs, labels = [], []
+    for i in range(n):
+        words = list(rng.choice(plain, rng.integers(5, 40)))
+        toxic = int(rng.random() < 0.25)
+        if toxic:
+            words += list(rng.choice(RUDE, 3))
+        rng.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    return docs, labels
+
+
+def terms_of(text):
+    out = Counter()
+    for word in re.findall("[0-9A-Za-z\x80-\U0010ffff]+", text):
+        word = "".join(c.lower() if c.isascii() else c for c in word)
+        for n in (4, 5):
+            if len(word) > n:
+                out[word[:n] + "*"] += 1
+        if len(word.encode()) < 60:
+            out[word] += 1
+    return out
+
+
+def brute(docs, labels, neighbours=15):
+    """The whole operator in plain Python, with all cosines: scores by document."""
+    counted = [(d, terms_of(t or "")) for d, t in docs]
+    label = {}
+    for d, y in labels:
+        if d is not None and y in (0, 1) and not held_out(d):
+            label[d] = max(y, label.get(d, 0))
+    train = [(d, c, label[d]) for d, c in counted if d in label]
+    total, toxic = len(train), sum(y for *_, y in train)
+    share = toxic / total
+    n, a = Counter(t for _, c, _ in train for t in c), Counter(t for _, c, y in train if y for t in c)
+    vocabulary = sorted(
+        (t for t in n if n[t] >= 5 and (a[t] - n[t] * share) ** 2 / (n[t] * share * (1 - share) * (1 - n[t] / (total + 1))) >= 30),
+        key=lambda t: t.encode(),
+    )
+    df = Counter(t for _, c in counted for t in c)
+    idf = {t: math.log((1 + len(docs)) / (1 + df[t])) + 1 for t in vocabulary}
+
+    def vector(c):
+        raw = {t: (1 + math.log(c[t])) * idf[t] for t in vocabulary if t in c}
+        size = math.sqrt(sum(x * x for x in raw.values()))
+        return {t: x / size for t, x in raw.items()}
+
+    examples = [(d, vector(c), y) for d, c, y in train]
+
+    def vote(of, but=None):
+        cosines = [(sum(w * e[t] for t, w in of.items() if t in e), d, y) for i, (d, e, y) in enumerate(examples) if i != but]
+        near = sorted((-round(c, 10), d, c, y) for c, d, y in cosines if c > 0)[:neighbours]
+        weights = [(1 / (0.1 + 1 - min(c, 1)), y) for _, _, c, y in near]
+        ones = sum(w for w, y in weights if y) + 0.5 * share
+        return math.log(ones / (sum(w for w, _ in weights) + 0.5 - ones)), [(d, y) for _, d, _, y in near]
+
+    model = toxicity.Model(None, share, None, neighbours)
+    model.calibrate(np.array([vote(e, i)[0] for i, (_, e, _) in enumerate(examples)]), np.array([y for *_, y in examples]), np.ones(total))
+    return {d: (1 / (1 + math.exp(-model.slope * vote(vector(c))[0] - model.shift)), vote(vector(c))[1]) for d, c in counted}
+
+
+def scored(spark, docs, labels, **how):
+    found = score_documents(spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(labels, LABELS), **how)
+    return found.collect()
+
+
+def test_equals_brute_force(spark):
+    docs, labels = corpus()
+    docs += [(1000, None), (1001, ""), (1002, "Größe größer OAF"), (1003, "... !")]
+    expected = brute(docs, labels)
+    rows = scored(spark, docs, labels)
+    assert len(rows) == len(docs)
+    for row in rows:
+        assert row.score == pytest.approx(expected[row.doc_id][0], abs=1e-9)
+        assert row.predicted == int(row.score >= 0.5)
+        assert row.held_out == held_out(row.doc_id)
+        assert [(n.doc_id, n.label) for n in row.neighbours] == expected[row.doc_id][1]
+
+
+@pytest.mark.parametrize("block, first", [(1, 1), (4, 2), (32, 8), (1000, 1)])
+def test_nearest_equals_all_cosines(monkeypatch, block, first):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", first)
+    rng = np.random.default_rng(block)
+    terms = [np.sort(rng.choice(50, rng.integers(0, 9), replace=False)) for _ in range(300)]
+    # Copies tie; the smaller id wins.
+    terms[100:200] = [terms[7]] * 100
+    examples = [(1000 - i, i % 2, 1.0, t, np.ones(len(t)) if i in range(100, 200) else rng.integers(1, 5, len(t)).astype(float))
+                for i, t in enumerate(terms)]
+    index = BlockMax(examples, rng.random(50) + 0.5)
+    dense = np.zeros((300, 50))
+    for row, (t, w) in zip(dense, index.vectors):
+        row[t] = w
+    for p in range(0, 300, 7):
+        t, w = index.vectors[p]
+        for but in (-1, p):
+            cosines = dense @ dense[p]
+            cosines[but if but >= 0 else []] = 0
+            best = sorted(((-round(float(c), 9), index.docs[i]) for i, c in enumerate(cosines) if c > 0))[:10]
+            places, found = index.nearest(t, w, 10, but=but)
+            assert [index.docs[i] for i in places] == [d for _, d in best]
+            assert found == pytest.approx([-c for c, _ in best])
+
+
+def test_blocks_below_the_bound_are_not_read(monkeypatch):
+    read = []
+    bincount = np.bincount
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 1)
+    examples = [(i, 0, 1.0, np.array([i // 40, 30]), np.array([1.0, 1.0])) for i in range(1200)]
+    index = BlockMax(examples, np.r_[np.full(30, 3.0), 1.0])
+    monkeypatch.setattr(toxicity.np, "bincount", lambda x, w: (read.append(len(x)), bincount(x, w))[1])
+    places, cosines = index.nearest(*index.vectors[0], 3)
+    assert len(places) == 3 and min(cosines) > 0.999
+    assert sum(read) < 400
+
+
+def test_labels_held_out_are_never_used(spark):
+    docs, labels = corpus(400, 1)
+    flipped = [(d, 1 - y if held_out(d) else y) for d, y in labels] + [(None, 1), (3, None), (4, 7)]
+    assert sorted(scored(spark, docs, labels)) == sorted(scored(spark, docs, flipped))
+
+
+def test_learns_from_at_most_so_many_examples(spark):
+    docs, labels = corpus(500, 2)
+    rows = scored(spark, docs, labels, examples=20)
+    used = {n.doc_id for r in rows for n in r.neighbours}
+    toxic = dict(labels)
+    assert 0 < len([d for d in used if toxic[d]]) <= 20 and len([d for d in used if not toxic[d]]) <= 20
+    assert np.mean([r.predicted == toxic[r.doc_id] for r in rows if r.held_out]) > 0.95
+
+
+def test_awkward_tables(spark):
+    assert scored(spark, [], []) == []
+    docs = [(1, "a"), (1, "a"), (None, None), (2, "x" * 200_000 + " oaf " * 20_000)]
+    assert [(r.score, r.predicted) for r in scored(spark, docs, [])] == [(0.0, 0)] * 4
+    only = [d for d in range(1, 30) if not held_out(d)][:3]
+    assert {r.score for r in scored(spark, docs + [(d, "oaf") for d in only], [(d, 1) for d in only])} == {1.0}
+    some, labels = corpus(300, 3)
+    rows = scored(spark, some + docs[2:3] + [(900, docs[3][1])], labels + labels[:5])
+    assert len(rows) == 302 and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_other_columns_are_not_read(spark):
+    docs, labels = corpus(200, 4)
+    plain = sorted((r.doc_id, r.score) for r in scored(spark, docs, labels))
+    more = spark.createDataFrame([(d, t, "en", 1, t) for d, t in docs], "doc_id INT, text STRING, lang STRING, label INT, terms STRING")
+    given = spark.createDataFrame([(d, y, "b") for d, y in labels], "doc_id INT, toxic INT, text STRING")
+    assert sorted((r.doc_id, r.score) for r in score_documents(more, given).collect()) == plain
+
+
+def test_held_out_documents_of_the_query(spark):
+    sf = SF_DIR.replace("0.001", "0.1")
+    found = LLM_QUERIES["op13_toxicity"](spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out")
+    caught, clean = found.agg(
+        F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))), F.avg(F.when(F.col("toxic") == 0, 1 - F.col("predicted")))
+    ).first()
+    assert caught > 0.7 and clean > 0.99
