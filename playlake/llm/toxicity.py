@@ -1,7 +1,7 @@
 """Toxicity by votes of the nearest labelled examples, found by exact TF-IDF cosine in a block-max inverted index.
 
-Terms are words and the beginnings of words. Those whose presence tells most about the label, counted over all
-training documents, are the vocabulary; its document frequencies are counted over all documents. The labelled
+Terms are words and the beginnings of words. Those whose presence speaks most for label 1 in a bounded sample of the
+training documents are the vocabulary; its document frequencies are counted over all documents. The labelled
 examples are bounded in number, so their index is, and every task gets it. Examples are laid out so that those with a
 rare term in common stand together, in blocks. For each term the index has the greatest weight in
 each block: with the weights of a document these give a bound for the block. Blocks are read from the greatest bound down until
@@ -27,12 +27,16 @@ from playlake.llm.tables import id_and_bytes, stage
 from playlake.scratch import scratch_dir
 
 FOLDS = 5
-# Bounds of the labelled sample: examples of each label, those whose ids have the smallest hashes, and terms.
+# Bounds of the labelled sample: ids of each label, those with the smallest hashes, of which terms are counted;
+# examples of each label among them; terms.
+TRAINING = 20_000
 EXAMPLES = 4096
 VOCABULARY = 2048
-# A term is told by at least so many training documents, and its chi-square statistic reaches this.
+# A term is in the vocabulary if at least so many training documents hold it, its chi-square statistic reaches this,
+# and label 1 is so many times as frequent among them as among all.
 LEAST_DOCUMENTS = 5
 LEAST_CHI = 30.0
+LEAST_LIFT = 3.0
 NEIGHBOURS = 15
 BLOCK = 32
 # Blocks read in the first step; every further step of a search reads four times as many.
@@ -48,6 +52,7 @@ BEGINNINGS = (4, 5)
 LONGEST = 60
 # Words whose places a worker remembers, terms that it counts before it hands them on, and bytes of a text at a time.
 REMEMBERED = 300_000
+SCORED_ROWS = 10_000
 COUNTED = 400_000
 PIECE = 1 << 20
 
@@ -85,8 +90,8 @@ def score_documents(
     the greatest. Held out, and not learnt from, are rows whose id, as decimal text, has a CRC-32 divisible by 5 and
     rows without an id. A null text is empty. A text without a term of the vocabulary has no neighbours; its score is the one
     of a vote without voters. Equal cosines go to the example with the smaller id. Rows that repeat an id are documents and
-    examples of their own. Without training labels of both kinds all scores are the share of label 1
-    among them, 0 without any. Other columns, and those of `labels`, are not read. An empty table gives no rows.
+    examples of their own. Without training documents of both labels all scores are the share of label 1
+    among the training labels, 0 without any. Other columns, and those of `labels`, are not read. An empty table gives no rows.
     """
     spark = documents.sparkSession
     work = scratch_dir(spark)
@@ -95,8 +100,13 @@ def score_documents(
     known = known.where("label IN (0, 1)").where(~is_held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
 
-    training = texts.join(known, "doc_id")
-    terms = _vocabulary(training, vocabulary, f"{work}/told")
+    known = stage(known, f"{work}/known")
+    sizes = dict(known.groupBy("label").count().collect())
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    sample = [known.where(F.col("label") == label).orderBy(*order).limit(TRAINING) for label in (0, 1)]
+    # At most 2 * TRAINING ids.
+    sample = F.broadcast(stage(sample[0].unionAll(sample[1]), f"{work}/sample"))
+    terms = _vocabulary(texts.join(sample, "doc_id"), vocabulary, f"{work}/told")
     vectors = stage(texts.mapInArrow(_vectors(terms), VECTOR_SCHEMA), f"{work}/vectors")
     n_documents = vectors.count()
     df = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -104,17 +114,17 @@ def score_documents(
     for row in df.collect():  # one row per term of the vocabulary
         idf[row["term"]] = math.log((1 + n_documents) / (1 + row["df"])) + 1
 
-    labelled = vectors.join(known, "doc_id")
-    sizes = dict(labelled.groupBy("label").count().collect())
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("terms"), F.col("tf")]
+    labelled = vectors.join(sample, "doc_id")
+    order += [F.col("terms"), F.col("tf")]
     drawn = [labelled.where(F.col("label") == label).orderBy(*order).limit(examples) for label in (0, 1)]
     rows = drawn[0].unionAll(drawn[1]).collect()  # bounded by `examples` and `vocabulary`
+    found = Counter(row["label"] for row in rows)
     total = sum(sizes.values())
-    if len(sizes) < 2:
+    if len(found) < 2:
         model = Model(None, 0.0, sizes.get(1, 0) / total if total else 0.0, neighbours)
     else:
         # What an example of each label stands for.
-        weight = {label: n / min(n, examples) for label, n in sizes.items()}
+        weight = {label: sizes[label] / n for label, n in found.items()}
         index = BlockMax(
             [(r["doc_id"], r["label"], weight[r["label"]], np.array(r["terms"], int), np.array(r["tf"], float)) for r in rows], idf
         )
@@ -123,7 +133,9 @@ def score_documents(
             model.votes_of_examples, "vote DOUBLE, label INT, weight DOUBLE"
         ).collect()
         model.calibrate(*(np.array(c) for c in zip(*votes)))
-    return vectors.mapInArrow(model.scores, SCORE_SCHEMA)
+    # A row of the vectors is small and takes long.
+    tasks = -(-n_documents // SCORED_ROWS)
+    return (vectors.repartition(tasks) if tasks > 1 else vectors).mapInArrow(model.scores, SCORE_SCHEMA)
 
 
 def terms_of(word: bytes) -> tuple[bytes, ...]:
@@ -146,7 +158,7 @@ def words(body: bytes) -> Iterator[list[bytes]]:
 
 
 def _vocabulary(training: DataFrame, limit: int, path: str) -> list[bytes]:
-    """Terms whose presence tells most about the label, by the chi-square statistic over all training documents."""
+    """Terms whose presence speaks most for label 1, by the chi-square statistic over the training documents."""
     told = stage(
         training.mapInArrow(_presence, "term BINARY, n BIGINT, toxic BIGINT")
         .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= LEAST_DOCUMENTS),
@@ -158,6 +170,7 @@ def _vocabulary(training: DataFrame, limit: int, path: str) -> list[bytes]:
     a, n = F.col("toxic").cast("double"), F.col("n").cast("double")
     off = a - n * (toxic / total)
     chi = off * off / (n * (toxic / total) * (1 - toxic / total) * (1 - n / (total + 1)))
+    told = told.where(a >= n * (LEAST_LIFT * toxic / total))
     best = told.withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(limit)
     return sorted(bytes(row["term"]) for row in best.select("term").collect())
 
@@ -298,7 +311,8 @@ class Model:
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         """Log odds of label 1 among the neighbours, each by its distance and by what it stands for."""
-        weight = self.index.stand_for[places] / (NEAREST + 1 - np.minimum(cosines, 1.0))
+        # Falls with the distance, to nothing at a right angle.
+        weight = self.index.stand_for[places] * (1 / (NEAREST + 1 - np.minimum(cosines, 1.0)) - 1 / (NEAREST + 1))
         ones = float((weight * self.index.labels[places]).sum()) + PRIOR_WEIGHT * self.share
         return math.log(ones / (float(weight.sum()) + PRIOR_WEIGHT - ones))
 
@@ -320,14 +334,22 @@ class Model:
     def calibrate(self, votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> None:
         """Fit the logistic function of the vote by Newton's method, with a slope above 0."""
         beta, design = np.array([1.0, 0.0]), np.column_stack([votes, np.ones(len(votes))])
-        ridge = np.array([1.0, 0.0])
-        for _ in range(50):
-            chance = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-            gradient = design.T @ (weights * (labels - chance)) - ridge * (beta - [1.0, 0.0])
-            curve = (design * (weights * chance * (1 - chance))[:, None]).T @ design + np.diag(ridge + 1e-6)
+        # A weak pull towards the vote as it is, which also ends the fit if one threshold parts the labels.
+        pull = np.array([1.0, 1e-3])
+
+        def loss(beta: np.ndarray) -> float:
+            against = np.where(labels == 1, -1.0, 1.0) * (design @ beta)
+            return float((weights * np.logaddexp(0, against)).sum() + (pull * (beta - [1.0, 0.0]) ** 2).sum() / 2)
+
+        for _ in range(100):
+            chance = 1 / (1 + np.exp(-np.clip(design @ beta, -500, 500)))
+            gradient = design.T @ (weights * (labels - chance)) - pull * (beta - [1.0, 0.0])
+            curve = (design * (weights * chance * (1 - chance))[:, None]).T @ design + np.diag(pull)
             step = np.linalg.solve(curve, gradient)
-            beta = beta + np.clip(step, -1, 1)
-            if np.abs(step).max() < 1e-9:
+            while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+                step /= 2
+            beta = beta + step
+            if np.abs(step).max() <= 1e-9:
                 break
         self.slope, self.shift = max(float(beta[0]), 0.05), float(beta[1])
 

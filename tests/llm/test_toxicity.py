@@ -61,7 +61,7 @@ def brute(docs, labels, neighbours=15):
     share = toxic / total
     n, a = Counter(t for _, c, _ in train for t in c), Counter(t for _, c, y in train if y for t in c)
     vocabulary = sorted(
-        (t for t in n if n[t] >= 5 and (a[t] - n[t] * share) ** 2 / (n[t] * share * (1 - share) * (1 - n[t] / (total + 1))) >= 30),
+        (t for t in n if n[t] >= 5 and a[t] >= n[t] * 3 * share and (a[t] - n[t] * share) ** 2 / (n[t] * share * (1 - share) * (1 - n[t] / (total + 1))) >= 30),
         key=lambda t: t.encode(),
     )
     df = Counter(t for _, c in counted for t in c)
@@ -77,7 +77,7 @@ def brute(docs, labels, neighbours=15):
     def vote(of, but=None):
         cosines = [(sum(w * e[t] for t, w in of.items() if t in e), d, y) for i, (d, e, y) in enumerate(examples) if i != but]
         near = sorted((-round(c, 10), d, c, y) for c, d, y in cosines if c > 0)[:neighbours]
-        weights = [(1 / (0.1 + 1 - min(c, 1)), y) for _, _, c, y in near]
+        weights = [(1 / (0.1 + 1 - min(c, 1)) - 1 / 1.1, y) for _, _, c, y in near]
         ones = sum(w for w, y in weights if y) + 0.5 * share
         return math.log(ones / (sum(w for w, _ in weights) + 0.5 - ones)), [(d, y) for _, d, _, y in near]
 
