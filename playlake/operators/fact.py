@@ -8,7 +8,8 @@ first. Full play rows are then shuffled once, and counts need no play rows at al
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.operators.skew import CELL, key_sizes, split_join
+from playlake.operators.skew import CELL, KeySizes, rows_of, split_join, summarise, summarise_counts, unique
+from playlake.parallel import together
 
 PAIR = ["song", "artist"]
 
@@ -40,8 +41,15 @@ def match_pairs(pairs: DataFrame, songs: DataFrame, artists: DataFrame) -> DataF
         .groupBy(F.col("name").alias("artist"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    named = split_join(pairs, names, ["artist"], ["song"], ["copies"], key_sizes(pairs, names, ["artist"]))
-    sizes = key_sizes(pairs, titles, ["song"])
+    (of_artist, of_song), [of_title] = together(
+        pairs.sparkSession, lambda: summarise(pairs, ["artist"], ["song"]), lambda: summarise(titles, ["song"])
+    )
+    # A name meets at most each pair of its artist, so no more names than artists of pairs matter.
+    sizes = KeySizes(
+        of_artist, unique(int(of_artist.keys)), rows_of(pairs, ["artist"]), rows_of(names, ["artist"]), of_artist.rows
+    )
+    named = split_join(pairs, names, ["artist"], ["song"], ["copies"], sizes)
+    sizes = KeySizes(of_song, of_title, rows_of(pairs, ["song"]), rows_of(titles, ["song"]))
     matches = split_join(named, titles, ["song"], ["artist"], ["song_id", "artist_id", "variant"], sizes)
     return matches.select(*PAIR, "plays", "song_id", "artist_id", "variant", "copies")
 
@@ -59,13 +67,21 @@ def build_fact(
     lookup = matches.drop("plays").select("*", chunks.alias("chunk")).withColumn(
         "copies", F.least(F.lit(CELL).cast("bigint"), F.col("copies") - F.col("chunk") * CELL)
     )
-    sizes = matches.groupBy(*PAIR).agg(
-        F.max("plays").alias("left_rows"), F.sum("copies").alias("right_rows")
+    if pairs is None:
+        pairs = matches.groupBy(*PAIR).agg(F.max("plays").alias("plays"))
+    of_pair, [of_match], [most_copies, rows] = together(
+        matches.sparkSession,
+        lambda: summarise_counts(pairs, PAIR, "plays"),
+        lambda: summarise(matches, PAIR),
+        lambda: matches.agg(F.max("copies"), F.sum(F.col("plays") * F.col("copies"))).first(),
+    )
+    sizes = KeySizes(
+        of_pair,
+        of_match.times(most_copies or 0),
+        rows_of(pairs, PAIR, F.col("plays")),
+        rows_of(matches, PAIR, F.col("copies")),
+        rows or 0,
     )
-    if pairs is not None:
-        found = sizes.select(*PAIR, "right_rows")
-        counted = pairs.select(*PAIR, F.col("plays").alias("left_rows"))
-        sizes = counted.join(found, PAIR, "left").fillna(0, ["right_rows"])
     lookup_spread = ["song_id", "artist_id", "variant", "chunk"]
     joined = split_join(valid_plays(plays), lookup, PAIR, spread, lookup_spread, sizes)
     return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(

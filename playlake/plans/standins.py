@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from playlake.functions.epoch import epoch_ms_text, start_time
 from playlake.operators import dims, fact, reports
-from playlake.operators.skew import split_join
+from playlake.operators.skew import KeySizes, rows_of, split_join, summarise_counts, unique
 from playlake.parallel import together
 from playlake.scratch import scratch_dir, stage
 
@@ -126,10 +126,16 @@ class LinearStar:
 
     def add_names(self, log: DataFrame, per_customer: DataFrame) -> DataFrame:
         """Give log lines the song and artist names of their customer."""
-        sizes = per_customer.select(
-            "o_custkey", F.col("plays").alias("left_rows"), F.lit(1).cast("bigint").alias("right_rows")
+        key = ["o_custkey"]
+        of_customer = summarise_counts(per_customer, key, "plays")
+        sizes = KeySizes(
+            of_customer,
+            unique(int(of_customer.keys)),
+            rows_of(per_customer, key, F.col("plays")),
+            rows_of(self.customer.withColumnRenamed("c_custkey", "o_custkey"), key),
+            of_customer.rows,
         )
-        return split_join(log, self.named_customers, ["o_custkey"], ["play_no"], ["song"], sizes)
+        return split_join(log, self.named_customers, key, ["play_no"], ["song"], sizes)
 
     def write_inputs(self, base: str) -> None:
         """Write songs and all orders as the two JSON trees the job reads."""
