@@ -5,6 +5,7 @@ Each raw input is scanned once. Everything after that reads staged or written Pa
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from playlake import sinks
 from playlake.functions.epoch import start_time
 from playlake.operators import audit, dims, fact, reports
-from playlake.parallel import together, wide_shuffles
+from playlake.parallel import in_order, widen
 from playlake.scratch import discard, scratch_dir, stage
-from playlake.session import in_utc
+from playlake.session import utc_session
 from playlake.sources.json_inputs import is_malformed, read_activity_log, read_song_metadata
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
@@ -64,15 +65,15 @@ class JobFailed(RuntimeError):
 def run(
     spark: SparkSession, input_base: str, output_base: str, count_malformed_log: bool = False
 ) -> RunResult:
-    """Run the job. One failed output does not stop the others; unreadable input does.
+    """Run the job, in a session of its own. One failed output does not stop the others; unreadable input does.
 
     `count_malformed_log` counts unreadable log lines, which the page filter drops. It makes the
     largest scan about a third slower, as every field of every line has to be converted.
     """
+    spark = utc_session(spark)
     work = scratch_dir(spark)
     try:
-        with in_utc(spark):
-            result = _Run(spark, input_base, output_base, work).run(count_malformed_log)
+        result = _Run(spark, input_base, output_base, work).run(count_malformed_log)
     finally:
         discard(spark, work)
     if result.failed:
@@ -126,65 +127,77 @@ class _Run:
         self.output_base = output_base.rstrip("/")
         self.work = work
         self.result = RunResult()
+        self.noting = Lock()
+        self.rows = 0
         # Tables for the steps that follow: as written, or as planned if the write failed.
         self.tables: dict[str, Built] = {}
 
     def run(self, count_malformed_log: bool) -> RunResult:
-        (metadata, song_input), (plays, play_input) = together(
-            self.spark,
-            lambda: stage_songs(self.spark, self.input_base, f"{self.work}/metadata"),
-            lambda: stage_plays(
-                self.spark, self.input_base, f"{self.work}/plays", count_malformed_log
-            ),
-        )
-        self.result.inputs = {**song_input, **play_input}
-        with wide_shuffles(self.spark, song_input["song_rows"] + play_input["plays"]):
-            self.build(metadata, plays)
+        in_order(self.spark, self.steps(count_malformed_log))
         return self.result
 
-    def build(self, metadata: DataFrame, plays: DataFrame) -> None:
-        songs, pairs, time, *_ = together(
-            self.spark,
-            lambda: self.prepare("songs_built", lambda: dims.songs_dim(metadata)),
-            lambda: self.prepare("pairs", lambda: fact.count_pairs(fact.valid_plays(plays))),
-            lambda: self.prepare("time_built", lambda: dims.time_dim(plays)),
-            lambda: self.write_table("artists", lambda: dims.artists_dim(metadata)),
-            lambda: self.write_table("users", lambda: dims.users_dim(plays)),
-        )
-        # The fact waits for the matches, so they come before the writes of many small files.
-        matches, _ = together(
-            self.spark,
-            lambda: self.prepare("matches", lambda: fact.match_pairs(pairs(), songs(), self.tables["artists"]())),
-            lambda: self.write_csv(RATIO_FOLDER, lambda: reports.free_paid_ratio(self.tables["users"]())),
-        )
-        # Built, and not re-read: re-read partition columns have '' turned into NULL.
-        together(
-            self.spark,
-            lambda: self.write_table("song_plays", lambda: fact.with_row_id(
-                fact.build_fact(plays, matches(), ["play_no"], pairs()))),
-            lambda: self.write_reports(matches, songs),
-            lambda: self.write_table("songs", songs),
-            lambda: self.write_table("time", time),
-        )
-        together(
-            self.spark,
-            lambda: self.write_csv(COUNTS_FOLDER, self.recorded_counts, header=False),
-            lambda: self.write_csv("reconciliation", self.reconciliation),
-            lambda: self.write_csv("input_audit", self.input_audit),
-        )
+    def steps(self, count_malformed_log: bool) -> dict[str, tuple[list[str], Callable[[], object]]]:
+        """Every step with those it needs. Steps keep their errors to themselves, but for the two inputs.
+
+        Tables are written as built, and not as re-read: re-read partition columns have '' turned into NULL.
+        """
+        built: dict[str, Built] = {}
+        table = self.tables
+
+        def prepare(name: str, build: Built) -> Callable[[], None]:
+            return lambda: built.update({name: self.prepare(name, build)})
+
+        def report(name: str, build: Built, header: bool = True) -> Callable[[], None]:
+            return lambda: self.write_csv(name, build, header)
+
+        def read_songs() -> None:
+            staged, seen = stage_songs(self.spark, self.input_base, f"{self.work}/metadata")
+            self.took(seen, "song_rows")
+            built["metadata"] = lambda: staged
+
+        def read_plays() -> None:
+            staged, seen = stage_plays(self.spark, self.input_base, f"{self.work}/plays", count_malformed_log)
+            self.took(seen, "plays")
+            built["plays"] = lambda: staged
+
+        def song_plays() -> DataFrame:
+            return fact.with_row_id(fact.build_fact(built["plays"](), built["matches"](), ["play_no"], built["pairs"]()))
+
+        counted, songs = lambda: built["report_counts"](), lambda: built["songs_built"]()
+        tables = ["artists", "users", "song_plays", "songs", "time"]
+        return {
+            "metadata": ([], read_songs),
+            "plays": ([], read_plays),
+            "songs_built": (["metadata"], prepare("songs_built", lambda: dims.songs_dim(built["metadata"]()))),
+            "pairs": (["plays"], prepare("pairs", lambda: fact.count_pairs(fact.valid_plays(built["plays"]())))),
+            "time_built": (["plays"], prepare("time_built", lambda: dims.time_dim(built["plays"]()))),
+            "artists": (["metadata"], lambda: self.write_table("artists", lambda: dims.artists_dim(built["metadata"]()))),
+            "users": (["plays"], lambda: self.write_table("users", lambda: dims.users_dim(built["plays"]()))),
+            "matches": (["songs_built", "pairs", "artists"], prepare(
+                "matches", lambda: fact.match_pairs(built["pairs"](), songs(), table["artists"]()))),
+            "song_plays": (["matches", "pairs"], lambda: self.write_table("song_plays", song_plays)),
+            "songs": (["songs_built"], lambda: self.write_table("songs", songs)),
+            "time": (["time_built"], lambda: self.write_table("time", built["time_built"])),
+            # From plays per (artist, song), which follow from the matches without the fact.
+            "report_counts": (["matches"], prepare("report_counts", lambda: reports.song_plays_of_matches(built["matches"]()))),
+            "top_songs": (["report_counts"], report(
+                "top_songs", lambda: reports.top_songs(counted(), songs(), table["artists"]()))),
+            "top_artists": (["report_counts"], report(
+                "top_artists", lambda: reports.top_artists(counted(), songs(), table["artists"]()))),
+            "top_artists_by_plays": (["report_counts"], report(
+                "top_artists_by_plays", lambda: reports.top_artists_by_plays(counted(), table["artists"]()))),
+            RATIO_FOLDER: (["users"], report(RATIO_FOLDER, lambda: reports.free_paid_ratio(table["users"]()))),
+            COUNTS_FOLDER: (tables, report(COUNTS_FOLDER, self.recorded_counts, header=False)),
+            "reconciliation": (tables, report("reconciliation", self.reconciliation)),
+            "input_audit": (["metadata", "plays"], report("input_audit", self.input_audit)),
+        }
 
-    def write_reports(self, matches: Built, songs: Built) -> None:
-        """From plays per (artist, song), which follow from the matches without the fact."""
-        counted = self.prepare("report_counts", lambda: reports.song_plays_of_matches(matches()))
-        artists = self.tables["artists"]
-        together(
-            self.spark,
-            lambda: self.write_csv("top_songs", lambda: reports.top_songs(counted(), songs(), artists())),
-            lambda: self.write_csv("top_artists", lambda: reports.top_artists(counted(), songs(), artists())),
-            lambda: self.write_csv(
-                "top_artists_by_plays", lambda: reports.top_artists_by_plays(counted(), artists())
-            ),
-        )
+    def took(self, seen: dict[str, int], rows: str) -> None:
+        """Note what an input holds, and make shuffles wide enough for the rows of both."""
+        with self.noting:
+            self.result.inputs.update(seen)
+            self.rows += seen[rows]
+            widen(self.spark, self.rows)
 
     def recorded_counts(self) -> DataFrame:
         """Counts taken while the tables were written; a table that failed is counted as planned, if it can be."""

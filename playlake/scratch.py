@@ -27,6 +27,23 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def file_states(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """Name, size and time of change of each file below the given ones."""
+    found = []
+    for path in paths:
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+        while files.hasNext():
+            file = files.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return sorted(found)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder made by `scratch_dir`."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

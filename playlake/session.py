@@ -1,25 +1,31 @@
-"""Session for running the job from the command line."""
-
-from collections.abc import Iterator
-from contextlib import contextmanager
+"""Sessions: of a job's own, beside the caller's, and for the command line."""
 
 from pyspark.sql import SparkSession
 
 TIME_ZONE = "spark.sql.session.timeZone"
 
 
-@contextmanager
-def in_utc(spark: SparkSession) -> Iterator[None]:
-    """Plans and jobs made inside use UTC; the zone of the caller's session is set back after that.
+def child_session(spark: SparkSession, **settings: object) -> SparkSession:
+    """A session beside `spark`, with its settings, catalogue and database, in which settings can be changed.
 
-    Expressions take their zone when they are resolved, so a frame made inside keeps UTC.
+    Jobs that change settings do so in a session of their own, so two of them can run side by side and neither touches the
+    caller's. Temporary views are not shared.
     """
-    before = spark.conf.get(TIME_ZONE)
-    spark.conf.set(TIME_ZONE, "UTC")
-    try:
-        yield
-    finally:
-        spark.conf.set(TIME_ZONE, before)
+    child = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            child.conf.set(name, value)
+    for name, value in settings.items():
+        child.conf.set(name, value)
+    database = spark.catalog.currentDatabase()
+    if database != child.catalog.currentDatabase():
+        child.catalog.setCurrentDatabase(database)
+    return child
+
+
+def utc_session(spark: SparkSession) -> SparkSession:
+    """A child session whose calendar columns are in UTC, whatever the caller's zone is."""
+    return child_session(spark, **{TIME_ZONE: "UTC"})
 
 
 def build_session(app_name: str = "playlake") -> SparkSession:

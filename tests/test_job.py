@@ -1,12 +1,15 @@
 """The whole job on a small JSON tree."""
 
+from threading import Event
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import play, song
+from conftest import Inputs, play, song
 from playlake import parallel, sinks
 from playlake.catalog import drop_tables, register_tables
 from playlake.plans import job
+from playlake.session import child_session
 from playlake.sources.schemas import PARTITION_COLUMNS, TABLE_SCHEMAS
 
 TABLES = ["songs", "artists", "users", "time", "song_plays"]
@@ -260,13 +263,72 @@ def test_fact_rows_equal_the_sum_of_matches(spark, inputs, tmp_path):
     assert fact.agg(F.count(F.lit(1)), F.count_distinct("songplay_id")).first() == (expected, expected)
 
 
-def test_shuffles_follow_the_rows_and_are_set_back(spark):
+def test_shuffles_follow_the_rows(spark):
     name = parallel.SHUFFLE_PARTITIONS
-    before = spark.conf.get(name)
-    with parallel.wide_shuffles(spark, 50_000_000):
-        assert spark.conf.get(name) == "25"
+    before, child = spark.conf.get(name), child_session(spark)
+    for rows, expected in ((10, before), (50_000_000, "25"), (10, "25"), (10**12, "500000")):
+        parallel.widen(child, rows)
+        assert child.conf.get(name) == expected
     assert spark.conf.get(name) == before
-    with parallel.wide_shuffles(spark, 10**12):
-        assert spark.conf.get(name) == "500000"
-    with parallel.wide_shuffles(spark, 10):
-        assert spark.conf.get(name) == before
+
+
+def test_two_jobs_side_by_side(spark, tmp_path):
+    """With different zones and widths in the sessions they are called from, which stay as they are."""
+    callers, outs = [], []
+    for zone, width in (("America/Los_Angeles", "3"), ("Asia/Tokyo", "5")):
+        settings = {"spark.sql.session.timeZone": zone, parallel.SHUFFLE_PARTITIONS: width}
+        callers.append(child_session(spark, **settings))
+        given = Inputs(tmp_path / f"in{width}")
+        given.songs(song()).log(play(), play(ts=1541548799999, user="2"))
+        outs.append((str(given), f"{tmp_path}/out{width}"))
+    seen, stage = [], job.stage
+
+    def noted(df, path):
+        conf = df.sparkSession.conf
+        seen.append((conf.get("spark.sql.session.timeZone"), conf.get(parallel.SHUFFLE_PARTITIONS)))
+        return stage(df, path)
+
+    job.stage = noted
+    try:
+        parallel.together(spark, *[lambda c=c, o=o: job.run(c, *o) for c, o in zip(callers, outs)])
+    finally:
+        job.stage = stage
+    assert {s[0] for s in seen} == {"UTC"} and {s[1] for s in seen} == {"3", "5"}
+    for caller, (zone, width) in zip(callers, (("America/Los_Angeles", "3"), ("Asia/Tokyo", "5"))):
+        assert caller.conf.get("spark.sql.session.timeZone") == zone and caller.conf.get(parallel.SHUFFLE_PARTITIONS) == width
+    times = [sorted(map(tuple, read(spark, out, "time").collect())) for _, out in outs]
+    assert times[0] == times[1] and len(times[0]) == 2
+
+
+def test_a_slow_write_holds_back_only_what_needs_it(spark, inputs, tmp_path, monkeypatch):
+    written, write = Event(), sinks.write_table
+
+    def slow(df, path, *more):
+        if path.endswith("/users"):
+            assert written.wait(120), "song_plays waits for users"
+        rows = write(df, path, *more)
+        if path.endswith("/song_plays"):
+            written.set()
+        return rows
+
+    monkeypatch.setattr(sinks, "write_table", slow)
+    result = job.run(spark, str(fill(inputs)), f"{tmp_path}/out")
+    assert not result.failed and result.outcomes["users"].rows == 3
+
+
+def test_steps_start_when_their_inputs_exist(spark):
+    done = []
+    steps = {"c": (["a", "b"], lambda: done.append("c")), "a": ([], lambda: done.append("a")), "b": (["a"], lambda: done.append("b"))}
+    parallel.in_order(spark, steps)
+    assert done == ["a", "b", "c"]
+
+    def fail():
+        raise OSError("no")
+
+    with pytest.raises(OSError, match="no"):
+        parallel.in_order(spark, {"a": ([], fail), "b": (["a"], lambda: done.append("never")), "c": ([], lambda: done.append("d"))})
+    assert done == ["a", "b", "c", "d"]
+    for steps in ({"a": (["b"], fail), "b": (["a"], fail)}, {"a": (["x"], fail)}):
+        with pytest.raises(ValueError, match="a"):
+            parallel.in_order(spark, steps)
+    assert parallel.in_order(spark, {}) == {}

@@ -1,11 +1,16 @@
+import shutil
+
+import duckdb
 import pytest
 from oracle import connect, rows_of_frame, rows_of_sql
 
 import __spark_entry__ as spark_entry
 from conftest import SF_DIR
 from playlake.operators import skew
+from playlake.plans import queries
 from playlake.plans.oracles import ORACLES
 from playlake.plans.queries import QUERIES
+from playlake.scratch import discard
 
 
 @pytest.fixture(scope="module")
@@ -51,5 +56,22 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", ["fact_plays", "fact_fanout", "top_songs", "etl_song_plays"])
 def test_query_equals_oracle_with_every_key_split(spark, duck, monkeypatch, name):
     monkeypatch.setattr(skew, "CELL", 2)
+    monkeypatch.setattr(queries, "_RUNS", {})
     _, rows = rows_of_frame(QUERIES[name](spark, SF_DIR))
     assert rows == rows_of_sql(duck, ORACLES[name])[1]
+
+
+def test_one_run_of_the_job_serves_all_queries_until_the_input_changes(spark, tmp_path, monkeypatch):
+    for name in ("orders", "customer", "nation"):
+        shutil.copy(f"{SF_DIR}/{name}.parquet", tmp_path / f"{name}.parquet")
+    runs, run = [], queries.job.run
+    monkeypatch.setattr(queries.job, "run", lambda *a: runs.append(a) or run(*a))
+    plays = QUERIES["etl_song_plays"](spark, str(tmp_path)).count()
+    QUERIES["etl_users"](spark, str(tmp_path)), QUERIES["etl_counts"](spark, str(tmp_path))
+    assert len(runs) == 1
+    duckdb.sql(f"COPY (FROM read_parquet('{SF_DIR}/orders.parquet') LIMIT 700) TO '{tmp_path}/orders.parquet'")
+    assert 0 < QUERIES["etl_song_plays"](spark, str(tmp_path)).count() < plays
+    assert len(runs) == 2
+    discard(spark, runs[1][2])
+    QUERIES["etl_users"](spark, str(tmp_path))
+    assert len(runs) == 3
