@@ -4,15 +4,17 @@ There is one restaurant for each word that others follow, one for the start of a
 parent of them all, over a uniform distribution of the known words and one unknown. The context of a word is
 the word before it. Customers are the training tokens; every table of a context sends a customer to the parent.
 
-A sweep reseats the customers of every pair of context and word, and of every word in the parent, given all
-else as the last sweep left it. So a sweep is two joins of the pairs that occur more than once to the totals of their
-context and of their word, and one pass, in parallel. A pair that occurs once has one table always. Predictive
-probabilities are averaged over several sweeps.
+A sweep draws the tables of every pair of context and word, and of every word in the parent, given all
+else as the last sweep left it. The number of tables is drawn at once from its distribution given the customers: the ways to seat
+them at so many tables, a generalised Stirling number, times the chance of so many new tables. So a sweep is two joins of the
+pairs that occur more than once to the totals of their context and of their word, and one pass, in parallel. A pair that occurs
+once has one table always. Predictive probabilities are averaged over several sweeps.
 
 Documents go through in blocks. A block counts and asks for its distinct pairs and words once, so what is
 shuffled are pairs per block and not tokens. Contexts and words with many pairs are broadcast, by `attach`.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -28,14 +30,17 @@ from pyspark.sql import functions as F
 from playlake.llm.tables import attach, id_and_bytes
 from playlake.scratch import discard, scratch_dir, stage
 
-# Width of the dense form of `predictive`; the model itself has as many contexts as the corpus.
-CONTEXTS = 12
 BURN_IN = 2
 SAMPLES = 3
 STRENGTH = 1.0
-# Customers up to this one are seated one by one; later ones in groups of a 16th of those before them, for
-# which the chance of a new table is held fixed.
-ONE_BY_ONE = 64
+# Numbers of ways to seat customers are tabled up to so many customers: up to the first number all rows are kept, further on
+# only some, from which those between follow. Beyond, rows follow from the last one by scaling. Rows asked for are kept for a while.
+EVERY_ROW, EVERY, TABLED = 512, 64, 4096
+ASKED_ROWS = 2000
+# Weights this far below the greatest, as logarithms, are left out of a draw.
+NEGLIGIBLE = 50.0
+# Weights that are worked out at a time.
+CELLS = 1 << 21
 BLOCK_TOKENS = 6_000_000
 # Stands for the end of a text; no word holds a line feed.
 END = b"\n"
@@ -85,52 +90,105 @@ class Parent:
         return (STRENGTH + self.discount * tables) / (STRENGTH + customers)
 
 
-@dataclass
-class Totals:
-    """Numbers of a model small enough for one table of all contexts: customers and tables per context."""
-
-    customers: np.ndarray
-    tables: np.ndarray
-    root_tables: int
-    types: int
-    discount: float
-    root_discount: float
-
-    @property
-    def parent(self) -> Parent:
-        return Parent(int(self.tables.sum()), self.root_tables, self.types, self.discount, self.root_discount)
+def is_held_out(doc: int | None) -> bool:
+    return crc32(b"" if doc is None else str(doc).encode()) % 10 == 0
 
-    def new_root(self) -> float:
-        return self.parent.new_root()
 
-    def backing(self) -> np.ndarray:
-        return self.parent.backing(self.customers, self.tables)
+class Seatings:
+    """Logarithms of the ways to seat customers at tables, weighed by a discount: generalised Stirling numbers.
 
+    With one more customer, c + 1 at t tables: those of c at t - 1, and c - discount * t times those of c at t. That
+    many ways, over the factorial of t - 1 and discount^(t - 1), depend on t over c^discount alone as c grows, but for
+    the factorial of c - 1; so rows beyond TABLED customers follow from the last one, up to a share of about
+    c^-discount.
+    """
 
-def is_held_out(doc: int | None) -> bool:
-    return crc32(b"" if doc is None else str(doc).encode()) % 10 == 0
+    def __init__(self, discount: float):
+        self.discount = discount
+        self.kept = {1: np.zeros(1)}
+        row = self.kept[1]
+        for c in range(2, TABLED + 1):
+            row = self._next(row)
+            if c <= EVERY_ROW or c % EVERY == 0:
+                self.kept[c] = row
+        self.asked: dict[int, np.ndarray] = {}
+
+    def _next(self, row: np.ndarray) -> np.ndarray:
+        c = len(row)
+        t = np.arange(1, c + 1)
+        return np.logaddexp(np.r_[-np.inf, row], np.r_[row + np.log(c - self.discount * t), -np.inf])
+
+    def row(self, c: int) -> np.ndarray:
+        """For t = 1 to c tables, if c is tabled; else up to the tables that the last row tells of."""
+        known = self.kept.get(c, self.asked.get(c))
+        if known is not None:
+            return known
+        if c > TABLED:
+            row = self._scaled(c)
+        else:
+            row = self.kept[max(EVERY_ROW, c // EVERY * EVERY)]
+            while len(row) < c:
+                row = self._next(row)
+        if len(self.asked) >= ASKED_ROWS:
+            self.asked.clear()
+        self.asked[c] = row
+        return row
+
+    def _scaled(self, c: int) -> np.ndarray:
+        row = self.kept[TABLED]
+        t = np.arange(1, TABLED + 1)
+        # What depends on t over c^discount alone.
+        shape = row + _log_factorials(t) + t * math.log(self.discount) - math.lgamma(TABLED)
+        most = int(TABLED * 0.9 * (c / TABLED) ** self.discount)
+        t_here = np.arange(1, min(c, most) + 1)
+        place, places = np.log(t_here / c**self.discount), np.log(t / TABLED**self.discount)
+        # Below the first place it is in proportion to t.
+        scaled = np.interp(place, places, shape) + np.minimum(place - places[0], 0)
+        return scaled - _log_factorials(t_here) - t_here * math.log(self.discount) + math.lgamma(c)
+
+
+def _log_factorials(t: np.ndarray) -> np.ndarray:
+    """Of t = 1, 2 and so on."""
+    return np.cumsum(np.log(t))
+
+
+SEATINGS: dict[float, Seatings] = {}
+
+
+def log_weights(c: int, others: np.ndarray, parent: np.ndarray, discount: float, most: int | None = None) -> np.ndarray:
+    """Logarithms of the weights of 1, 2, ... tables for `c` customers of a word, a row for each restaurant.
+
+    `others` are the tables of other words there and `parent` the parent's probabilities of the word.
+    """
+    if discount not in SEATINGS:
+        SEATINGS[discount] = Seatings(discount)
+    ways = SEATINGS[discount].row(c)[:most]
+    t = np.arange(len(ways))
+    fresh = np.cumsum(np.log(STRENGTH + discount * (others[:, None] + t)), axis=1)
+    return ways + fresh + (t + 1) * np.log(parent)[:, None]
 
 
-def seat(
+def draw_tables(
     customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, draw: np.random.Generator
 ) -> np.ndarray:
-    """Tables that `customers` of one word take, one after the other, in restaurants with `others` tables."""
-    order = np.argsort(-customers, kind="stable")
-    c, other, p = customers[order], others[order], parent[order]
-    tables = (c > 0).astype(np.int64)
-    seated = 1
-    while len(c) and c[0] > seated:
-        n = int(np.searchsorted(-c, -seated, side="left"))  # rows with customers left
-        group = 1 if seated < ONE_BY_ONE else seated // 16
-        now = np.minimum(c[:n] - seated, group)
-        t = tables[:n]
-        fresh = (STRENGTH + discount * (other[:n] + t)) * p[:n]
-        chance = fresh / (fresh + seated + (now - 1) / 2 - discount * t)
-        tables[:n] += draw.random(n) < chance if group == 1 else draw.binomial(now, chance)
-        seated += group
-    out = np.empty_like(tables)
-    out[order] = tables
-    return out
+    """Tables that `customers` of one word have in restaurants with `others` tables, drawn given all else."""
+    tables = (customers > 0).astype(np.int64)
+    for c in np.unique(customers[customers > 1]).tolist():
+        rows = np.flatnonzero(customers == c)
+        most = min(c, 256)
+        step = max(1, CELLS // c)
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            while True:
+                weights = log_weights(c, others[some], parent[some], discount, most)
+                greatest = weights.max(axis=1)
+                # The weights rise to one peak and fall; more are needed until all have fallen.
+                if weights.shape[1] < most or most >= c or (weights[:, -1] < greatest - NEGLIGIBLE).all():
+                    break
+                most = min(c, 4 * most)
+            upto = np.cumsum(np.exp(weights - greatest[:, None]), axis=1)
+            tables[some] = 1 + (upto < (draw.random(len(some)) * upto[:, -1])[:, None]).sum(axis=1)
+    return tables
 
 
 def score_documents(
@@ -402,7 +460,7 @@ def _as_lists(values: np.ndarray) -> pa.ListArray:
 
 
 def _sweep(parent: Parent, sweep: int, keep: bool):
-    """Reseats the customers of pairs."""
+    """Draws the tables of pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,7 +472,7 @@ def _sweep(parent: Parent, sweep: int, keep: bool):
             context_t, word_c, word_t = _numbers(batch, "context_t", "word_c", "word_t")
             # The parent as the other contexts leave it.
             others = word_c - t
-            t = seat(c, context_t - t, parent.root(others, np.minimum(word_t, others)), parent.discount, draw)
+            t = draw_tables(c, context_t - t, parent.root(others, np.minimum(word_t, others)), parent.discount, draw)
             new = {"t": pa.array(t, pa.int64()), "sum_t": pa.array(sum_t + t if keep else sum_t, pa.int64())}
             yield _replaced(batch, ["context", "word", "c", "t", "sum_t"], new)
 
@@ -422,7 +480,7 @@ def _sweep(parent: Parent, sweep: int, keep: bool):
 
 
 def _sweep_parent(parent: Parent, sweep: int, keep: bool):
-    """Reseats the customers of words in the parent."""
+    """Draws the tables of words in the parent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -432,7 +490,7 @@ def _sweep_parent(parent: Parent, sweep: int, keep: bool):
             draw = np.random.default_rng([sweep, n, crc32(batch.column("word")[0].as_py())])
             customers, t = _numbers(batch, "customers", "t")
             base = np.full(n, 1 / (parent.types + 1))
-            t = seat(customers, parent.tables - t, base, parent.root_discount, draw)
+            t = draw_tables(customers, parent.tables - t, base, parent.root_discount, draw)
             new = {"t": pa.array(t, pa.int64())}
             if keep:
                 for name, values in (("customers_of", customers), ("t_of", t)):
@@ -445,12 +503,24 @@ def _sweep_parent(parent: Parent, sweep: int, keep: bool):
 
 
 def predictive(
-    c: np.ndarray, sum_t: np.ndarray, root_c: np.ndarray, root_t: np.ndarray, sampled: list[Totals]
-) -> tuple[np.ndarray, np.ndarray]:
-    """Averages over the samples: each context's own part of each word, and the parent's probability of it."""
-    own = sampled[0].parent.own(c, sum_t / len(sampled), sampled[0].customers)
-    root = np.mean([t.parent.root(root_c[:, i], root_t[:, i]) for i, t in enumerate(sampled)], axis=0)
-    return own, root
+    sampled: list[Parent],
+    context: np.ndarray,
+    word: np.ndarray,
+    c: np.ndarray,
+    sum_t: np.ndarray,
+    customers: np.ndarray,
+    context_t: np.ndarray,
+    root_c: np.ndarray,
+    root_t: np.ndarray,
+) -> np.ndarray:
+    """Probabilities of pairs of context and word: the average over samples of each one's own part and what it has from the parent.
+
+    `c` and `sum_t` are of the pairs, `customers` of contexts; the others are of contexts or words, a row per sample.
+    """
+    chance = np.zeros(len(context))
+    for i, parent in enumerate(sampled):
+        chance += parent.backing(customers, context_t[i])[context] * parent.root(root_c[i], root_t[i])[word]
+    return chance / len(sampled) + sampled[0].own(c, sum_t / len(sampled), customers[context])
 
 
 def _score(sampled: list[Parent], train_tokens: int):
@@ -476,13 +546,7 @@ def _score(sampled: list[Parent], train_tokens: int):
             for name, into in lists.items():
                 values = pc.list_flatten(known.column(name)).to_numpy().reshape(-1, samples)
                 into[:, place] = values.T
-        context, word = block.contexts, block.followers
-        # The average over the samples of each one's own part and what it has from the parent.
-        chance = np.zeros(len(context))
-        for i, parent in enumerate(sampled):
-            from_parent = parent.backing(customers, context_t[i])[context] * parent.root(root_c[i], root_t[i])[word]
-            chance += from_parent / samples
-        chance += sampled[0].own(c, sum_t / samples, customers[context])
+        chance = predictive(sampled, block.contexts, block.followers, c, sum_t, customers, context_t, root_c, root_t)
         logs = np.log10(chance)[block.pair]
         tokens = block.tokens
         base = np.log10((n + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))[tokens]

@@ -4,9 +4,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import zstandard
 
-from playlake.llm.pitman_yor import END, CONTEXTS, Parent, Totals, _score, is_held_out, predictive, score_documents, seat, squeeze, unsqueeze
+from playlake.llm import pitman_yor
+from playlake.llm.pitman_yor import (
+    END, Parent, Seatings, _score, draw_tables, is_held_out, log_weights, predictive, score_documents, squeeze, unsqueeze,
+)
 
 SCHEMA = "doc_id BIGINT, text STRING"
 
@@ -51,32 +55,95 @@ def test_without_training_rows_and_empty(spark):
 
 
 def test_probabilities_sum_to_one():
+    """Of all known words and the unknown one, after each context, an unknown one too."""
     rng = np.random.default_rng(1)
-    c = rng.integers(0, 9, (40, CONTEXTS))
-    c[0] = 1
-    t = np.minimum(c, rng.integers(1, 4, c.shape))
-    root_t = np.minimum(t.sum(axis=1), 2)
-    known = c.sum(axis=1) > 0
-    totals = Totals(c.sum(axis=0), t.sum(axis=0), int(root_t.sum()), int(known.sum()), 0.7, 0.6)
-    own, root = predictive(c, t * 2, np.stack([t.sum(axis=1)] * 2, axis=1), np.stack([root_t] * 2, axis=1), [totals, totals])
-    every = (own + root[:, None] * totals.backing())[known].sum(axis=0) + totals.new_root() * totals.backing()
-    assert np.allclose(every, 1)
-
-
-def test_seating_follows_the_restaurant():
+    words, contexts, samples = 40, 12, 3
+    c = rng.integers(0, 9, (contexts, words))
+    c[:, 0] = 1
+    t = np.stack([np.minimum(c, rng.integers(1, 4, c.shape)) for _ in range(samples)])
+    root_c = np.c_[t.sum(axis=1), np.zeros(samples, int)]
+    root_t = np.minimum(root_c, 2)
+    sampled = [Parent(int(n.sum()), int(m.sum()), words, 0.7, 0.6) for n, m in zip(root_c, root_t)]
+    customers, context_t = np.r_[c.sum(axis=1), 0], np.c_[t.sum(axis=2), np.zeros(samples, int)]
+    context, word = (x.ravel() for x in np.indices((contexts + 1, words + 1)))
+    padded = np.pad(c, ((0, 1), (0, 1))).ravel()
+    sum_t = np.pad(t.sum(axis=0), ((0, 1), (0, 1))).ravel()
+    chance = predictive(sampled, context, word, padded, sum_t, customers, context_t, root_c, root_t)
+    assert np.allclose(chance.reshape(contexts + 1, words + 1).sum(axis=1), 1)
+
+
+def partitions(customers):
+    """All ways to seat customers, as the sizes of the tables, with how often each comes."""
+    seatings = {(): 1}
+    for _ in range(customers):
+        more = Counter()
+        for sizes, n in seatings.items():
+            more[tuple(sorted((*sizes, 1)))] += n
+            for i in range(len(sizes)):
+                more[tuple(sorted((*sizes[:i], sizes[i] + 1, *sizes[i + 1 :])))] += n
+        seatings = more
+    return seatings
+
+
+def posterior(c, others, parent, discount):
+    """Chances of the numbers of tables by enumeration of all seatings, each with its own probability."""
+    weight = Counter()
+    for sizes, n in partitions(c).items():
+        of_tables = math.prod((1 + discount * (others + i)) * parent for i in range(len(sizes)))
+        of_seats = math.prod(k - discount for size in sizes for k in range(1, size))
+        weight[len(sizes)] += n * of_tables * of_seats
+    return np.array([weight[t] for t in range(1, c + 1)]) / sum(weight.values())
+
+
+@pytest.mark.parametrize("discount", [0.05, 0.5, 0.8, 0.95])
+@pytest.mark.parametrize("others, parent", [(0, 0.5), (20, 0.01), (1000, 0.001), (50, 0.9)])
+def test_tables_are_drawn_given_all_customers(discount, others, parent):
     draw = np.random.default_rng(2)
-    c = np.full(4000, 30)
-    tables = seat(c, np.full(4000, 50), np.full(4000, 0.1), 0.5, draw)
-    one_by_one = []
-    for _ in range(4000):
-        t = 1
-        for i in range(1, 30):
-            fresh = (1 + 0.5 * (50 + t)) * 0.1
-            t += draw.random() < fresh / (fresh + i - 0.5 * t)
-        one_by_one.append(t)
-    assert abs(tables.mean() - np.mean(one_by_one)) < 0.15
-    many = seat(np.array([0, 1, 2, 10_000_000]), np.array([0, 0, 0, 5]), np.full(4, 0.01), 0.5, draw)
-    assert many[0] == 0 and many[1] == 1 and 1 <= many[2] <= 2 and 1 <= many[3] < 10_000_000
+    for c in range(2, 9):
+        expected = posterior(c, others, parent, discount)
+        weights = log_weights(c, np.array([others]), np.array([parent]), discount)[0]
+        assert np.exp(weights - weights.max()) / np.exp(weights - weights.max()).sum() == pytest.approx(expected, rel=1e-9)
+        n = 20_000
+        tables = draw_tables(np.full(n, c), np.full(n, others), np.full(n, parent), discount, draw)
+        mean, spread = (expected * np.arange(1, c + 1)).sum(), tables.std() / math.sqrt(n)
+        assert abs(tables.mean() - mean) < 5 * spread + 1e-3
+
+
+def test_a_sampler_that_moves_one_customer_at_a_time_agrees():
+    """Fifty customers, moved one by one given all others for many rounds."""
+    draw, c, others, parent, discount = np.random.default_rng(3), 50, 1000, 0.001, 0.8
+    sizes, seen = [1] * c, []
+    for step in range(120_000):
+        at = draw.choice(len(sizes), p=np.array(sizes) / c)
+        sizes[at] -= 1
+        if not sizes[at]:
+            del sizes[at]
+        weights = [s - discount for s in sizes] + [(1 + discount * (others + len(sizes))) * parent]
+        at = draw.choice(len(weights), p=np.array(weights) / sum(weights))
+        sizes = sizes + [1] if at == len(sizes) else [s + (i == at) for i, s in enumerate(sizes)]
+        if step > 2000:
+            seen.append(len(sizes))
+    tables = draw_tables(np.full(20_000, c), np.full(20_000, others), np.full(20_000, parent), discount, draw)
+    assert abs(tables.mean() - np.mean(seen)) < 0.1
+
+
+@pytest.mark.parametrize("discount", [0.5, 0.8])
+def test_rows_beyond_the_table_follow_by_scaling(monkeypatch, discount):
+    exact = Seatings(discount).row(3000)
+    monkeypatch.setattr(pitman_yor, "TABLED", 1536)
+    scaled = Seatings(discount).row(3000)
+    t = np.arange(len(scaled))
+    for rate in (0.01, 1.0, 5.0):
+        both = [np.exp(w - w.max()) / np.exp(w - w.max()).sum() for w in (r[: len(t)] + t * np.log(rate) for r in (exact, scaled))]
+        means = [(p * (t + 1)).sum() for p in both]
+        assert abs(means[0] - means[1]) < 0.03 * means[0]
+
+
+def test_few_and_very_many_customers():
+    draw = np.random.default_rng(4)
+    c = np.array([0, 1, 2, 5000, 10_000_000])
+    many = draw_tables(c, np.array([0, 0, 0, 5, 9]), np.full(5, 0.01), 0.5, draw)
+    assert many[0] == 0 and many[1] == 1 and 1 <= many[2] <= 2 and all(1 <= t < n for t, n in zip(many[3:], c[3:]))
 
 
 def test_squeeze():
