@@ -5,6 +5,7 @@ Each raw input is scanned once. Everything after that reads staged or written Pa
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,6 +31,9 @@ PLAY_COLUMNS = [
 ]
 
 
+# What the reconciliation compares.
+SUMS_SCHEMA = "label STRING, n BIGINT, checksum DECIMAL(38,0)"
+
 # A table that is built when it is asked for.
 Built = Callable[[], DataFrame]
 
@@ -41,6 +45,7 @@ class Outcome:
     output: str
     path: str
     rows: int | None = None
+    checksum: Decimal | None = None
     error: str | None = None
 
 
@@ -199,18 +204,22 @@ class _Run:
             self.rows += seen[rows]
             widen(self.spark, self.rows)
 
-    def recorded_counts(self) -> DataFrame:
-        """Counts taken while the tables were written; a table that failed is counted as planned, if it can be."""
+    def recorded(self) -> DataFrame:
+        """Counts and checksums taken while the tables were written; a table that failed is counted as planned, if it can be."""
         rows = []
         for table, label in audit.LABELS.items():
-            written = self.result.outcomes[table].rows
+            outcome = self.result.outcomes[table]
+            written = outcome.rows
             if written is None:
                 try:
                     written = self.tables[table]().count()
                 except Exception:  # its own outcome says why
                     continue
-            rows.append((label, written))
-        return self.spark.createDataFrame(rows, "label STRING, n BIGINT").coalesce(1)
+            rows.append((label, written, outcome.checksum))
+        return self.spark.createDataFrame(rows, SUMS_SCHEMA).coalesce(1)
+
+    def recorded_counts(self) -> DataFrame:
+        return self.recorded().select("label", "n")
 
     def reconciliation(self) -> DataFrame:
         written = {
@@ -218,12 +227,8 @@ class _Run:
             for table, schema in TABLE_SCHEMAS.items()
             if self.result.outcomes[table].error is None
         }
-        counts = (
-            audit.table_counts(written)
-            if written
-            else self.spark.createDataFrame([], "label STRING, n BIGINT")
-        )
-        return audit.reconcile_counts(self.recorded_counts(), counts).orderBy("label")
+        sums = audit.table_sums(written, PARTITION_COLUMNS) if written else self.spark.createDataFrame([], SUMS_SCHEMA)
+        return audit.reconcile_counts(self.recorded(), sums).orderBy("label")
 
     def input_audit(self) -> DataFrame:
         rows = list(self.result.inputs.items())
@@ -247,7 +252,7 @@ class _Run:
         path = f"{self.output_base}/{table}"
         columns = PARTITION_COLUMNS.get(table)
 
-        def write() -> int:
+        def write() -> sinks.Written:
             if columns:
                 return sinks.write_partitioned(build(), path, columns)
             return sinks.write_table(build(), path)
@@ -260,10 +265,11 @@ class _Run:
         path = f"{self.output_base}/{output}"
         self.attempt(output, path, lambda: sinks.write_csv(build(), path, header))
 
-    def attempt(self, output: str, path: str, write: Callable[[], int]) -> bool:
+    def attempt(self, output: str, path: str, write: Callable[[], sinks.Written]) -> bool:
         outcome = self.result.outcomes[output] = Outcome(output, path)
         try:
-            outcome.rows = write()
+            written = write()
+            outcome.rows, outcome.checksum = written.rows, written.checksum
         except Exception as error:  # reported at the end of the run
             outcome.error = _first_line(error)
         return outcome.error is None

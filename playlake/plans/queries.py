@@ -185,21 +185,21 @@ def catalog_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     recorded, _, folders = _write_linear_tables(spark, sf_dir)
-    rows = [(audit.LABELS[table], n) for table, n in recorded.items()]
+    rows = [(audit.LABELS[table], written.rows, written.checksum) for table, written in recorded.items()]
     written = {t: spark.read.schema(TABLE_SCHEMAS[t]).parquet(path) for t, path in folders.items()}
     return audit.reconcile_counts(
-        spark.createDataFrame(rows, "label STRING, n BIGINT"), audit.table_counts(written)
+        spark.createDataFrame(rows, job.SUMS_SCHEMA), audit.table_sums(written, PARTITION_COLUMNS)
     )
 
 
 def _write_linear_tables(
     spark: SparkSession, sf_dir: str
-) -> tuple[dict[str, int], str, dict[str, str]]:
-    """Rows written per table, the work folder, and the tables' folders."""
+) -> tuple[dict[str, sinks.Written], str, dict[str, str]]:
+    """What was written of each table, the work folder, and the tables' folders."""
     star = s.LinearStar(spark, sf_dir)
     folders = {table: f"{star.work}/out/{table}" for table in audit.LABELS}
 
-    def write(table: str) -> int:
+    def write(table: str) -> sinks.Written:
         frame = star.tables[table]
         if table == "song_plays":
             frame = fact.with_row_id(frame)

@@ -1,8 +1,12 @@
-"""Parquet and CSV writers. Every writer replaces its target, when the new one is complete, and returns the rows it wrote."""
+"""Parquet and CSV writers. Every writer replaces its target, when the new one is complete, and tells what it wrote."""
+
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from playlake.operators.audit import checksum
 from playlake.publish import publish
 from playlake.scratch import discard, scratch_dir, stage
 
@@ -15,13 +19,20 @@ PIECES_PER_TASK = 8
 FOLDER_LIST = "_folders"
 
 
-def write_table(df: DataFrame, path: str) -> int:
+@dataclass(frozen=True)
+class Written:
+    rows: int
+    # Of the rows of a table, in any order.
+    checksum: Decimal | None = None
+
+
+def write_table(df: DataFrame, path: str) -> Written:
     df, written = _counted(df)
     publish(df.sparkSession, path, lambda aside: df.write.mode("overwrite").parquet(aside))
-    return written.get["rows"]
+    return Written(**written.get)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> int:
+def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> Written:
     """Write one folder per value of `columns`. `df` should be a stored table: it is read twice.
 
     The rows of each folder are counted first, and the list is kept with the table.
@@ -29,7 +40,7 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> int:
     spark = df.sparkSession
     work = scratch_dir(spark)
     folders = stage(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), work)
-    rows, written = _counted(deal(df, folders, columns))
+    rows, written = _counted(deal(df, folders, columns), columns)
 
     def write(aside: str) -> None:
         rows.write.mode("overwrite").partitionBy(*columns).parquet(aside)
@@ -37,7 +48,7 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> int:
 
     publish(spark, path, write)
     discard(spark, work)
-    return written.get["rows"]
+    return Written(**written.get)
 
 
 def deal(df: DataFrame, folders: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,13 +88,14 @@ def deal(df: DataFrame, folders: DataFrame, columns: list[str]) -> DataFrame:
     return rows.repartitionById(tasks, F.floor(place / ROWS_PER_TASK).cast("int")).select(*df.columns)
 
 
-def write_csv(df: DataFrame, path: str, header: bool) -> int:
+def write_csv(df: DataFrame, path: str, header: bool) -> Written:
     """Write a report as one CSV file, in the order of its rows."""
-    df, written = _counted(df.coalesce(1))
+    written = Observation()
+    df = df.coalesce(1).observe(written, F.count(F.lit(1)).alias("rows"))
     publish(df.sparkSession, path, lambda aside: df.write.mode("overwrite").option("header", header).csv(aside))
-    return written.get["rows"]
+    return Written(**written.get)
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+def _counted(df: DataFrame, partitions: list[str] | None = None) -> tuple[DataFrame, Observation]:
     written = Observation()
-    return df.observe(written, F.count(F.lit(1)).alias("rows")), written
+    return df.observe(written, F.count(F.lit(1)).alias("rows"), checksum(df.columns, partitions or [])), written

@@ -202,7 +202,7 @@ def test_a_large_folder_is_cut_and_rows_are_not_sampled(spark, tmp_path, monkeyp
     df = spark.range(2000).selectExpr(
         "IF(id < 1000, 'hot', CAST(id % 40 AS STRING)) AS folder", "IF(id % 9 = 0, NULL, 'b') AS other", "id"
     )
-    assert sinks.write_partitioned(df, f"{tmp_path}/out", ["folder", "other"]) == 2000
+    assert sinks.write_partitioned(df, f"{tmp_path}/out", ["folder", "other"]).rows == 2000
     written = spark.read.schema("id BIGINT, folder STRING, other STRING").parquet(f"{tmp_path}/out")
     assert sorted(map(tuple, written.select("folder", "other", "id").collect()), key=str) == sorted(
         map(tuple, df.collect()), key=str
@@ -238,6 +238,24 @@ def test_f16_one_failed_output_does_not_stop_the_others(spark, inputs, tmp_path,
     assert len(missing) == 1 and missing[0][2:] == (None, "mismatch")
 
 
+def test_a_value_that_changed_after_the_write_is_seen(spark, inputs, tmp_path, monkeypatch):
+    """One play is overwritten between the write and the reconciliation; the number of rows stays."""
+    write, out = sinks.write_table, f"{tmp_path}/out"
+
+    def tampered(df, path, *more):
+        told = write(df, path, *more)
+        if path.endswith("/users"):
+            rows = spark.read.parquet(path).withColumn("level", F.when(F.col("user_id") == "2", "paid").otherwise(F.col("level")))
+            spark.createDataFrame(rows.collect(), rows.schema).write.mode("overwrite").parquet(path)
+        return told
+
+    monkeypatch.setattr(sinks, "write_table", tampered)
+    job.run(spark, str(fill(inputs)), out)
+    rows = {row[0]: row[1:] for row in csv(spark, out, "reconciliation")}
+    assert [label for label, row in rows.items() if row[-1] != "ok"] == ["Users:"]
+    assert rows["Users:"][0] == rows["Users:"][1]
+
+
 def test_missing_input_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         job.run(spark, f"{tmp_path}/none", f"{tmp_path}/out")

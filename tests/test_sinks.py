@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from playlake import catalog, sinks
 from playlake.catalog import add_partitions, drop_tables, register_tables
+from playlake.operators import audit
+from playlake.plans.job import SUMS_SCHEMA
 from playlake.publish import publish, recover
 
 
@@ -36,7 +38,7 @@ def test_one_huge_folder_beside_small_ones(spark, monkeypatch):
 
 def test_nothing_to_deal(spark, tmp_path):
     df = spark.createDataFrame([], "folder STRING, id BIGINT")
-    assert sinks.write_partitioned(df, f"{tmp_path}/out", ["folder"]) == 0
+    assert sinks.write_partitioned(df, f"{tmp_path}/out", ["folder"]).rows == 0
     assert spark.read.schema(df.schema).parquet(f"{tmp_path}/out").count() == 0
 
 
@@ -53,12 +55,12 @@ def test_a_write_that_fails_leaves_the_last_output(spark, tmp_path, writer):
     good = spark.range(20).selectExpr("id", "id % 3 AS folder")
     bad = spark.range(20).selectExpr("IF(id = 17, raise_error('broken row'), id) AS id", "id % 3 AS folder")
     read = spark.read.option("header", True).csv if writer == "csv" else spark.read.parquet
-    assert WRITERS[writer](good, path) == 20
+    assert WRITERS[writer](good, path).rows == 20
     with pytest.raises(Exception, match="broken row"):
         WRITERS[writer](bad, path)
     assert {int(r["id"]) for r in read(path).collect()} == set(range(20))
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
-    assert WRITERS[writer](good.where("id < 5"), path) == 5
+    assert WRITERS[writer](good.where("id < 5"), path).rows == 5
     assert {int(r["id"]) for r in read(path).collect()} == set(range(5))
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
 
@@ -125,3 +127,29 @@ def test_registered_folders_with_awkward_names(spark, tmp_path):
     finally:
         drop_tables(spark, ["awkward"])
     assert found == {i: v or None for i, v in enumerate(values)}
+
+
+def test_checksums_see_what_counts_do_not(spark, tmp_path):
+    """One value that is altered after the write, or two rows that change places between columns."""
+    rows = [(1, "a", None, "2018"), (2, None, "b", ""), (2, None, "b", ""), (3, "c", "d", None)]
+    schema = "id INT, x STRING, y STRING, year STRING"
+    df = spark.createDataFrame(rows, schema)
+    written = sinks.write_partitioned(df, f"{tmp_path}/songs", ["year"])
+    again = spark.read.schema(schema).parquet(f"{tmp_path}/songs")
+    label = audit.LABELS["songs"]
+    recorded = spark.createDataFrame([(label, written.rows, written.checksum)], SUMS_SCHEMA)
+
+    def status(frame):
+        return audit.reconcile_counts(recorded, audit.table_sums({"songs": frame}, {"songs": ["year"]})).first()["status"]
+
+    assert status(again) == "ok"
+    assert status(again.select("year", "y", "x", "id").repartition(3)) == "ok"
+    altered = [
+        again.withColumn("id", F.when(F.col("id") == 3, 4).otherwise(F.col("id"))),
+        again.withColumn("y", F.when(F.col("id") == 1, "a").otherwise(F.col("y"))).withColumn(
+            "x", F.when(F.col("id") == 1, None).otherwise(F.col("x"))),
+        again.where("id <> 2").unionAll(again.where("id = 1")).unionAll(again.where("id = 3")),
+        again.withColumn("year", F.lit("2018")),
+    ]
+    assert {status(frame) for frame in altered} == {"mismatch"}
+    assert {frame.count() for frame in altered} == {4}
