@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """Return the path of a folder of its own below a folder that driver and executors share.
 
-    That is the one named by `spark.checkpoint.dir`, and otherwise the warehouse, which Spark
-    requires to be shared anyway.
+    That is the one named by `spark.checkpoint.dir`, and otherwise the warehouse. By default that is a folder of
+    the driver's machine: on a cluster it is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/playlake-scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not spark.sparkContext.master.startswith("local") and warehouse.startswith("file:"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} is not one")
+        shared = f"{warehouse}/playlake-scratch"
     return f"{shared.rstrip('/')}/playlake-{uuid4().hex}"
 
 

@@ -31,6 +31,12 @@ def test_without_a_setting_the_warehouse_is_used_and_no_machine_local_folder():
     assert path.startswith("hdfs:///warehouse/playlake-scratch/playlake-")
 
 
+def test_a_machine_local_warehouse_is_refused_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_dir(Session("yarn", warehouse="file:/home/me/spark-warehouse"))
+    assert scratch.scratch_dir(Session("local[4]", warehouse="file:/w")).startswith("file:/w/playlake-scratch/")
+
+
 def test_stage_keeps_rows_and_types_and_discard_deletes(spark):
     folder = scratch.scratch_dir(spark)
     df = spark.sql("SELECT 'a' AS s, CAST(NULL AS FLOAT) AS f, TIMESTAMP '2018-11-01 00:00:00' AS t")
