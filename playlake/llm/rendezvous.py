@@ -46,7 +46,7 @@ def rendezvous_shards(
     not read. An empty table gives no rows.
     """
     work = scratch_dir(documents.sparkSession)
-    key = F.col(id_col)
+    key = F.col(id_col).cast("bigint")
     body = F.coalesce(F.col(text_col), F.lit(""))
     rows = documents.select(
         key.alias("doc_id"),

@@ -48,12 +48,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def id_and_bytes(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """`doc_id` and `body`, the UTF-8 bytes of the text; a null text is empty.
+    """`doc_id`, a BIGINT, and `body`, the UTF-8 bytes of the text; a null text is empty.
 
     Only these two columns go on, so further columns cannot clash with those of an operator.
     """
     return documents.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body")
+        F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body")
     )
 
 

@@ -59,3 +59,10 @@ def test_hot_group_is_not_joined_by_shuffle(spark):
     got = exact_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 9000 and sum(r.kept for r in got) == 6001
     assert {r.group_size for r in got if r.doc_id < 3000} == {3000}
+
+
+def test_ids_of_another_integer_type(spark):
+    rows = [(5, "a b"), (6, "ab"), (7, None)]
+    wide, narrow = (exact_dedup(spark.createDataFrame(rows, f"doc_id {kind}, text STRING")) for kind in ("BIGINT", "INT"))
+    assert sorted(wide.collect()) == sorted(narrow.collect())
+    assert len({r.keep_id for r in wide.collect()}) == 2

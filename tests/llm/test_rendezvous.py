@@ -1,5 +1,8 @@
+import math
+import struct
 from zlib import crc32
 
+import xxhash
 from pyspark.sql import functions as F
 
 from playlake.llm.rendezvous import rendezvous_shards, shard_of
@@ -34,3 +37,28 @@ def test_weights_decide_shares_and_lost_shards_give_up_only_their_rows(spark):
 
 def test_empty_table(spark):
     assert rendezvous_shards(spark.createDataFrame([], SCHEMA), [1.0], [1.0, 1.0]).count() == 0
+
+
+def winner(key, weights):
+    """The draw once more: the highest score of a weighted shard wins."""
+    name = xxhash.xxh64(("null" if key is None else str(key)).encode(), seed=42).intdigest()
+    scores = []
+    for shard, weight in enumerate(weights):
+        draw = xxhash.xxh64(struct.pack("<i", shard), seed=name).intdigest()
+        scores.append((-weight / math.log(((draw >> 11) + 0.5) / 2**53), -shard))
+    return -max(scores)[1]
+
+
+def test_shards_equal_a_second_version_of_the_draw(spark):
+    rows = [(i * 7919 - 500_000, "t") for i in range(1500)] + [(None, None), (2**62, "x")]
+    weights, grown = [1.0, 2.0, 0.5, 3.0], [1.0, 2.0, 0.5, 3.0, 1.5]
+    got = rendezvous_shards(spark.createDataFrame(rows, SCHEMA).repartition(3), weights, grown).collect()
+    assert {(r.doc_id, r.shard, r.grown_shard) for r in got} == {
+        (i, winner(i, weights), winner(i, grown)) for i, _ in rows
+    }
+
+
+def test_ids_of_another_integer_type(spark):
+    wide = rendezvous_shards(spark.createDataFrame([(5, "a"), (6, None)], SCHEMA), [1.0, 1.0], [1.0, 1.0, 1.0])
+    narrow = rendezvous_shards(spark.createDataFrame([(5, "a"), (6, None)], "doc_id INT, text STRING"), [1.0, 1.0], [1.0, 1.0, 1.0])
+    assert sorted(wide.collect()) == sorted(narrow.collect())
