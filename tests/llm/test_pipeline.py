@@ -55,7 +55,7 @@ def test_queries_equal_their_oracles(spark, name):
     assert rows
     if name in LLM_ORACLES:
         con = duckdb.connect()
-        for t in ("documents", "embeddings", "conversations"):
+        for t in ("documents", "embeddings", "conversations", "benchmark"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
         want = con.sql(f"SELECT {', '.join(columns)} FROM ({LLM_ORACLES[name]})").fetchall()
         assert sorted(map(str, map(tuple, rows))) == sorted(map(str, want))
