@@ -4,13 +4,16 @@ Documents are sets of word shingles; equal sets are one class from the start. Ea
 independent trees branches the classes by chosen minwise tokens: a node goes on to the classes that share
 the smallest shingle under a hash function that its path chooses, one or two functions per node, on
 average one over the similarity. A node is compared exhaustively once it is small, or once branching no longer
-makes it much smaller, for then its members are alike. Large nodes are compared in blocks, so no task
-holds a whole node, and a pair that meets in several nodes is compared in one. Every link is confirmed on
-the full sets.
+makes it much smaller, for then its members are alike. A pair that meets in several nodes is compared in one,
+and every link is confirmed on the full sets.
+
+Large nodes are cut into blocks, so no task holds a whole node. Each block is compared within itself and with
+a few representatives of the node, which connects most members of an alike node at once. Then only the
+members outside a node's largest component meet its other blocks, for only what is not connected yet can matter.
 """
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 from operator import itemgetter
 
@@ -38,6 +41,8 @@ LEVELS = 10
 # Blocks in which large nodes are compared.
 BLOCK_CLASSES = 512
 BLOCK_SHINGLES = 250_000
+# Members of a large node that meet all its blocks.
+REPRESENTATIVES = 4
 # Pairs that agree in fewer functions are not looked at: at the threshold that is 1 pair in 10^8.
 AGREE = 28
 REMEMBERED = 300_000
@@ -120,7 +125,7 @@ def near_duplicates(
         f"{work}/classes",
     )
     nodes = _leaves(classes, trees, work)
-    roots = components(_links(texts, classes, nodes, work))
+    roots = _roots(texts, classes, nodes, work)
     named = classes.join(roots, F.col("class") == F.col("node"), "left").select(
         "set_hash", "n", F.coalesce("root", "class").alias("component_id")
     )
@@ -211,13 +216,17 @@ def _leaves(classes: DataFrame, trees: int, work: str) -> DataFrame:
         F.sum(F.xxhash64("class").cast("decimal(20,0)")).alias("mix"),
         F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("mix2"),
         F.sum("n_shingles").alias("shingles"),
+        *[F.min_by("class", F.xxhash64(F.lit(r), "class")).alias(f"r{r}") for r in range(REPRESENTATIVES)],
     )
+    chosen = F.array(*[f"r{r}" for r in range(REPRESENTATIVES)])
     once = alike.groupBy("n", "low", "high", "mix", "mix2").agg(
-        F.min("node").alias("node"), F.first("shingles").alias("shingles")
+        F.min("node").alias("node"), F.first("shingles").alias("shingles"), F.first(chosen).alias("chosen")
     )
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-    once = stage(once.select("node", "n", blocks.cast("int").alias("blocks")), f"{work}/nodes")
-    return attach(every.drop("n"), once, "node", "n").select("node", "class", "blocks")
+    once = stage(once.select("node", "n", blocks.cast("int").alias("blocks"), "chosen"), f"{work}/nodes")
+    return attach(every.drop("n"), once, "node", "n").select(
+        "node", "class", "n", "blocks", F.array_contains("chosen", F.col("class")).alias("represents")
+    )
 
 
 def _choice(name: str) -> Column:
@@ -229,45 +238,116 @@ def _child(path: Column, function: Column) -> Column:
     return F.xxhash64(path, function, F.get(F.col("sketch"), function))
 
 
-def _links(texts: DataFrame, classes: DataFrame, nodes: DataFrame, work: str) -> DataFrame:
-    """Links between classes that connect what exhaustive comparison of each node would connect."""
-    places = nodes.groupBy("class").agg(
-        F.sort_array(F.collect_list("node")).alias("nodes"),
-        F.collect_list(F.struct("node", "blocks")).alias("places"),
+def _roots(texts: DataFrame, classes: DataFrame, nodes: DataFrame, work: str) -> DataFrame:
+    """node, root of the components that exhaustive comparison of each node gives."""
+    nodes = stage(nodes, f"{work}/members")
+    own = F.pmod(F.xxhash64("class", "node"), F.col("blocks")).cast("int")
+    places = nodes.select("node", "class", F.col("class").alias("root"), own.alias("block"), "blocks", "represents")
+
+    def within(place: Column) -> Column:
+        met = F.when(place["represents"], F.sequence(F.lit(0), place["blocks"] - 1)).otherwise(F.array(place["block"]))
+        return F.transform(met, lambda b: _slot(b, b))
+
+    roots = components(_links(texts, classes, places, within, f"{work}/within"))
+    apart = _apart(nodes.where("blocks > 1"), roots, work)
+    if apart.isEmpty():
+        return roots
+
+    def across(place: Column) -> Column:
+        others = F.sequence(F.lit(0), place["other_blocks"] - 1)
+        mains = F.sequence(-place["main_blocks"], F.lit(-1))
+        block = place["block"]
+        return F.when(block < 0, F.transform(others, lambda o: _slot(block, o))).otherwise(
+            F.concat(
+                F.transform(mains, lambda m: _slot(m, block)),
+                F.transform(others, lambda o: _slot(F.least(o, block), F.greatest(o, block))),
+            )
+        )
+
+    more = _links(texts, classes, apart, across, f"{work}/across")
+    return components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _slot(i: Column, j: Column) -> Column:
+    return F.struct(i.alias("i"), j.alias("j"))
+
+
+def _apart(members: DataFrame, roots: DataFrame, work: str) -> DataFrame:
+    """Members of the nodes that are not one component yet, in new blocks.
+
+    Those of the largest component have blocks below 0 and meet only the others, whose blocks are from 0 on.
+    """
+    roots = roots.select(F.col("node").alias("class"), "root")
+    named = members.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    named = stage(named.select("node", "class", "root", "n", "blocks"), f"{work}/named_members")
+    # All members of a node have the same `n` and `blocks`.
+    parts = named.groupBy("node", "root").agg(
+        F.count(F.lit(1)).alias("part"), F.first("n").alias("n"), F.first("blocks").alias("blocks")
     )
-    places = stage(
-        places.join(classes.select("class", "sketch", "n_shingles", "set_hash"), "class"), f"{work}/places"
+    split = parts.groupBy("node").agg(
+        F.max("part").alias("main_n"), F.max_by("root", "part").alias("main"), F.first("n").alias("n"),
+        F.first("blocks").alias("blocks"),
     )
-    bodies = texts.join(places, F.col("doc_id") == F.col("class")).drop("doc_id")
-    block = F.pmod(F.xxhash64("class", "place.node"), F.col("place.blocks")).cast("int")
-    rows = (
-        bodies.withColumn("place", F.explode("places"))
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("place.blocks") - 1)))
-        .select(
-            F.col("place.node").alias("node"),
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "block",
-            "class",
-            "body",
-            "sketch",
-            "nodes",
-        )
+
+    def share(part: Column) -> Column:
+        return F.ceil(part * F.col("blocks") / F.col("n")).cast("int")
+
+    split = stage(
+        split.where("n > main_n").select(
+            "node",
+            "n",
+            "main",
+            share(F.col("main_n")).alias("main_blocks"),
+            share(F.col("n") - F.col("main_n")).alias("other_blocks"),
+        ),
+        f"{work}/split",
     )
+    hashed = F.xxhash64("class", "node")
+    block = F.when(F.col("root") == F.col("main"), -1 - F.pmod(hashed, F.col("main_blocks")))
+    block = block.otherwise(F.pmod(hashed, F.col("other_blocks"))).cast("int")
+    return attach(named.drop("n", "blocks"), split, "node", "n").select(
+        "node", "class", "root", block.alias("block"), "main_blocks", "other_blocks"
+    )
+
+
+def _links(
+    texts: DataFrame, classes: DataFrame, places: DataFrame, slots: Callable[[Column], Column], path: str
+) -> DataFrame:
+    """Links between classes that meet in a slot and do not share a root, as far as they connect more.
+
+    `places` are node, class, root, block and what else `slots` needs to name the (i, j) of a place.
+    """
+    rows = _meetings(texts, classes, places, slots, path)
     rows = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-    return stage(rows.mapInArrow(_compare, LINKS_SCHEMA), f"{work}/links")
+    return stage(rows.mapInArrow(_compare, LINKS_SCHEMA), f"{path}/links")
+
+
+def _meetings(
+    texts: DataFrame, classes: DataFrame, places: DataFrame, slots: Callable[[Column], Column], path: str
+) -> DataFrame:
+    """One row with body and sketch for every slot in which a class takes part."""
+    place = F.struct(*[c for c in places.columns if c != "class"])
+    of_class = places.groupBy("class").agg(
+        F.sort_array(F.collect_list("node")).alias("nodes"), F.collect_list(place).alias("places")
+    )
+    of_class = stage(of_class.join(classes.select("class", "sketch"), "class"), f"{path}/places")
+    bodies = texts.join(of_class, F.col("doc_id") == F.col("class")).drop("doc_id")
+    return (
+        bodies.withColumn("place", F.explode("places"))
+        .withColumn("slot", F.explode(slots(F.col("place"))))
+        .select("place.node", "slot.i", "slot.j", "place.block", "class", "body", "sketch", "nodes", "place.root")
+    )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("node", "i", "j", "block", "class", "body", "sketch", "nodes")
+    names = ("node", "i", "j", "block", "class", "body")
 
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            small = [batch.column(c).to_pylist() for c in names[:6]]
+            small = [batch.column(c).to_pylist() for c in names]
             sketch = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, FUNCTIONS)
             lists = batch.column("nodes")
-            yield from zip(*small, sketch, lists)
+            yield from zip(*small, sketch, lists, batch.column("root").to_pylist())
 
     held: list[tuple[int, int]] = []
     for (node, i, j), members in groupby(rows(), key=itemgetter(0, 1, 2)):
@@ -284,18 +364,23 @@ def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def compare_node(node: int, i: int, j: int, members: list[tuple]) -> list[tuple[int, int]]:
-    """Stars of the components among members of two blocks of a node, or of one if `i` is `j`."""
+    """Stars of the components among members of two blocks of a node, or of one if `i` is `j`.
+
+    Members that share a root are connected already.
+    """
     count = len(members)
     if count < 2:
         return []
     classes = [m[4] for m in members]
     sketch = np.stack([m[6] for m in members])
     block = np.array([m[3] for m in members])
+    group = np.unique([m[8] for m in members], return_inverse=True)[1]
     agree = np.zeros((count, count), dtype=np.uint8)
     for f in range(FUNCTIONS):
         agree += sketch[:, None, f] == sketch[None, :, f]
     if i != j:
         agree[block[:, None] == block[None, :]] = 0
+    agree[group[:, None] == group[None, :]] = 0
     # Pairs that also meet in a node with a smaller name are compared there.
     earlier: dict[int, list[int]] = {}
     for index, m in enumerate(members):
@@ -311,7 +396,6 @@ def compare_node(node: int, i: int, j: int, members: list[tuple]) -> list[tuple[
     order = np.argsort(-agree[left, right].astype(np.int16), kind="stable")
     left, right = left[order], right[order]
     sets: dict[int, np.ndarray] = {}
-    group = np.arange(count)
 
     def full(index: int) -> np.ndarray:
         if index not in sets:

@@ -81,6 +81,35 @@ def test_equals_brute_force(spark, monkeypatch, small, blocks):
     assert got(spark, corpus()) == brute(corpus())
 
 
+def test_bodies_of_an_alike_group_move_a_bounded_number_of_times(spark, monkeypatch):
+    moved = []
+
+    def counting(*given):
+        rows = meetings(*given)
+        moved.append(rows.groupBy("class", "node").count().groupBy("class").max("count").toPandas())
+        return rows
+
+    meetings = near_dup._meetings
+    monkeypatch.setattr(near_dup, "_meetings", counting)
+    monkeypatch.setattr(near_dup, "SMALL", 8)
+    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", 20)
+    rows = list(enumerate(crowd(1, 400, 120, 4)))
+    assert got(spark, rows) == brute(rows)
+    # All but the representatives of a node go to one block of it, and once more at most for what was left apart.
+    copies = moved[0]["max(count)"]
+    assert (copies == 1).mean() > 0.8 and sum(len(m) for m in moved[1:]) <= len(copies)
+
+
+def test_two_alike_groups_in_one_node_and_a_chain(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "SMALL", 4)
+    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", 6)
+    words = [f"c{i}" for i in range(150)]
+    chain = [" ".join(words[6 * i : 6 * i + 90]) for i in range(11)]
+    apart = [" ".join(words[:90] + [f"x{k}_{i}" for i in range(28)]) for k in range(25)]
+    rows = list(enumerate(chain + apart + crowd(5, 60, 90, 8) + crowd(5, 60, 90, 20)))
+    assert got(spark, rows) == brute(rows)
+
+
 def test_threshold_is_exact(spark):
     words = [f"t{i}" for i in range(200)]
     near = [(1, " ".join(words[:104])), (2, " ".join(words[:79]))]  # 75 of 100 shingles
