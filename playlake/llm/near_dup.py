@@ -43,6 +43,8 @@ BLOCK_CLASSES = 512
 BLOCK_SHINGLES = 250_000
 # Members of a large node that meet all its blocks.
 REPRESENTATIVES = 4
+# Marks by which texts that the second round does not need are told before they are shuffled.
+MARKS = 1 << 17
 # Pairs that agree in fewer functions are not looked at: at the threshold that is 1 pair in 10^8.
 AGREE = 28
 REMEMBERED = 300_000
@@ -264,10 +266,17 @@ def _roots(texts: DataFrame, classes: DataFrame, nodes: DataFrame, work: str) ->
             )
         )
 
-    more = _links(texts, classes, apart, across, f"{work}/across")
+    # At most MARKS rows, at any size of the input.
+    needed = F.broadcast(apart.select(_mark("class").alias("mark")).distinct())
+    some = texts.withColumn("mark", _mark("doc_id")).join(needed, "mark", "left_semi").drop("mark")
+    more = _links(some, classes, apart, across, f"{work}/across")
     return components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
+def _mark(name: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(MARKS))
+
+
 def _slot(i: Column, j: Column) -> Column:
     return F.struct(i.alias("i"), j.alias("j"))
 
