@@ -166,7 +166,8 @@ class _Run:
             built["plays"] = lambda: staged
 
         def song_plays() -> DataFrame:
-            return fact.with_row_id(fact.build_fact(built["plays"](), built["matches"](), ["play_no"], built["pairs"]()))
+            plays = fact.dense_numbers(built["plays"](), "play_no")
+            return fact.build_fact(plays, built["matches"](), ["play_no"], built["pairs"](), "play_no")
 
         counted, songs = lambda: built["report_counts"](), lambda: built["songs_built"]()
         tables = ["artists", "users", "song_plays", "songs", "time"]

@@ -107,7 +107,7 @@ def fact_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fact.with_row_id(s.LinearStar(spark, sf_dir).fact)
+    ids = s.LinearStar(spark, sf_dir).numbered_fact
     return ids.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("songplay_id").alias("n_ids"),
@@ -200,9 +200,7 @@ def _write_linear_tables(
     folders = {table: f"{star.work}/out/{table}" for table in audit.LABELS}
 
     def write(table: str) -> sinks.Written:
-        frame = star.tables[table]
-        if table == "song_plays":
-            frame = fact.with_row_id(frame)
+        frame = star.numbered_fact if table == "song_plays" else star.tables[table]
         if table not in PARTITION_COLUMNS:
             return sinks.write_table(frame, folders[table])
         staged = stage(frame, f"{star.work}/{table}_staged")

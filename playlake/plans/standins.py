@@ -107,13 +107,21 @@ class LinearStar:
         return named.withColumn("start_time", start_time("ts"))
 
     @cached_property
-    def fact(self) -> DataFrame:
+    def plays_and_matches(self) -> list[DataFrame]:
         together(self.spark, lambda: self.songs, lambda: self.artists, lambda: self.plays_per_customer)
-        plays, matches = together(
-            self.spark, lambda: self.plays, lambda: stage(self.matches, f"{self.work}/matches")
-        )
+        return together(self.spark, lambda: self.plays, lambda: stage(self.matches, f"{self.work}/matches"))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        plays, matches = self.plays_and_matches
         return fact.build_fact(plays, matches, ["play_no"], self.pairs)
 
+    @cached_property
+    def numbered_fact(self) -> DataFrame:
+        """The fact with its row ids."""
+        plays, matches = self.plays_and_matches
+        return fact.build_fact(plays, matches, ["play_no"], self.pairs, "play_no")
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {

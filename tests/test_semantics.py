@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import star
 from conftest import play, song, write_lines
 from playlake.functions.epoch import calendar_parts, start_time
-from playlake.operators import dims, reports
+from playlake.operators import dims, fact, reports
+from playlake.session import child_session
 from playlake.sources.json_inputs import is_malformed, read_activity_log, read_song_metadata
 
 
@@ -211,3 +212,55 @@ def test_whole_row_distinct_treats_nulls_as_equal_and_empty_text_as_different(sp
     inputs.songs(song("S1", artist_location=None), song("S2", artist_location=None), song("S3"))
     artists = star.build(spark, inputs.log(play())).artists
     assert sorted(str(r["location"]) for r in artists.collect()) == ["", "None"]
+
+
+# Row ids
+
+
+def test_row_ids_follow_from_the_rows(spark, inputs):
+    """The same whatever the shuffle width, unique also for copies, repeated songs and repeated plays."""
+    inputs.songs(
+        *[song(f"S{i % 5}", "T", "A1", "N", year=i) for i in range(9)],
+        *[song(f"S{i}", "U", f"A{i}", "N", artist_location=f"L{i % 2}") for i in range(6)],
+    ).log(*[play("TU"[i % 2], "N", ts=1600000000123 + i // 4) for i in range(40)])
+    metadata = read_song_metadata(spark, str(inputs))
+    songs, artists = dims.songs_dim(metadata), dims.artists_dim(metadata)
+    log = dims.filter_page(read_activity_log(spark, str(inputs)), "NextSong")
+    plays = log.withColumn("start_time", start_time("ts")).withColumn("play_no", F.monotonically_increasing_id())
+    runs = []
+    for width in ("4", "16"):
+        child = child_session(spark, **{"spark.sql.shuffle.partitions": width})
+        on_child = [child.createDataFrame(df.collect(), df.schema) for df in (plays, songs, artists)]
+        pairs = fact.count_pairs(on_child[0])
+        matches = fact.match_pairs(pairs, *on_child[1:])
+        rows = fact.build_fact(fact.dense_numbers(on_child[0], "play_no"), matches, ["play_no"], pairs, "play_no")
+        runs.append(sorted(rows.collect(), key=lambda r: r.songplay_id))
+    ids = [r.songplay_id for r in runs[0]]
+    assert runs[0] == runs[1] and len(set(ids)) == len(ids) == 20 * (9 + 6) * artists.where("name = 'N'").count()
+    assert 0 <= min(ids) and max(ids) < 40 * (len(ids) // 20)
+
+
+def test_positions_of_many_matches_are_gapless(spark, monkeypatch):
+    monkeypatch.setattr(fact, "SLOTS", 3)
+    rows = [("s", "a", 1, f"S{i % 7}", "A", i // 7 % 4, 1 + i % 5) for i in range(200)] + [("s", "b", 1, "S", "A", 0, 2)]
+    schema = "song STRING, artist STRING, plays BIGINT, song_id STRING, artist_id STRING, variant BIGINT, copies BIGINT"
+    got = fact.with_positions(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(r[:-1] for r in got) == sorted(rows)
+    spans = sorted((r.position, r.position + r.copies) for r in got if r.artist == "a")
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert [r.position for r in got if r.artist == "b"] == [0]
+
+
+def test_dense_numbers_keep_order_and_are_below_the_rows(spark):
+    ids = [(t << 33) + i for t, n in ((0, 3), (2, 1), (7, 5)) for i in range(n)]
+    got = fact.dense_numbers(spark.createDataFrame([(i, "x") for i in ids], "play_no BIGINT, moved STRING"), "play_no")
+    assert sorted(r.play_no for r in got.collect()) == list(range(9)) and got.columns == ["play_no", "moved"]
+
+
+def test_ids_beyond_64_bits_raise(spark):
+    plays = spark.createDataFrame([(1 << 62, "s", "a", "2020")], "play_no BIGINT, song STRING, artist STRING, start_time STRING")
+    plays = plays.select("*", *[F.lit("x").alias(c) for c in ("userId", "level", "sessionId", "location", "userAgent")])
+    schema = "song STRING, artist STRING, plays BIGINT, song_id STRING, artist_id STRING, variant BIGINT, copies BIGINT"
+    matches = spark.createDataFrame([("s", "a", 1, "S", "A", 0, 4)], schema)
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        fact.build_fact(plays, matches, ["play_no"], number="play_no").collect()
