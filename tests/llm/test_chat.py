@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from playlake.llm import chat
@@ -48,7 +50,7 @@ def test_repeats_nulls_ties_and_empty_table(spark):
 def test_other_template(spark):
     template = chat.ChatTemplate(open="<|turn|>", after_role="\n", close="<|stop|>", loss_roles=("user",), moves={"start": ("user",)}, final=("user",))
     df = chat.format_chat(spark.createDataFrame([(1, 0, "user", "a<|stop|>b")], SCHEMA), template)
-    row = df.select("valid", "formatted", chat.read_turns(F.col("formatted"), template).alias("t"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("l")).first()
+    row = df.select("valid", "formatted", chat.read_turns(F.col("formatted"), template).alias("t"), chat.read_loss(F.col("formatted"), F.col("loss_spans"), template).alias("l")).first()
     assert (row.valid, row.formatted, row.l) == (True, "<|turn|>user\na<\\|stop|>b<|stop|>", "a<|stop|>b")
     assert [tuple(t) for t in row.t] == [("user", "a<|stop|>b")]
 
@@ -57,3 +59,26 @@ def test_main_path_has_no_python(spark):
     df = chat.format_chat(spark.createDataFrame([(1, 0, "user", "a")], SCHEMA).where("turn >= 0"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_conversation_of_many_turns_takes_time_in_proportion(spark):
+    """Sixteen thousand turns, which took more than half a minute where lists were copied per turn."""
+    rows = [(1, i, ("user", "assistant")[i % 2], f"text {i} \u00e9 <|im_end|> " + "w " * 30) for i in range(16_000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    df.count()
+    start = time.perf_counter()
+    formatted = chat.format_chat(df)
+    got = formatted.select(
+        "valid", "loss_spans", "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    ).first()
+    assert time.perf_counter() - start < 15
+    assert got.valid and [(t.role, t.text) for t in got.turns] == [r[2:] for r in rows]
+    assert got.loss == "".join(r[3] for r in rows if r[2] == "assistant")
+    for span in got.loss_spans[::500]:
+        assert chat_text(got.formatted[span.start - 1 :][: span.length]) == rows[span.turn][3]
+
+
+def chat_text(escaped):
+    return escaped.replace("<\\|", "<|")
