@@ -210,21 +210,15 @@ def line_dedup(
     repeated = stage(by_hash.where("n > 1"), f"{work}/repeated")
     suspects = stage(attach(places, repeated, "hash", "n").select("hash", "here", "first"), f"{work}/suspects")
     # Only chunks whose hash is repeated move with their bytes.
-    marked = suspects.groupBy("here.doc_id", "here.text_hash").agg(F.collect_set("here.place").alias("places"))
-    marked = marked.withColumnsRenamed({"doc_id": "marked_id", "text_hash": "marked_hash"})
-    doubtful = texts.join(
-        marked.hint("merge"),
-        texts.doc_id.eqNullSafe(F.col("marked_id")) & (texts.text_hash == F.col("marked_hash")),
-    ).select("doc_id", "text_hash", "body", "places")
-    chunks = doubtful.mapInArrow(_chunk_bytes(hash_bits), f"hash BIGINT, chunk BINARY, first {FIRST}")
-    chunks = stage(chunks.groupBy("hash", "chunk").agg(F.min("first").alias("first")), f"{work}/chunks")
-    shared = stage(
-        chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("hash"), f"{work}/shared"
-    )
+    doubtful = _with_places(texts, suspects)
+    # Nothing is aggregated beside the bytes, so they are told apart by hashing and not by sorting.
+    chunks = doubtful.mapInArrow(_chunk_bytes(hash_bits), "hash BIGINT, chunk BINARY").distinct()
+    kinds = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds"))
+    shared = stage(kinds.where("kinds > 1").select("hash"), f"{work}/shared")
     again = suspects.where("here != first")
     if not shared.isEmpty():
         again = again.join(shared, "hash", "left_anti").select("here").unionByName(
-            _told_apart(doubtful, chunks.join(shared, "hash", "left_semi"), hash_bits)
+            _told_apart(texts, suspects.join(shared, "hash", "left_semi"), hash_bits, f"{work}/told_apart")
         )
     removed = stage(
         again.groupBy("here.doc_id", "here.text_hash").agg(F.collect_set("here.place").alias("places")),
@@ -257,11 +251,25 @@ def without(bodies: pd.Series, places: pd.Series) -> pd.Series:
     return out
 
 
-def _told_apart(doubtful: DataFrame, chunks: DataFrame, hash_bits: int) -> DataFrame:
-    """Places to remove of chunks that share a hash with others: these are joined on their bytes."""
-    every = f"hash BIGINT, chunk BINARY, first {FIRST}"
-    here = doubtful.mapInArrow(_chunk_bytes(hash_bits, merge=False), every).withColumnRenamed("first", "here")
-    return here.join(chunks, ["hash", "chunk"]).where("here != first").select("here")
+def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """The texts that have some of `places`, with these."""
+    marked = places.groupBy("here.doc_id", "here.text_hash").agg(F.collect_set("here.place").alias("places"))
+    marked = marked.withColumnsRenamed({"doc_id": "marked_id", "text_hash": "marked_hash"})
+    return texts.join(
+        marked.hint("merge"),
+        texts.doc_id.eqNullSafe(F.col("marked_id")) & (texts.text_hash == F.col("marked_hash")),
+    ).select("doc_id", "text_hash", "body", "places")
+
+
+def _told_apart(texts: DataFrame, suspects: DataFrame, hash_bits: int, path: str) -> DataFrame:
+    """Places to remove among `suspects`, chunks that share a hash with others: these are joined on their bytes."""
+    every = f"hash BIGINT, chunk BINARY, here {FIRST}"
+    here = _with_places(texts, suspects).mapInArrow(_chunk_bytes(hash_bits, places=True), every)
+    here = stage(here, path)
+    first = here.groupBy("hash", "chunk").agg(F.min("here").alias("first"), F.count(F.lit(1)).alias("n"))
+    key = F.struct("hash", "chunk").alias("key")
+    found = attach(here.select(key, "here"), stage(first.select(key, "first", "n"), f"{path}_first"), "key", "n")
+    return found.where("here != first").select("here")
 
 
 def _name(chunk: bytes, hash_bits: int) -> int:
@@ -283,46 +291,47 @@ def _places_array(rows: list[tuple]) -> pa.StructArray:
     )
 
 
-def _chunk_bytes(hash_bits: int, merge: bool = True):
-    """Hash, bytes and first place of the chunks at `places`; with `merge`, those of equal bytes are one row."""
+def _chunk_bytes(hash_bits: int, places: bool = False):
+    """Hash and bytes of the chunks at `places`, those of equal bytes once for many texts; with `places`, each with its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict = {}
+        found: set = set()
         held = 0
 
         def give() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in found], pa.int64()),
-                    pa.array([k[1] for k in found], pa.binary()),
-                    _places_array(list(found.values())),
-                ],
-                names=["hash", "chunk", "first"],
-            )
+            rows = list(found)
+            columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
+            if places:
+                columns.append(_places_array([r[2] for r in rows]))
             found.clear()
-            return out
+            return pa.RecordBatch.from_arrays(columns, names=["hash", "chunk", "here"][: len(columns)])
 
         for batch in batches:
             docs, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
-            places = batch.column("places").to_pylist()
+            marked = batch.column("places")
             for at, units_of in units(batch.column("body").to_pylist()):
+                texts = marked.slice(at, len(units_of.base) - 1)
+                counts = np.diff(texts.offsets.to_numpy())
                 wanted = np.zeros(len(units_of.starts), dtype=bool)
-                for base, own in zip(units_of.base[:-1], places[at:]):
-                    wanted[base + np.array(own, dtype=np.int64)] = True
+                wanted[np.repeat(units_of.base[:-1], counts) + texts.flatten().to_numpy()] = True
                 first, last = units_of.chunks()
-                first, last = first[wanted[first]], last[wanted[first]]
-                texts = units_of.text[first]
-                bounds = units_of.starts[first].tolist(), units_of.ends[last].tolist()
-                for text, place, a, b in zip(texts.tolist(), (first - units_of.base[texts]).tolist(), *bounds):
-                    chunk = units_of.data[a:b]
-                    name = _name(chunk, hash_bits)
-                    here = (docs[at + text], hashes[at + text], place)
-                    key = (name, chunk) if merge else (name, chunk, here)
-                    if key in found:
-                        found[key] = min(found[key], here, key=lambda p: (p[0] is None, p[0] or 0, *p[1:]))
-                    else:
-                        found[key] = here
-                        held += len(chunk)
+                chosen = wanted[first]
+                first, last = first[chosen], last[chosen]
+                bounds = zip(units_of.starts[first].tolist(), units_of.ends[last].tolist())
+                pieces = [units_of.data[a:b] for a, b in bounds]
+                if places:
+                    text = units_of.text[first]
+                    rows = zip(
+                        [_name(c, hash_bits) for c in pieces],
+                        pieces,
+                        ((docs[at + t], hashes[at + t], p) for t, p in zip(text.tolist(), (first - units_of.base[text]).tolist())),
+                    )
+                    found.update(rows)
+                    held += sum(map(len, pieces))
+                else:
+                    new = {(_name(c, hash_bits), c) for c in set(pieces)} - found
+                    found |= new
+                    held += sum(len(c) for _, c in new)
                 if held > BATCH_BYTES:
                     held = 0
                     yield give()
