@@ -6,12 +6,14 @@ the word before it. Customers are the training tokens; every table of a context
 
 A sweep draws the tables of every pair of context and word, and of every word in the parent, given all
 else as the last sweep left it. The number of tables is drawn at once from its distribution given the customers: the ways to seat
-them at so many tables, a generalised Stirling number, times the chance of so many new tables. So a sweep is two joins of the
-pairs that occur more than once to the totals of their context and of their word, and one pass, in parallel. A pair that occurs
+them at so many tables, a generalised Stirling number, times the chance of so many new tables. So a sweep is one pass over the
+pairs that occur more than once and one over the words, in parallel. A pair that occurs
 once has one table always. Predictive probabilities are averaged over several sweeps.
 
-Documents go through in blocks. A block counts and asks for its distinct pairs and words once, so what is
-shuffled are pairs per block and not tokens. Contexts and words with many pairs are broadcast, by `attach`.
+Words are numbered once, and documents go through in blocks. A block counts its distinct pairs and sends them, as arrays of
+numbers, to buckets of pairs, which a hash of both words chooses: so no bucket gets all pairs of a frequent word. Words have buckets of
+their own. From then on blocks and buckets send each other arrays only, one row per sender, receiver and kind,
+and a pair is shuffled once; the number of buckets grows with the tokens.
 """
 
 import math
@@ -21,14 +23,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.llm.tables import attach, id_and_bytes
-from playlake.scratch import discard, scratch_dir, stage
+from playlake.llm.tables import id_and_bytes, stage
+from playlake.scratch import discard, scratch_dir
 
 BURN_IN = 2
 SAMPLES = 3
@@ -42,20 +44,27 @@ NEGLIGIBLE = 50.0
 # Weights that are worked out at a time.
 CELLS = 1 << 21
 BLOCK_TOKENS = 6_000_000
+# Distinct words of blocks, and tokens, per bucket.
+BUCKET_WORDS = 2_000_000
+BUCKET_TOKENS = 2_000_000
+# Words are numbered within their bucket, which is the upper part of their number.
+NUMBER_BITS = 32
+FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 # Stands for the end of a text; no word holds a line feed.
 END = b"\n"
 # Stands before a text; no word is empty.
 START = b""
-ROWS_PER_BATCH = 20_000
-
-BLOCK_SCHEMA = "block BIGINT, docs ARRAY<BIGINT>, held_out BINARY, lengths BINARY, tokens BINARY, words BINARY"
-COUNTED_SCHEMA = "context BINARY, word BINARY, c BIGINT"
-ASKED_SCHEMA = "context BINARY, word BINARY, block BIGINT, place INT, only_here BOOLEAN"
-NAMED_SCHEMA = "word BINARY, block BIGINT, place INT"
-STATE_SCHEMA = "context BINARY, word BINARY, c BIGINT, t BIGINT, sum_t BIGINT"
-PARENT_SCHEMA = (
-    "word BINARY, n BIGINT, single BIGINT, repeated BIGINT, customers BIGINT, t BIGINT, "
-    "customers_of ARRAY<BIGINT>, t_of ARRAY<BIGINT>"
+
+BLOCK_SCHEMA = (
+    "block BIGINT, docs ARRAY<BIGINT>, held_out BINARY, lengths BINARY, tokens BINARY, words BINARY, n_tokens BIGINT, n_words BIGINT"
+)
+# What a block or bucket sends to another, or keeps for itself: arrays, and a few figures for the driver to add up.
+MESSAGE = "receiver BIGINT, sender BIGINT, kind STRING, parts ARRAY<BINARY>, figures ARRAY<BIGINT>"
+MESSAGE_ARROW = pa.schema(
+    [
+        ("receiver", pa.int64()), ("sender", pa.int64()), ("kind", pa.string()),
+        ("parts", pa.list_(pa.binary())), ("figures", pa.list_(pa.int64())),
+    ]
 )
 SCORE_SCHEMA = (
     "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, "
@@ -210,76 +219,59 @@ def score_documents(
     spark = documents.sparkSession
     work = scratch_dir(spark)
     blocks = stage(id_and_bytes(documents, id_col, text_col).mapInArrow(_blocks, BLOCK_SCHEMA), f"{work}/blocks")
-    read = blocks.drop("docs")
-    counted = read.mapInArrow(_counted, COUNTED_SCHEMA).repartition("context", "word")
-    pairs = stage(counted.groupBy("context", "word").agg(F.sum("c").alias("c")), f"{work}/pairs")
-    # A pair that occurs once has one table and is never reseated; the others begin with one.
-    kinds = [
-        F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("single"), F.count_if(F.col("c") > 1).alias("repeated")
-    ]
-    none = F.array().cast("array<bigint>")
-    tables = F.col("single") + F.col("repeated")
-    contexts = stage(
-        pairs.groupBy("context").agg(*kinds).withColumn("t", tables).withColumn("t_of", none), f"{work}/contexts"
-    )
-    words = stage(
-        pairs.groupBy("word").agg(*kinds).withColumn("customers", tables).withColumn("t", F.lit(1).cast("bigint"))
-        .withColumns({"customers_of": none, "t_of": none}),
-        f"{work}/words",
-    )
-    zero = F.lit(0).cast("bigint")
-    state = pairs.where("c > 1").withColumns({"t": F.lit(1).cast("bigint"), "sum_t": zero})
-    parent, train_tokens = _first_parent(pairs, words)
+    tokens, words_asked = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_tokens", "n_words")]).first()
+    word_buckets, pair_buckets = -(-words_asked // BUCKET_WORDS) or 1, -(-tokens // BUCKET_TOKENS) or 1
+    of_blocks = blocks.groupBy("block")
+
+    asked = blocks.mapInArrow(_ask_words(word_buckets), MESSAGE)
+    named = stage(asked.groupBy("receiver").applyInArrow(_number_words, MESSAGE), f"{work}/named")
+    numbers = _of_kind(named, "numbers")
+    asked = of_blocks.cogroup(numbers.groupBy("receiver")).applyInArrow(_ask_pairs(word_buckets, pair_buckets), MESSAGE)
+    pairs = stage(asked.groupBy("receiver").applyInArrow(_merge_pairs, MESSAGE), f"{work}/pairs")
+    ones, twos = _figures(pairs, "counted", 2)
+    words = _of_kind(named, "vocabulary").groupBy("receiver").cogroup(_of_kind(pairs, "totals").groupBy("receiver"))
+    words = stage(words.applyInArrow(_first_words, MESSAGE), f"{work}/words")
+    types, train_tokens, once, twice = _figures(words, "words", 4)
+
+    def seat_words(state: DataFrame, before: Parent | None, sweep: int, keep: bool, path: str) -> DataFrame:
+        asked = state.mapInArrow(_ask_tables, MESSAGE)
+        seated = _of_kind(words, "words").groupBy("receiver").cogroup(asked.groupBy("receiver"))
+        return stage(seated.applyInArrow(_seat_words(before, sweep, keep), MESSAGE), path)
+
+    state = _of_kind(pairs, "state")
+    words = seat_words(state, None, 0, False, f"{work}/seated")
+    parent = Parent(*_figures(words, "words", 2), types, _discount(ones, twos), _discount(once, twice))
     sampled: list[Parent] = []
     for sweep in range(burn_in + samples):
-        keep = sweep >= burn_in
-        now = f"{work}/sweep{sweep}"
-        of_context = contexts.where("repeated > 0").selectExpr("context", "t AS context_t", "repeated AS rows")
-        of_word = words.where("repeated > 0").selectExpr("word", "customers AS word_c", "t AS word_t", "repeated AS rows")
-        # Stored, as `attach` reads its rows twice.
-        half = stage(attach(state, of_context, "context", "rows").drop("rows"), f"{now}-half")
-        joined = attach(half, of_word, "word", "rows").drop("rows")
-        state = stage(joined.mapInArrow(_sweep(parent, sweep, keep), STATE_SCHEMA), f"{now}-pairs")
-        in_context = state.groupBy("context").agg(F.sum("t").alias("new"))
-        t = F.col("single") + F.coalesce("new", zero)
-        t_of = F.array_append("t_of", t) if keep else F.col("t_of")
-        contexts = stage(
-            contexts.join(in_context, "context", "left").select("context", "n", "single", "repeated", t.alias("t"), t_of.alias("t_of")),
-            f"{now}-contexts",
-        )
-        in_word = state.groupBy("word").agg(F.sum("t").alias("new"))
-        served = words.join(in_word, "word", "left").withColumn("customers", t).drop("new")
-        words = stage(served.mapInArrow(_sweep_parent(parent, sweep, keep), PARENT_SCHEMA), f"{now}-words")
-        discard(spark, f"{now}-half")
-        if sweep:
-            for kind in ("pairs", "contexts", "words"):
-                discard(spark, f"{work}/sweep{sweep - 1}-{kind}")
-        parent = _parent(words, parent)
+        keep, now = sweep >= burn_in, f"{work}/sweep{sweep}"
+        seated = state.groupBy("receiver").cogroup(_of_kind(words, "tables").groupBy("receiver"))
+        state = stage(seated.applyInArrow(_seat_pairs(parent, sweep, keep), MESSAGE), f"{now}-pairs")
+        words = seat_words(state, parent, sweep, keep, f"{now}-words")
+        parent = Parent(*_figures(words, "words", 2), types, parent.discount, parent.root_discount)
         if keep:
             sampled.append(parent)
-
-    once = pairs.where("c = 1").select("context", "word", "c", F.lit(samples).cast("bigint").alias("sum_t"))
-    model = state.select("context", "word", "c", "sum_t").unionByName(once)
-    asked = read.mapInArrow(_asked, ASKED_SCHEMA)
-    # A block knows by itself of a pair that only it has, once.
-    told = asked.join(model, ["context", "word"]).where("NOT (c = 1 AND only_here)")
-    lists = [F.lit(None).cast("array<bigint>").alias(c) for c in ("root_c_of", "root_t_of", "context_t_of")]
-    told = told.select("block", "place", F.lit(True).alias("pair"), "c", "sum_t", *lists)
-    nodes = words.select("word", F.col("n").alias("c"), F.col("customers_of").alias("root_c_of"), F.col("t_of").alias("root_t_of"))
-    nodes = nodes.join(
-        contexts.select(F.col("context").alias("word"), F.col("n").alias("sum_t"), F.col("t_of").alias("context_t_of")),
-        "word",
-        "full",
-    )
-    # For a word, `c` are its tokens and `sum_t` the customers of its context.
-    named = read.mapInArrow(_named, NAMED_SCHEMA).join(nodes, "word").select(
-        "block", "place", F.lit(False).alias("pair"), "c", "sum_t", "root_c_of", "root_t_of", "context_t_of"
-    )
-    return blocks.groupBy("block").cogroup(told.unionByName(named).groupBy("block")).applyInArrow(
-        _score(sampled, train_tokens), SCORE_SCHEMA
+        for used in [f"{work}/sweep{sweep - 1}-{kind}" for kind in ("pairs", "words")] if sweep else [f"{work}/words", f"{work}/seated"]:
+            discard(spark, used)
+
+    told = _of_kind(pairs, "counted").groupBy("receiver").cogroup(state.groupBy("receiver"))
+    told = told.applyInArrow(_tell_pairs(samples), MESSAGE)
+    named_here = _of_kind(words, "words").groupBy("receiver").cogroup(numbers.groupBy("sender"))
+    told = told.unionByName(named_here.applyInArrow(_tell_words, MESSAGE))
+    return of_blocks.cogroup(told.groupBy("receiver")).applyInArrow(
+        _score(sampled, train_tokens, word_buckets, pair_buckets), SCORE_SCHEMA
     )
 
 
+def _of_kind(messages: DataFrame, kind: str) -> DataFrame:
+    return messages.where(F.col("kind") == kind)
+
+
+def _figures(messages: DataFrame, kind: str, n: int) -> list[int]:
+    """The first figures of the messages of a kind, each added up."""
+    sums = [F.coalesce(F.sum(F.get("figures", F.lit(i))), F.lit(0)) for i in range(n)]
+    return list(_of_kind(messages, kind).agg(*sums).first())
+
+
 def squeeze(numbers: np.ndarray) -> bytes:
     """Numbers with their bytes dealt by place, which makes small ones short, compressed."""
     numbers = np.ascontiguousarray(numbers)
@@ -321,8 +313,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([docs], pa.list_(pa.int64())),
                 *(pa.array([squeeze(a)], pa.binary()) for a in (held_out, lengths, every)),
                 pa.array([zstandard.ZstdCompressor(level=1).compress(b" ".join(words))], pa.binary()),
+                pa.array([len(every)], pa.int64()),
+                pa.array([len(words)], pa.int64()),
             ],
-            names=["block", "docs", "held_out", "lengths", "tokens", "words"],
+            names=["block", "docs", "held_out", "lengths", "tokens", "words", "n_tokens", "n_words"],
         )
 
     for batch in batches:
@@ -340,168 +334,300 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-@dataclass
 class Block:
-    """A block with the context and the distinct pair of each token. The last of `words` is START."""
-
-    words: list[bytes]
-    tokens: np.ndarray
-    held_out: np.ndarray
-    lengths: np.ndarray
-    # Contexts and words of the distinct pairs, the pair of each token, and training tokens per pair.
-    contexts: np.ndarray
-    followers: np.ndarray
-    pair: np.ndarray
-    counts: np.ndarray
+    """A block. The last of `words` is START."""
 
     def __init__(self, row: dict):
         self.words = [*words_of(row), START]
         self.tokens = unsqueeze(row["tokens"], np.int32)
         self.lengths = unsqueeze(row["lengths"], np.int64)
         self.held_out = unsqueeze(row["held_out"], np.uint8) == 1
+        self.trained = np.repeat(~self.held_out, self.lengths)
+
+    def find_pairs(self) -> None:
+        """Sets contexts and words of the distinct pairs, the pair of each token, and training tokens per pair."""
         before = np.roll(self.tokens, 1)
         before[np.cumsum(self.lengths) - self.lengths] = len(self.words) - 1
         pairs = before.astype(np.int64) * len(self.words) + self.tokens
         pairs, self.pair = np.unique(pairs, return_inverse=True)
         self.contexts, self.followers = pairs // len(self.words), pairs % len(self.words)
-        self.counts = np.bincount(self.pair[np.repeat(~self.held_out, self.lengths)], minlength=len(pairs))
+        self.counts = np.bincount(self.pair[self.trained], minlength=len(pairs))
 
+    def hash_words(self) -> np.ndarray:
+        hashes = map(xxhash.xxh3_64_intdigest, self.words)
+        return np.fromiter(hashes, dtype=np.uint64, count=len(self.words))
 
-def _spelled(block: Block, words: np.ndarray) -> pa.Array:
-    return pa.array(block.words, pa.binary()).take(pa.array(words))
+    def word_places(self, hashes: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+        """The buckets of words that are asked, and the places in this block of the words of each."""
+        return _dealt(hashes % np.uint64(buckets))
 
+    def pair_places(self, hashes: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+        mixed = hashes[self.contexts] * FACTORS[0] + hashes[self.followers]
+        mixed = (mixed ^ mixed >> np.uint64(29)) * FACTORS[1]
+        return _dealt((mixed ^ mixed >> np.uint64(32)) % np.uint64(buckets))
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            block = Block(row)
-            trained = np.flatnonzero(block.counts)
-            for at in range(0, len(trained), ROWS_PER_BATCH):
-                some = trained[at : at + ROWS_PER_BATCH]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _spelled(block, block.contexts[some]),
-                        _spelled(block, block.followers[some]),
-                        pa.array(block.counts[some].astype(np.int64)),
-                    ],
-                    names=["context", "word", "c"],
-                )
-
-
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            block = Block(row)
-            for at in range(0, len(block.counts), ROWS_PER_BATCH):
-                some = np.arange(at, min(at + ROWS_PER_BATCH, len(block.counts)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _spelled(block, block.contexts[some]),
-                        _spelled(block, block.followers[some]),
-                        pa.array(np.full(len(some), row["block"], dtype=np.int64)),
-                        pa.array(some.astype(np.int32)),
-                        pa.array(block.counts[some] == 1),
-                    ],
-                    names=["context", "word", "block", "place", "only_here"],
-                )
-
-
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            words = [*words_of(row), START]
-            for at in range(0, len(words), ROWS_PER_BATCH):
-                some = words[at : at + ROWS_PER_BATCH]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some, pa.binary()),
-                        pa.array(np.full(len(some), row["block"], dtype=np.int64)),
-                        pa.array(np.arange(at, at + len(some), dtype=np.int32)),
-                    ],
-                    names=["word", "block", "place"],
-                )
-
-
-def _first_parent(pairs: DataFrame, words: DataFrame) -> tuple[Parent, int]:
-    """The parent with one table per word, and the training tokens."""
-    ones, twos = pairs.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    types, tokens, once, twice = words.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
-    ).first()
-    return _parent(words, Parent(0, 0, types, _discount(ones, twos), _discount(once, twice))), tokens
 
+def _dealt(buckets: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, in order, and its places."""
+    order = np.argsort(buckets, kind="stable")
+    found, starts = np.unique(buckets[order], return_index=True)
+    return list(zip(found.tolist(), np.split(order, starts[1:]))) if len(order) else []
 
-def _discount(ones: int, twos: int) -> float:
-    """The discount that counts of one and two suggest, kept off the ends."""
-    return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
 
+def _message(receiver: int, sender: int, kind: str, parts: list[bytes], figures: tuple = ()) -> dict:
+    return {"receiver": receiver, "sender": sender, "kind": kind, "parts": parts, "figures": [int(n) for n in figures]}
 
-def _parent(words: DataFrame, before: Parent) -> Parent:
-    customers, tables = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("customers", "t")]).first()
-    return Parent(customers, tables, before.types, before.discount, before.root_discount)
 
+def _sent(messages: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(messages, schema=MESSAGE_ARROW)
 
-def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
-    return [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
 
+def _received(messages: pa.Table, kind: str | None = None) -> list[dict]:
+    """In the order of the senders, so that what is done does not depend on the order of rows."""
+    rows = messages.to_pylist()
+    return sorted((r for r in rows if kind in (None, r["kind"])), key=lambda r: r["sender"])
 
-def _replaced(batch: pa.RecordBatch, names: list[str], new: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names=names)
 
+def _arrays(message: dict) -> list[np.ndarray]:
+    return [unsqueeze(part, np.int64) for part in message["parts"]]
 
-def _lists(batch: pa.RecordBatch | pa.Table, name: str, width: int) -> np.ndarray:
-    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
+def _squeezed(*arrays: np.ndarray) -> list[bytes]:
+    return [squeeze(a.astype(np.int64)) for a in arrays]
 
-def _as_lists(values: np.ndarray) -> pa.ListArray:
-    n, width = values.shape
-    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
-    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).ravel(), pa.int64()))
 
+def _steps(numbers: np.ndarray) -> np.ndarray:
+    """Sorted numbers as differences, which are small."""
+    return np.diff(numbers, prepend=0)
+
+
+def _place(numbers: np.ndarray) -> np.ndarray:
+    """Of words in their bucket."""
+    return numbers & ((1 << NUMBER_BITS) - 1)
+
+
+def _per_word(word: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The distinct words, and for each the sums of the values."""
+    words, place = np.unique(word, return_inverse=True)
+    return [words, *(np.bincount(place, weights=v, minlength=len(words)).astype(np.int64) for v in values)]
 
-def _sweep(parent: Parent, sweep: int, keep: bool):
-    """Draws the tables of pairs."""
+
+def _to_words(sender: int, kind: str, contexts: list[np.ndarray], words: list[np.ndarray]) -> list[dict]:
+    """What is known of contexts and of words, sent to their buckets; the first array of each has the sorted numbers."""
+    messages = []
+    of_contexts, of_words = contexts[0] >> NUMBER_BITS, words[0] >> NUMBER_BITS
+    for bucket in np.union1d(of_contexts, of_words).tolist():
+        parts = []
+        for buckets, (numbers, *values) in ((of_contexts, contexts), (of_words, words)):
+            some = slice(*np.searchsorted(buckets, [bucket, bucket + 1]))
+            parts += _squeezed(_steps(numbers[some]), *(v[some] for v in values))
+        messages.append(_message(bucket, sender, kind, parts))
+    return messages
+
+
+def _ask_words(buckets: int):
+    """A block's words, with its training tokens of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            draw = np.random.default_rng([sweep, n, *(crc32(batch.column(k)[0].as_py()) for k in ("context", "word"))])
-            c, t, sum_t = _numbers(batch, "c", "t", "sum_t")
-            context_t, word_c, word_t = _numbers(batch, "context_t", "word_c", "word_t")
-            # The parent as the other contexts leave it.
-            others = word_c - t
-            t = draw_tables(c, context_t - t, parent.root(others, np.minimum(word_t, others)), parent.discount, draw)
-            new = {"t": pa.array(t, pa.int64()), "sum_t": pa.array(sum_t + t if keep else sum_t, pa.int64())}
-            yield _replaced(batch, ["context", "word", "c", "t", "sum_t"], new)
+            for row in batch.to_pylist():
+                block = Block(row)
+                counts = np.bincount(block.tokens[block.trained], minlength=len(block.words))
+                messages = []
+                for bucket, places in block.word_places(block.hash_words(), buckets):
+                    words = b" ".join([block.words[p] for p in places.tolist()])
+                    parts = [zstandard.ZstdCompressor(level=1).compress(words), *_squeezed(counts[places])]
+                    messages.append(_message(bucket, row["block"], "words", parts))
+                yield from _sent(messages).to_batches()
 
     return run
 
 
-def _sweep_parent(parent: Parent, sweep: int, keep: bool):
-    """Draws the tables of words in the parent."""
+def _number_words(asked: pa.Table) -> pa.Table:
+    """Numbers for each block's words, and the training tokens of each word."""
+    rows = _received(asked)
+    bucket = rows[0]["receiver"]
+    spelled = [zstandard.ZstdDecompressor().decompress(r["parts"][0]).split(b" ") for r in rows]
+    vocabulary = sorted(set().union(*spelled))
+    index = dict(zip(vocabulary, range(len(vocabulary))))
+    n, messages = np.zeros(len(vocabulary), dtype=np.int64), []
+    for row, words in zip(rows, spelled):
+        places = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
+        n[places] += unsqueeze(row["parts"][1], np.int64)
+        numbers = (bucket << NUMBER_BITS) + places
+        messages.append(_message(row["sender"], bucket, "numbers", _squeezed(numbers)))
+    messages.append(_message(bucket, bucket, "vocabulary", _squeezed(n)))
+    return _sent(messages)
+
+
+def _ask_pairs(word_buckets: int, pair_buckets: int):
+    """A block's distinct pairs, with its training tokens of each."""
+
+    def run(block: pa.Table, numbered: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        block = Block(row)
+        block.find_pairs()
+        hashes = block.hash_words()
+        numbers = np.zeros(len(block.words), dtype=np.int64)
+        for (_, places), message in zip(block.word_places(hashes, word_buckets), _received(numbered)):
+            numbers[places] = _arrays(message)[0]
+        messages = []
+        for bucket, places in block.pair_places(hashes, pair_buckets):
+            contexts, words = numbers[block.contexts[places]], numbers[block.followers[places]]
+            messages.append(_message(bucket, row["block"], "pairs", _squeezed(contexts, words, block.counts[places])))
+        return _sent(messages)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            draw = np.random.default_rng([sweep, n, crc32(batch.column("word")[0].as_py())])
-            customers, t = _numbers(batch, "customers", "t")
-            base = np.full(n, 1 / (parent.types + 1))
+    return run
+
+
+def _merge_pairs(asked: pa.Table) -> pa.Table:
+    """The pairs of a bucket.
+
+    Kept are the tokens of all, with what each block asked for; those that occur more than once, with a table each; and
+    for their words, what contexts and words have in this bucket.
+    """
+    rows = _received(asked)
+    bucket = rows[0]["receiver"]
+    sent = [_arrays(r) for r in rows]
+    contexts, words, counts = (np.concatenate(a) for a in zip(*sent))
+    order = np.lexsort((words, contexts))
+    contexts, words = contexts[order], words[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])
+    which = np.empty(len(order), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    c = np.add.reduceat(counts[order], np.flatnonzero(new))
+    contexts, words = contexts[new], words[new]
+    blocks = np.array([r["sender"] for r in rows]), np.array([len(a[0]) for a in sent])
+    again, known = c > 1, c > 0
+    state = [_steps(contexts[again]), words[again], c[again], np.ones(again.sum()), np.zeros(again.sum())]
+    once = c[known] == 1
+    return _sent(
+        [
+            _message(bucket, bucket, "counted", _squeezed(*blocks, which, c), (once.sum(), (c == 2).sum())),
+            _message(bucket, bucket, "state", _squeezed(*state)),
+            *_to_words(bucket, "totals", _per_word(contexts[known], c[known], once), _per_word(words[known], once)),
+        ]
+    )
+
+
+def _first_words(vocabulary: pa.Table, totals: pa.Table) -> pa.Table:
+    """Words: tokens of each, tokens after it, pairs that occur once after and before it, and tables in the parent: one if it is known."""
+    [message] = _received(vocabulary)
+    [n] = _arrays(message)
+    followed, single_after, single = (np.zeros(len(n), dtype=np.int64) for _ in range(3))
+    for row in _received(totals):
+        contexts, c, once, words, once_before = _arrays(row)
+        at = _place(np.cumsum(contexts))
+        followed[at] += c
+        single_after[at] += once
+        single[_place(np.cumsum(words))] += once_before
+    parts = _squeezed(n, followed, single_after, single, n > 0)
+    figures = (n > 0).sum(), n.sum(), (n == 1).sum(), (n == 2).sum()
+    return _sent([_message(message["receiver"], message["receiver"], "words", parts, figures)])
+
+
+def _ask_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tables that contexts and words have in a bucket of pairs."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            contexts, words, _, t, _ = _arrays(row)
+            contexts = np.cumsum(contexts)
+            messages = _to_words(row["receiver"], "tables", _per_word(contexts, t), _per_word(words, t))
+            yield from _sent(messages).to_batches()
+
+
+def _seat_words(parent: Parent | None, sweep: int, keep: bool):
+    """Adds up the tables of contexts and of words, draws the tables of words in the parent, and tells the buckets of pairs.
+
+    Without `parent`, nothing is drawn.
+    """
+
+    def run(words: pa.Table, asked: pa.Table) -> pa.Table:
+        [message] = _received(words)
+        bucket = message["receiver"]
+        n, followed, single_after, single, t, *kept = _arrays(message)
+        context_t, customers = single_after.copy(), single.copy()
+        rows = _received(asked)
+        places = []
+        for row in rows:
+            contexts, of_contexts, own, of_words = _arrays(row)
+            contexts, own = _place(np.cumsum(contexts)), _place(np.cumsum(own))
+            context_t[contexts] += of_contexts
+            customers[own] += of_words
+            places.append((contexts, own))
+        if parent:
+            draw = np.random.default_rng([sweep, bucket])
+            base = np.full(len(n), 1 / (parent.types + 1))
             t = draw_tables(customers, parent.tables - t, base, parent.root_discount, draw)
-            new = {"t": pa.array(t, pa.int64())}
-            if keep:
-                for name, values in (("customers_of", customers), ("t_of", t)):
-                    before = batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-                    new[name] = _as_lists(np.column_stack([before, values]))
-            names = ["word", "n", "single", "repeated", "customers", "t", "customers_of", "t_of"]
-            yield _replaced(batch, names, new)
+        if keep:
+            kept += [context_t, customers, t]
+        parts = _squeezed(n, followed, single_after, single, t, *kept)
+        messages = [_message(bucket, bucket, "words", parts, (customers.sum(), t.sum()))]
+        for row, (contexts, own) in zip(rows, places):
+            parts = _squeezed(context_t[contexts], customers[own], t[own])
+            messages.append(_message(row["sender"], bucket, "tables", parts))
+        return _sent(messages)
+
+    return run
+
+
+def _seat_pairs(parent: Parent, sweep: int, keep: bool):
+    """Draws the tables of pairs."""
+
+    def run(state: pa.Table, told: pa.Table) -> pa.Table:
+        [message] = _received(state)
+        bucket = message["receiver"]
+        steps, words, c, t, sum_t = _arrays(message)
+        # Buckets of words answer in the order of the numbers.
+        answers = [_arrays(row) for row in _received(told)] or [[c, c, c]]
+        of_contexts, of_words, of_tables = (np.concatenate(a) for a in zip(*answers))
+        _, context = np.unique(np.cumsum(steps), return_inverse=True)
+        _, word = np.unique(words, return_inverse=True)
+        # The parent as the other contexts leave it.
+        others = of_words[word] - t
+        root = parent.root(others, np.minimum(of_tables[word], others))
+        draw = np.random.default_rng([sweep, bucket, 1])
+        t = draw_tables(c, of_contexts[context] - t, root, parent.discount, draw)
+        parts = _squeezed(steps, words, c, t, sum_t + t if keep else sum_t)
+        return _sent([_message(bucket, bucket, "state", parts)])
 
     return run
 
 
+def _tell_pairs(samples: int):
+    """For each block, tokens of its pairs and their tables, added up over the samples."""
+
+    def run(counted: pa.Table, state: pa.Table) -> pa.Table:
+        [message] = _received(counted)
+        blocks, sizes, which, c = _arrays(message)
+        sum_t = np.where(c == 1, samples, 0)
+        sum_t[c > 1] = _arrays(_received(state)[0])[4]
+        ends = np.cumsum(sizes)
+        messages = []
+        for block, asked in zip(blocks.tolist(), np.split(which, ends[:-1])):
+            messages.append(_message(block, message["receiver"], "pairs", _squeezed(c[asked], sum_t[asked])))
+        return _sent(messages)
+
+    return run
+
+
+def _tell_words(words: pa.Table, numbers: pa.Table) -> pa.Table:
+    """For each block, what is known of its words."""
+    [message] = _received(words)
+    n, followed, _, _, _, *kept = _arrays(message)
+    messages = []
+    for row in numbers.to_pylist():
+        at = _place(_arrays(row)[0])
+        messages.append(_message(row["receiver"], message["receiver"], "words", _squeezed(n[at], followed[at], *(k[at] for k in kept))))
+    return _sent(messages)
+
+
+def _discount(ones: int, twos: int) -> float:
+    """The discount that counts of one and two suggest, kept off the ends."""
+    return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
+
+
 def predictive(
     sampled: list[Parent],
     context: np.ndarray,
@@ -523,44 +649,53 @@ def predictive(
     return chance / len(sampled) + sampled[0].own(c, sum_t / len(sampled), customers[context])
 
 
-def _score(sampled: list[Parent], train_tokens: int):
-    samples, vocabulary = len(sampled), sampled[0].types
+def _score(sampled: list[Parent], train_tokens: int, word_buckets: int, pair_buckets: int):
+    samples = len(sampled)
 
     def run(row: pa.Table, told: pa.Table) -> pa.Table:
         row = row.to_pylist()[0]
         block = Block(row)
-        # What the block is not told: pairs that only it has, once, or that nobody has; words that are unknown.
-        c, sum_t = block.counts.astype(np.int64), block.counts.astype(np.float64) * samples
-        pairs = told.filter(told.column("pair"))
-        place = pairs.column("place").to_numpy()
-        c[place], sum_t[place] = pairs.column("c").to_numpy(), pairs.column("sum_t").to_numpy()
-        n = np.zeros(len(block.words), dtype=np.int64)
-        customers = np.zeros(len(block.words), dtype=np.int64)
-        root_c, root_t, context_t = (np.zeros((samples, len(block.words)), dtype=np.int64) for _ in range(3))
-        named = told.filter(pc.invert(told.column("pair")))
-        for number, lists in ((n, {"root_c_of": root_c, "root_t_of": root_t}), (customers, {"context_t_of": context_t})):
-            column = "c" if number is n else "sum_t"
-            known = named.filter(pc.is_valid(named.column(column))).combine_chunks()
-            place = known.column("place").to_numpy()
-            number[place] = known.column(column).to_numpy()
-            for name, into in lists.items():
-                values = pc.list_flatten(known.column(name)).to_numpy().reshape(-1, samples)
-                into[:, place] = values.T
-        chance = predictive(sampled, block.contexts, block.followers, c, sum_t, customers, context_t, root_c, root_t)
-        logs = np.log10(chance)[block.pair]
-        tokens = block.tokens
-        base = np.log10((n + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))[tokens]
-        starts = np.cumsum(block.lengths) - block.lengths
-        return pa.table(
-            {
-                "doc_id": pa.array(row["docs"], pa.int64()),
-                "held_out": pa.array(block.held_out),
-                "n_tokens": pa.array(block.lengths),
-                "n_known": pa.array(np.add.reduceat((n > 0)[tokens].astype(np.int64), starts)),
-                "train_tokens": pa.array(np.full(len(starts), train_tokens, dtype=np.int64)),
-                "base_score": pa.array(np.add.reduceat(base, starts)),
-                "score": pa.array(np.add.reduceat(logs, starts)),
-            }
-        )
+        block.find_pairs()
+        hashes = block.hash_words()
+        c, sum_t = (np.zeros(len(block.counts), dtype=np.int64) for _ in range(2))
+        for (_, places), message in zip(block.pair_places(hashes, pair_buckets), _received(told, "pairs")):
+            c[places], sum_t[places] = _arrays(message)
+        known = np.zeros((2 + 3 * samples, len(block.words)), dtype=np.int64)
+        for (_, places), message in zip(block.word_places(hashes, word_buckets), _received(told, "words")):
+            known[:, places] = _arrays(message)
+        n, customers, *of_samples = known
+        return scored(block, row["docs"], sampled, train_tokens, c, sum_t, n, customers, *(of_samples[i::3] for i in range(3)))
 
     return run
+
+
+def scored(
+    block: Block,
+    docs: list,
+    sampled: list[Parent],
+    train_tokens: int,
+    c: np.ndarray,
+    sum_t: np.ndarray,
+    n: np.ndarray,
+    customers: np.ndarray,
+    context_t: list[np.ndarray],
+    root_c: list[np.ndarray],
+    root_t: list[np.ndarray],
+) -> pa.Table:
+    """The documents of a block, given what `predictive` needs of its pairs and words, and the tokens `n` of the words."""
+    chance = predictive(sampled, block.contexts, block.followers, c, sum_t, customers, context_t, root_c, root_t)
+    logs = np.log10(chance)[block.pair]
+    tokens = block.tokens
+    base = np.log10((n + 0.1) / (train_tokens + 0.1 * (sampled[0].types + 1)))[tokens]
+    starts = np.cumsum(block.lengths) - block.lengths
+    return pa.table(
+        {
+            "doc_id": pa.array(docs, pa.int64()),
+            "held_out": pa.array(block.held_out),
+            "n_tokens": pa.array(block.lengths),
+            "n_known": pa.array(np.add.reduceat((n > 0)[tokens].astype(np.int64), starts)),
+            "train_tokens": pa.array(np.full(len(starts), train_tokens, dtype=np.int64)),
+            "base_score": pa.array(np.add.reduceat(base, starts)),
+            "score": pa.array(np.add.reduceat(logs, starts)),
+        }
+    )

@@ -3,13 +3,12 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
-import pyarrow as pa
 import pytest
 import zstandard
 
 from playlake.llm import pitman_yor
 from playlake.llm.pitman_yor import (
-    END, Parent, Seatings, _score, draw_tables, is_held_out, log_weights, predictive, score_documents, squeeze, unsqueeze,
+    END, Block, Parent, Seatings, draw_tables, is_held_out, log_weights, predictive, score_documents, scored, squeeze, unsqueeze,
 )
 
 SCHEMA = "doc_id BIGINT, text STRING"
@@ -176,23 +175,20 @@ def test_scores_equal_the_average_of_samples_by_hand_where_all_pairs_are_single(
 def test_score_averages_the_whole_probability_of_each_sample():
     # One held-out text "a b": pairs a-b, b-END and START-a; places of words a, b, END and START are 0 to 3.
     sampled = [Parent(10, 6, 3, 0.5, 0.4), Parent(25, 9, 3, 0.5, 0.4)]
-    row = pa.table({
-        "docs": [[1]], "words": [zstandard.ZstdCompressor().compress(b"a b " + END)],
-        "tokens": [squeeze(np.array([0, 1, 2], dtype=np.int32))], "lengths": [squeeze(np.array([3]))],
-        "held_out": [squeeze(np.array([1], dtype=np.uint8))],
+    block = Block({
+        "words": zstandard.ZstdCompressor().compress(b"a b " + END), "tokens": squeeze(np.array([0, 1, 2], dtype=np.int32)),
+        "lengths": squeeze(np.array([3])), "held_out": squeeze(np.array([1], dtype=np.uint8)),
     })
+    block.find_pairs()
     words = {0: ([4, 9], [2, 3]), 1: ([3, 8], [1, 2]), 2: ([3, 8], [3, 4])}
     contexts = {0: (6, [2, 5]), 1: (5, [3, 4]), 3: (4, [1, 3])}
     pairs = {0: (4, 3), 2: (3, 5)}
-    rows = [(p, True, c, t, None, None, None) for p, (c, t) in pairs.items()]
-    for p in range(4):
-        root_c, root_t = words.get(p, (None, None))
-        n, tables = contexts.get(p, (None, None))
-        rows.append((p, False, 7 if p in words else None, n, root_c, root_t, tables))
-    lists = pa.list_(pa.int64())
-    kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), lists, lists, lists]
-    names = ["place", "pair", "c", "sum_t", "root_c_of", "root_t_of", "context_t_of"]
-    told = pa.table([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
+    c, sum_t = (np.array([pairs.get(p, (0, 0))[i] for p in range(3)]) for i in range(2))
+    n = np.array([7 * (p in words) for p in range(4)])
+    customers = np.array([contexts.get(p, (0,))[0] for p in range(4)])
+    context_t = [np.array([contexts[p][1][i] if p in contexts else 0 for p in range(4)]) for i in range(2)]
+    root_c, root_t = ([np.array([words[p][k][i] if p in words else 0 for p in range(4)]) for i in range(2)] for k in range(2))
+    got = scored(block, [1], sampled, 21, c, sum_t, n, customers, context_t, root_c, root_t)
     want = 0
     for place, context, word in ((0, 0, 1), (1, 1, 2), (2, 3, 0)):
         c, sum_t = pairs.get(place, (0, 0))
@@ -203,4 +199,36 @@ def test_score_averages_the_whole_probability_of_each_sample():
             root = (words[word][0][i] - 0.4 * words[word][1][i]) / (1 + parent.customers) + new
             each.append((c - 0.5 * sum_t / 2) / (1 + customers) + (1 + 0.5 * tables[i]) / (1 + customers) * root)
         want += math.log10(sum(each) / 2)
-    assert abs(_score(sampled, 21)(row, told).column("score")[0].as_py() - want) < 1e-12
+    assert abs(got.column("score")[0].as_py() - want) < 1e-12
+
+
+def test_many_small_buckets_and_blocks_give_the_same_counts(spark, monkeypatch):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    one = {r.doc_id: r for r in score_documents(documents.repartition(2)).collect()}
+    for name, size in (("BUCKET_WORDS", 3000), ("BUCKET_TOKENS", 2000)):
+        monkeypatch.setattr(pitman_yor, name, size)
+    many = {r.doc_id: r for r in score_documents(documents.repartition(7)).collect()}
+    assert one.keys() == many.keys()
+    for doc, row in one.items():
+        other = many[doc]
+        assert row[:5] == other[:5] and row.base_score == pytest.approx(other.base_score)
+    # Other draws only, which move a short text by a few percent and all together by little.
+    assert sum(r.score for r in one.values()) == pytest.approx(sum(r.score for r in many.values()), rel=0.005)
+
+
+def test_probabilities_of_whole_texts_sum_to_one(spark):
+    """Of texts up to two words, as scored by the job, those after the start and after each word follow."""
+    words = ["a", "b", "c", "unknown"]
+    ids = iter(range(10**6))
+    train = [d for d, _ in zip((d for d in range(10**6) if not is_held_out(d)), range(40))]
+    rng = np.random.default_rng(7)
+    rows = [(d, " ".join(rng.choice(words[:3], rng.integers(0, 9), p=[0.6, 0.3, 0.1]))) for d in train]
+    texts = ["", *words, *(f"{w} {v}" for w in words for v in words)]
+    held = dict(zip((d for d in ids if is_held_out(d)), texts))
+    df = spark.createDataFrame([*rows, *held.items()], SCHEMA).repartition(3)
+    chance = {held[r.doc_id]: 10**r.score for r in score_documents(df).where("held_out").collect()}
+    # With x the inverse chances of the end after each word: all that may follow a word sums to one, so (I - ratio) x = 1.
+    ratio = np.array([[chance[f"{w} {v}"] / chance[w] for v in words] for w in words])
+    x = np.linalg.solve(np.eye(4) - ratio, np.ones(4))
+    assert (x > 1).all()
+    assert sum(chance[w] * k for w, k in zip(words, x)) + chance[""] == pytest.approx(1, abs=1e-9)
