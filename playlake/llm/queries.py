@@ -233,6 +233,37 @@ LLM_ORACLES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 5
     """,
+    "op9_near_dup": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM texts WHERE len(words) > 0)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 75 * (any_value(m.n) + any_value(n.n) - count(*))
+        ),
+        reached AS (
+            SELECT a AS doc_id, b AS other FROM links
+            UNION
+            SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+        ),
+        found AS (
+            SELECT t.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(t.doc_id, min(r.other)) AS component_id
+            FROM texts t LEFT JOIN sizes s USING (doc_id) LEFT JOIN reached r ON r.doc_id = t.doc_id
+            GROUP BY t.doc_id
+        )
+        SELECT *, doc_id = component_id AS kept FROM found
+    """,
     "op11_mask_rank": r"""
         WITH said AS (
             SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(

@@ -4,9 +4,12 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from conftest import SF_DIR
+from oracle import connect, rows_of_frame, rows_of_sql
 from playlake.llm import near_dup
 from playlake.llm.components import components
 from playlake.llm.near_dup import near_duplicates
+from playlake.llm.queries import LLM_ORACLES, LLM_QUERIES
 
 SCHEMA = "doc_id BIGINT, text STRING"
 
@@ -144,3 +147,10 @@ def test_components(spark, seed):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a BIGINT, b BIGINT")).count() == 0
+
+
+def test_query_equals_sql(spark):
+    name = "op9_near_dup"
+    columns, rows = rows_of_frame(LLM_QUERIES[name](spark, SF_DIR))
+    assert (columns, rows) == rows_of_sql(connect(SF_DIR), LLM_ORACLES[name])
+    assert rows
