@@ -180,6 +180,7 @@ def split_join(
     right_spread: list[str],
     sizes: KeySizes,
     cell: int | None = None,
+    by_key: bool = False,
 ) -> DataFrame:
     """Inner join on `keys`, with each hot key cut into a grid of slices.
 
@@ -189,6 +190,8 @@ def split_join(
     the right side, and the other way round, so each matching pair meets exactly once. Slices are
     hashes of the `*_spread` columns and not random numbers: a task that runs again after a lost
     executor must send each row to the same place.
+
+    With `by_key`, the output comes in the order of the keys within each task, whatever the size of `right`.
     """
     cell = cell or CELL
     spark = left.sparkSession
@@ -211,7 +214,7 @@ def split_join(
     tasks = int(totals["output_rows"] // TASK_ROWS)
     if tasks > int(spark.conf.get(SHUFFLE_PARTITIONS)):
         left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
-    return left.join(right, keys).drop("left_slice", "right_slice")
+    return left.join(right.hint("merge") if by_key else right, keys).drop("left_slice", "right_slice")
 
 
 HOT_SCHEMA = f"{KEY} BIGINT, matched BOOLEAN, left_slices BIGINT, right_slices BIGINT"

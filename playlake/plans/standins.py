@@ -132,8 +132,8 @@ class LinearStar:
             "song_plays": self.fact,
         }
 
-    def add_names(self, log: DataFrame, per_customer: DataFrame) -> DataFrame:
-        """Give log lines the song and artist names of their customer."""
+    def add_names(self, log: DataFrame, per_customer: DataFrame, number: str = "play_no") -> DataFrame:
+        """Give log lines, or the orders they are made of, the song and artist names of their customer."""
         key = ["o_custkey"]
         of_customer = summarise_counts(per_customer, key, "plays")
         sizes = KeySizes(
@@ -143,7 +143,27 @@ class LinearStar:
             rows_of(self.customer.withColumnRenamed("c_custkey", "o_custkey"), key),
             of_customer.rows,
         )
-        return split_join(log, self.named_customers, key, ["play_no"], ["song"], sizes)
+        return split_join(log, self.named_customers, key, [number], ["song"], sizes)
+
+    @cached_property
+    def all_lines(self) -> DataFrame:
+        """Log lines of all orders, with the folder each belongs to.
+
+        Lines repeat the few columns they are made of, so those are shuffled and sorted, and lines are made at the end.
+        """
+        day = F.timestamp_millis(epoch_ms_text("o_orderdate").cast("bigint"))
+        per_customer = self.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
+        named = self.add_names(self.orders, per_customer, "o_orderkey")
+        dealt = named.withColumns({"y": F.year(day), "m": F.month(day)}).hint("rebalance", F.col("y"), F.col("m"))
+        lines = dealt.sortWithinPartitions("y", "m").select("song", "artist", *order_as_line(), "y", "m")
+        return lines.select(
+            "song", "artist", "userId", "firstName", "lastName", "gender", "level", "location",
+            "sessionId", "userAgent",
+            F.col("ts").cast("bigint").alias("ts"),
+            F.when(F.col("page") == URGENT, "NextSong").otherwise(F.col("page")).alias("page"),
+            "y",
+            "m",
+        )
 
     def write_inputs(self, base: str) -> None:
         """Write songs and all orders as the two JSON trees the job reads."""
@@ -155,21 +175,10 @@ class LinearStar:
             F.col("c_mktsegment").alias("b"),
             F.lit("all").alias("c"),
         )
-        day = F.timestamp_millis(F.col("ts").cast("bigint"))
-        per_customer = self.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("plays"))
-        log = self.add_names(order_log(self.orders), per_customer).select(
-            "song", "artist", "userId", "firstName", "lastName", "gender", "level", "location",
-            "sessionId", "userAgent",
-            F.col("ts").cast("bigint").alias("ts"),
-            F.when(F.col("page") == URGENT, "NextSong").otherwise(F.col("page")).alias("page"),
-            F.year(day).alias("y"),
-            F.month(day).alias("m"),
-        )
-        log = log.hint("rebalance", F.col("y"), F.col("m"))
         together(
             self.spark,
             lambda: metadata.write.partitionBy("a", "b", "c").json(f"{base}/song_data"),
-            lambda: log.write.partitionBy("y", "m").json(f"{base}/log_data"),
+            lambda: self.all_lines.write.partitionBy("y", "m").json(f"{base}/log_data"),
         )
 
 
@@ -195,8 +204,12 @@ def nation_as_artist() -> list[Column]:
 
 def order_log(orders: DataFrame) -> DataFrame:
     """Orders as log lines, without song and artist."""
-    return orders.select(
-        "o_custkey",
+    return orders.select(*order_as_line())
+
+
+def order_as_line() -> list[Column]:
+    return [
+        F.col("o_custkey"),
         F.col("o_orderkey").alias("play_no"),
         epoch_ms_text("o_orderdate").alias("ts"),
         text("o_custkey").alias("userId"),
@@ -208,7 +221,7 @@ def order_log(orders: DataFrame) -> DataFrame:
         F.year("o_orderdate").alias("sessionId"),
         F.col("o_orderpriority").alias("userAgent"),
         F.col("o_orderpriority").alias("page"),
-    )
+    ]
 
 
 # Fan-out star

@@ -10,6 +10,8 @@ from playlake.operators.audit import checksum
 from playlake.publish import publish
 from playlake.scratch import discard, scratch_dir, stage
 
+# Of plain tables. Row ids of the fact are most of its bytes, and take a third of what they do with Spark's default.
+COMPRESSION = "zstd"
 # How a partitioned write is cut into tasks. Opening a folder costs as much as so many rows.
 ROWS_PER_TASK = 1_000_000
 FOLDERS_PER_TASK = 50
@@ -28,7 +30,7 @@ class Written:
 
 def write_table(df: DataFrame, path: str) -> Written:
     df, written = _counted(df)
-    publish(df.sparkSession, path, lambda aside: df.write.mode("overwrite").parquet(aside))
+    publish(df.sparkSession, path, lambda aside: df.write.mode("overwrite").parquet(aside, compression=COMPRESSION))
     return Written(**written.get)
 
 

@@ -1,5 +1,7 @@
 """Physical plans: what reaches the scans, what is shuffled, and that no Python runs per row."""
 
+from itertools import groupby
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from conftest import SF_DIR, play, song
 from playlake.operators import dims, fact, reports
 from playlake.plans import job
 from playlake.plans.queries import QUERIES
+from playlake.plans.standins import LinearStar
 from playlake.sources.json_inputs import read_activity_log
 
 
@@ -69,3 +72,37 @@ def test_pairs_are_counted_before_the_shuffle(spark):
     text = plan(fact.count_pairs(plays))
     before, after = text.split("Exchange hashpartitioning")
     assert "partial_count" in after and "partial_count" not in before
+
+
+def test_plays_of_a_pair_stand_side_by_side_in_the_fact(spark, tmp_path):
+    # The matches are small enough to be broadcast, which would leave the plays in the order of the log.
+    plays = spark.range(20_000).select(
+        F.timestamp_seconds("id").alias("start_time"),
+        F.concat(F.lit("T"), F.col("id") % 20).alias("song"),
+        F.lit("N").alias("artist"),
+        F.col("id").cast("string").alias("userId"),
+        *[F.lit("x").alias(c) for c in ("level", "location")],
+        F.lit(1).alias("sessionId"),
+        F.concat(F.lit("T"), F.col("id") % 20).alias("userAgent"),
+        F.col("id").alias("play_no"),
+    )
+    songs = spark.range(100).select(
+        F.col("id").cast("string").alias("song_id"),
+        F.concat(F.lit("T"), F.col("id") % 20).alias("title"),
+        *[F.lit("x").alias(c) for c in ("artist_id", "year", "duration")],
+    )
+    artists = spark.range(1).select(F.lit("N").alias("name"))
+    plays, pairs = job.stage(plays, f"{tmp_path}/plays"), job.stage(fact.count_pairs(plays), f"{tmp_path}/pairs")
+    matches = job.stage(fact.match_pairs(pairs, songs, artists), f"{tmp_path}/matches")
+    rows = fact.build_fact(plays, matches, ["play_no"], pairs)
+    found = rows.select(F.spark_partition_id().alias("task"), F.col("user_agent").alias("title")).collect()
+    assert len(found) == 100_000
+    assert len(list(groupby(found, key=lambda row: (row["task"], row["title"])))) == 20
+
+
+def test_log_lines_are_made_after_their_shuffles(spark):
+    lines = LinearStar(spark, SF_DIR).all_lines
+    text = lines._jdf.queryExecution().optimizedPlan().toString()
+    made, shuffled = text.split("RebalancePartitions")
+    assert "customer " in made
+    assert "customer " not in shuffled and "o_totalprice" not in shuffled.split("Relation")[0]

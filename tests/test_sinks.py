@@ -153,3 +153,8 @@ def test_checksums_see_what_counts_do_not(spark, tmp_path):
     ]
     assert {status(frame) for frame in altered} == {"mismatch"}
     assert {frame.count() for frame in altered} == {4}
+
+
+def test_row_ids_of_a_plain_table_take_little_space(spark, tmp_path):
+    sinks.write_table(spark.range(500_000).repartition(1), f"{tmp_path}/ids")
+    assert sum(f.stat().st_size for f in Path(tmp_path, "ids").glob("*.parquet")) < 3 * 500_000
